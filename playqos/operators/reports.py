@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,21 +23,20 @@ TRAFFIC_FIELDS = {
 TRAFFIC_SIDES = {"sourceTraffic": "src", "p2pTraffic": "p2p"}
 
 
-def defect(df: DataFrame) -> Column:
-    """Why a bronze row cannot be credited to a viewer-day; null for a healthy row."""
-    no_id = F.lit(False)
-    for name in VIEWER:
-        no_id = no_id | F.col(name).isNull()
-    return F.when(no_id, "missing viewer id").when(F.col("eventDate").isNull(), "missing event date")
+def healthy(bronze: DataFrame) -> DataFrame:
+    """Rows that can be credited to a viewer-day; plain null tests, so they reach the scan."""
+    return bronze.dropna(subset=[*VIEWER, "eventDate"])
 
 
-def healthy(bronze: DataFrame) -> DataFrame:
-    return bronze.where(defect(bronze).isNull())
+def defect() -> Column:
+    """Why a bronze row is not healthy; null for a healthy row."""
+    no_id = reduce(or_, [F.col(name).isNull() for name in VIEWER])
+    return F.when(no_id, "missing viewer id").when(F.col("eventDate").isNull(), "missing event date")
 
 
 def quarantined(bronze: DataFrame) -> DataFrame:
     """The rows :func:`healthy` leaves out, with the reason. Bronze itself stays whole."""
-    return bronze.withColumn("reason", defect(bronze)).where(F.col("reason").isNotNull())
+    return bronze.withColumn("reason", defect()).where(F.col("reason").isNotNull())
 
 
 def traffic_levels(distribution: Column) -> Column:

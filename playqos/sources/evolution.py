@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,7 +76,12 @@ def observed_schema(spark: SparkSession, paths: LakePaths, modified_after: str |
 def evolve(spark: SparkSession, paths: LakePaths, modified_after: str | None = None) -> T.StructType:
     """Bring the stored schema up to date with the raw zone and return it."""
     before = stored_schema(spark, paths)
-    after = merged(before, observed_schema(spark, paths, modified_after))
+    try:
+        after = merged(before, observed_schema(spark, paths, modified_after))
+    except AnalysisException as error:
+        if error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            raise
+        after = before  # no Parquet file to look at
     if after != before:
         row = spark.range(1).select(
             F.unix_micros(F.current_timestamp()).alias("version"), F.lit(after.json()).alias("schema")

@@ -87,4 +87,5 @@ def bronze_stream(
 
 
 def silver(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(folder)
+    """A silver table, columns in schema order (the reader puts the partition column last)."""
+    return spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())

@@ -36,10 +36,18 @@ def is_staged(spark: SparkSession, table: str, token: str) -> bool:
     return exists(spark, f"{staged}/_SUCCESS") and exists(spark, f"{staged}/token={token}")
 
 
-def stage(content: DataFrame, table: str, token: str) -> None:
-    """Write the new partitions aside. Rebalancing splits a heavy day into several files."""
+def stage(content: DataFrame, table: str, token: str, emptied: list = ()) -> None:
+    """Write the new partitions aside. Rebalancing splits a heavy day into several files.
+
+    ``emptied`` lists days that may end up without rows; each gets a marker, so
+    that publishing knows about days the content itself does not mention.
+    """
+    marked = content.withColumn("isRow", F.lit(True))
+    if emptied:
+        markers = content.sparkSession.createDataFrame([(day,) for day in emptied], f"{PARTITION} date")
+        marked = marked.unionByName(markers.withColumn("isRow", F.lit(False)), allowMissingColumns=True)
     (
-        content.hint("rebalance", PARTITION)
+        marked.hint("rebalance", PARTITION)
         .withColumn("token", F.lit(token))
         .write.mode("overwrite")
         .partitionBy("token", PARTITION)
@@ -49,22 +57,32 @@ def stage(content: DataFrame, table: str, token: str) -> None:
 
 def publish(spark: SparkSession, table: str, schema: T.StructType, token: str) -> None:
     """Overwrite exactly the staged days."""
-    staged = spark.read.schema(schema).parquet(f"{staging_of(table)}/token={token}")
+    with_marks = T.StructType([*schema.fields, T.StructField("isRow", T.BooleanType())])
+    staged = spark.read.schema(with_marks).parquet(f"{staging_of(table)}/token={token}")
+    rows = staged.where("isRow").drop("isRow")
     (
-        staged.hint("rebalance", PARTITION)
+        rows.hint("rebalance", PARTITION)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION)
         .parquet(table)
     )
+    # Days that lost their last row (at most one per calendar day).
+    left = staged.groupBy(PARTITION).agg(F.bool_or("isRow").alias("hasRows")).where("NOT hasRows")
+    for (day,) in left.select(PARTITION).collect():
+        folder = f"{table}/{PARTITION}={day.isoformat()}"
+        if exists(spark, folder):
+            rows.drop(PARTITION).limit(0).write.mode("overwrite").parquet(folder)
 
 
-def store(content_of, spark: SparkSession, table: str, schema: T.StructType, token: str) -> None:
+def store(
+    content_of, spark: SparkSession, table: str, schema: T.StructType, token: str, emptied: list = ()
+) -> None:
     """Stage and publish ``content_of(current)``; ``current`` is None while there is no table.
 
     ``content_of`` is not called when this token has been staged already.
     """
     if not is_staged(spark, table, token):
-        current = silver(spark, table, schema) if exists(spark, f"{table}/_SUCCESS") else None
-        stage(content_of(current), table, token)
+        current = silver(spark, table, schema) if exists(spark, table) else None
+        stage(content_of(current), table, token, emptied)
     publish(spark, table, schema, token)

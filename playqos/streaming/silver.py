@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from playqos.operators import reports as R
 from playqos.operators.metrics import buffering_metrics, quality_metrics
 from playqos.operators.upsert import replace_rows, replace_viewers
-from playqos.paths import LakePaths, ensure_dir
+from playqos.paths import LakePaths, ensure_dir, exists
 from playqos.schemas import (
     BUFFERING_KEYS,
     BUFFERING_METRICS,
@@ -75,7 +75,7 @@ def affected_scope(bronze: DataFrame, batch_reports: DataFrame, lookback_days: i
     days = _days_of(batch_reports)
     history = R.healthy(bronze)
     if lookback_days is not None:
-        history = history.where(F.col("eventDate") >= F.date_sub(F.lit(max(days)), lookback_days))
+        history = history.where(F.col("eventDate") >= F.date_sub(F.lit(min(days)), lookback_days))
     low, high = batch_reports.agg(F.min("serverTs"), F.max("serverTs")).first()
     mine = history.join(viewers, VIEWER, "left_semi")
     days = sorted({*days, *_days_of(mine.where(_same_moment(low, high)))})
@@ -102,7 +102,7 @@ def _upsert(
                 return replace_viewers(stored, metrics, scope.viewers)
             return replace_rows(stored, metrics, keys)
 
-        store(content, spark, table, schema, token)
+        store(content, spark, table, schema, token, emptied=scope.days if scope else [])
 
 
 def write_batch(
@@ -125,7 +125,9 @@ def write_batch(
         if reports.isEmpty():
             return
         source = reports
-        if mode == "recompute":
+        stored = any(exists(spark, table) for table in (paths.buffering, paths.quality))
+        # The very first batch has no history to reconcile with; later ones recompute what they touch.
+        if mode == "recompute" and stored:
             scope = affected_scope(sources.bronze(spark, paths, schema), reports, lookback_days)
             source = scope.reports = scope.reports.persist(StorageLevel.MEMORY_AND_DISK)
         tables = [
