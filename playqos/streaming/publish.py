@@ -6,11 +6,16 @@ then are the partitions overwritten from that copy. Lost executors cost task
 retries (the source is never deleted while it is read), and a driver that dies
 half-way replays the batch: the token tells that the copy is complete, so it is
 published again without being recomputed from a half-written table.
+
+Creating the table needs no copy: an unfinished creation carries no success
+marker and is simply repeated.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,28 +36,37 @@ def staging_of(table: str) -> str:
     return f"{table.rstrip('/')}__staged"
 
 
+def _writer(df: DataFrame, *partitions: str) -> DataFrameWriter:
+    # The success marker is part of the protocol here, so do not leave it to the cluster's defaults.
+    marked = df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    return marked.option("partitionOverwriteMode", "static").partitionBy(*partitions)
+
+
+def is_created(spark: SparkSession, table: str) -> bool:
+    return exists(spark, f"{table}/_SUCCESS")
+
+
 def is_staged(spark: SparkSession, table: str, token: str) -> bool:
     staged = staging_of(table)
     return exists(spark, f"{staged}/_SUCCESS") and exists(spark, f"{staged}/token={token}")
 
 
-def stage(content: DataFrame, table: str, token: str, emptied: list = ()) -> None:
-    """Write the new partitions aside. Rebalancing splits a heavy day into several files.
+def create(content: DataFrame, table: str) -> None:
+    """First content of a table. Rebalancing splits a heavy day into several files."""
+    _writer(content.hint("rebalance", PARTITION), PARTITION).parquet(table)
+
+
+def stage(content: DataFrame, table: str, token: str, days: list) -> None:
+    """Write the new partitions aside.
 
-    ``emptied`` lists days that may end up without rows; each gets a marker, so
-    that publishing knows about days the content itself does not mention.
+    Each of the ``days`` (those that are replaced) gets a marker row, so that
+    publishing knows about days of which the content holds nothing any more.
     """
-    marked = content.withColumn("isRow", F.lit(True))
-    if emptied:
-        markers = content.sparkSession.createDataFrame([(day,) for day in emptied], f"{PARTITION} date")
-        marked = marked.unionByName(markers.withColumn("isRow", F.lit(False)), allowMissingColumns=True)
-    (
-        marked.hint("rebalance", PARTITION)
-        .withColumn("token", F.lit(token))
-        .write.mode("overwrite")
-        .partitionBy("token", PARTITION)
-        .parquet(staging_of(table))
+    markers = content.sparkSession.createDataFrame([(day,) for day in days], f"{PARTITION} date")
+    marked = content.withColumn("isRow", F.lit(True)).unionByName(
+        markers.withColumn("isRow", F.lit(False)), allowMissingColumns=True
     )
+    _writer(marked.withColumn("token", F.lit(token)), "token").parquet(staging_of(table))
 
 
 def publish(spark: SparkSession, table: str, schema: T.StructType, token: str) -> None:
@@ -60,15 +74,12 @@ def publish(spark: SparkSession, table: str, schema: T.StructType, token: str) -
     with_marks = T.StructType([*schema.fields, T.StructField("isRow", T.BooleanType())])
     staged = spark.read.schema(with_marks).parquet(f"{staging_of(table)}/token={token}")
     rows = staged.where("isRow").drop("isRow")
-    (
-        rows.hint("rebalance", PARTITION)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION)
-        .parquet(table)
-    )
+    overwrite = _writer(rows.hint("rebalance", PARTITION), PARTITION)
+    overwrite.option("partitionOverwriteMode", "dynamic").parquet(table)
     # Days that lost their last row (at most one per calendar day).
-    left = staged.groupBy(PARTITION).agg(F.bool_or("isRow").alias("hasRows")).where("NOT hasRows")
+    left = staged.groupBy(PARTITION).agg(F.bool_or("isRow").alias("hasRows")).where(
+        f"NOT hasRows AND {PARTITION} IS NOT NULL"
+    )
     for (day,) in left.select(PARTITION).collect():
         folder = f"{table}/{PARTITION}={day.isoformat()}"
         if exists(spark, folder):
@@ -76,13 +87,20 @@ def publish(spark: SparkSession, table: str, schema: T.StructType, token: str) -
 
 
 def store(
-    content_of, spark: SparkSession, table: str, schema: T.StructType, token: str, emptied: list = ()
+    content_of: Callable[[DataFrame | None], DataFrame],
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    token: str,
+    days: list,
 ) -> None:
-    """Stage and publish ``content_of(current)``; ``current`` is None while there is no table.
+    """Create the table with ``content_of(None)``, or stage and publish ``content_of(current)``.
 
     ``content_of`` is not called when this token has been staged already.
     """
+    if not is_created(spark, table):
+        create(content_of(None), table)
+        return
     if not is_staged(spark, table, token):
-        current = silver(spark, table, schema) if exists(spark, table) else None
-        stage(content_of(current), table, token, emptied)
+        stage(content_of(silver(spark, table, schema)), table, token, days)
     publish(spark, table, schema, token)

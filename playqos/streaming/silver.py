@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from playqos.operators import reports as R
 from playqos.operators.metrics import buffering_metrics, quality_metrics
 from playqos.operators.upsert import replace_rows, replace_viewers
-from playqos.paths import LakePaths, ensure_dir, exists
+from playqos.paths import LakePaths, ensure_dir
 from playqos.schemas import (
     BUFFERING_KEYS,
     BUFFERING_METRICS,
@@ -35,7 +35,7 @@ from playqos.schemas import (
 )
 from playqos.session import broadcast_if_small
 from playqos.sources import reports as sources
-from playqos.streaming.publish import on_days, store
+from playqos.streaming.publish import is_created, on_days, store
 
 
 def _same_moment(low: int | None, high: int | None) -> Column:
@@ -102,7 +102,7 @@ def _upsert(
                 return replace_viewers(stored, metrics, scope.viewers)
             return replace_rows(stored, metrics, keys)
 
-        store(content, spark, table, schema, token, emptied=scope.days if scope else [])
+        store(content, spark, table, schema, token, days)
 
 
 def write_batch(
@@ -125,7 +125,7 @@ def write_batch(
         if reports.isEmpty():
             return
         source = reports
-        stored = any(exists(spark, table) for table in (paths.buffering, paths.quality))
+        stored = any(is_created(spark, table) for table in (paths.buffering, paths.quality))
         # The very first batch has no history to reconcile with; later ones recompute what they touch.
         if mode == "recompute" and stored:
             scope = affected_scope(sources.bronze(spark, paths, schema), reports, lookback_days)
