@@ -26,34 +26,39 @@ SCHEMA_VERSION = "1.0"
 ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
-def _missing(parsed: Column, field: str) -> Column:
-    """Absent, null, empty text, zero or false. The text "0" and blanks are present."""
-    path = f"$.{field}"
-    value = F.try_variant_get(parsed, path, "variant")
-    text = F.try_variant_get(parsed, path, "string")
-    kind = F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
-    numeric = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
-    return (
-        text.isNull()
-        | ((kind == "STRING") & (text == ""))
-        | (numeric & (F.try_variant_get(parsed, path, "double") == 0))
-        | ((kind == "BOOLEAN") & (text == "false"))
-    )
+# JSON texts of an id that count as missing, besides any spelling of zero.
+EMPTY_VALUES = ["null", '""', "false"]
+ZERO = r"^-?0(\.0*)?([eE][+-]?[0-9]+)?$"
+
+
+def _missing(json_text: Column) -> Column:
+    """Absent, null, empty text, zero or false. The text "0" and blanks are present.
+
+    The JSON text of a value tells the number 0 from the text "0" by its quotes.
+    """
+    return json_text.isNull() | json_text.isin(EMPTY_VALUES) | json_text.rlike(ZERO)
+
+
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row, however often it is used.
+
+    A one-element explode is a fence: filters on what is derived from the column
+    are not pushed below it, where they would compute it again for every use.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
 
 
 def classify(bodies: DataFrame) -> DataFrame:
-    """Add `parsed`, `events` and `reason` (null = accepted; the first failing check wins)."""
-    parsed = F.col("parsed")
-    no_id = reduce(or_, [_missing(parsed, field) for field in VIEWER])
-    return (
-        bodies.withColumn("parsed", F.try_parse_json("body"))
-        .withColumn("events", F.try_variant_get(parsed, "$.events", "array<variant>"))
-        .withColumn(
-            "reason",
-            F.when(parsed.isNull(), INVALID_JSON)
-            .when(no_id, MISSING_IDS)
-            .when(F.coalesce(F.size("events"), F.lit(0)) <= 0, NO_EVENTS),
-        )
+    """Add `parsed`, `found` and `reason` (null = accepted; the first failing check wins)."""
+    parsed, found = F.col("parsed"), F.col("found")
+    texts = [F.to_json(F.try_variant_get(parsed, f"$.{name}", "variant")).alias(name) for name in VIEWER]
+    events = F.try_variant_get(parsed, "$.events", "array<variant>").alias("events")
+    opened = _once(_once(bodies, "parsed", F.try_parse_json("body")), "found", F.struct(*texts, events))
+    return opened.withColumn(
+        "reason",
+        F.when(parsed.isNull(), INVALID_JSON)
+        .when(reduce(or_, [_missing(found[name]) for name in VIEWER]), MISSING_IDS)
+        .when(F.coalesce(F.size(found["events"]), F.lit(0)) <= 0, NO_EVENTS),
     )
 
 
@@ -67,8 +72,8 @@ def accepted(bodies: DataFrame) -> DataFrame:
         .where(F.col("reason").isNull())
         .select(
             *[F.try_variant_get("parsed", f"$.{name}", "string").alias(name) for name in VIEWER],
-            "events",
-            F.size("events").alias("batchSize"),
+            "found.events",
+            F.size("found.events").alias("batchSize"),
             F.try_variant_get("parsed", "$.sentAt", "bigint").alias("clientSentAt"),
             F.date_format("receivedAt", ISO_INSTANT).alias("serverReceivedAt"),
             F.date_format("receivedAt", "yyyy-MM-dd").alias("eventDate"),
@@ -89,7 +94,7 @@ def responses(bodies: DataFrame) -> DataFrame:
         *[c for c in bodies.columns if c != "body"],
         F.when(ok, 200).otherwise(400).alias("status"),
         F.when(ok, "OK").otherwise(F.col("reason")).alias("message"),
-        F.when(ok, F.size("events")).alias("received"),
+        F.when(ok, F.size("found.events")).alias("received"),
         F.when(ok, F.concat(F.lit("eventDate="), day)).alias("path"),
     )
 
