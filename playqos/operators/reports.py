@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ TRAFFIC_SIDES = {"sourceTraffic": "src", "p2pTraffic": "p2p"}
 
 def healthy(bronze: DataFrame) -> DataFrame:
     """Rows that can be credited to a viewer-day; plain null tests, so they reach the scan."""
-    return bronze.dropna(subset=[*VIEWER, "eventDate"])
+    return bronze.where(reduce(and_, [F.col(name).isNotNull() for name in [*VIEWER, "eventDate"]]))
 
 
 def defect() -> Column:

@@ -80,8 +80,9 @@ def affected_scope(bronze: DataFrame, batch_reports: DataFrame, lookback_days: i
     mine = history.join(viewers, VIEWER, "left_semi")
     days = sorted({*days, *_days_of(mine.where(_same_moment(low, high)))})
     low, high = on_days(mine, days).agg(F.min("timestampInfo.server"), F.max("timestampInfo.server")).first()
-    candidates = mine.where(F.col("eventDate").isin(days) | _same_moment(low, high))
-    return Scope(viewers, days, on_days(R.distinct_reports(R.compact(candidates)), days))
+    # This range spans every report of the days themselves, too.
+    reports = R.distinct_reports(R.compact(mine.where(_same_moment(low, high))))
+    return Scope(viewers, days, on_days(reports, days))
 
 
 def _upsert(

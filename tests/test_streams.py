@@ -30,7 +30,7 @@ def paths(tmp_path):
 
 def land(spark, paths, *rows, kind="parquet"):
     df = bronze(spark, *rows).select(*RAW)
-    df.write.mode("append").partitionBy("eventDate").format(kind).save(paths.raw)
+    df.coalesce(1).write.mode("append").partitionBy("eventDate").format(kind).save(paths.raw)
 
 
 def run(spark, paths, mode="recompute", **options):
@@ -177,6 +177,17 @@ def test_both_formats_and_rerun(spark, paths):
     assert sourced.first().qualityDistribution["720p"].sourceTraffic.receivedData == 8
 
 
+def test_landed_batches_read_as_reports_have_ids_only(spark, paths):
+    """Batches put into the raw zone pass the report schema: ids match, the rest is null."""
+    land(spark, paths, bronze_row())
+    with open(f"{paths.raw}/eventDate={DAY}/batch.json", "w") as out:
+        json.dump({"clientId": "b", "contentId": "m", "customerId": "k", "events": [{}], "batchSize": 1}, out)
+    run(spark, paths)
+    finish(ingest_json(spark, paths), 120)
+    row = sources.bronze(spark, paths).where("clientId = 'b'").first()
+    assert (row.timestampInfo, row.player, row.qualityDistribution, row.eventDate) == (None, None, None, DAY)
+
+
 def test_pretty_printed_needs_multi_line(spark, paths):
     land(spark, paths, bronze_row())
     with open(f"{paths.raw}/eventDate={DAY}/a.json", "w") as out:
