@@ -54,7 +54,7 @@ def traffic_levels(distribution: Column) -> Column:
                 fields.append(value.alias(prefix + suffix))
         return F.struct(*fields)
 
-    return F.array_sort(F.transform(F.map_entries(distribution), flat))
+    return F.sort_array(F.transform(F.map_entries(distribution), flat))
 
 
 def compact(bronze: DataFrame, with_traffic: bool = True) -> DataFrame:
