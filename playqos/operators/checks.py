@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def preview(df: DataFrame, columns: list[str], rows: int = 5) -> DataFrame:
+    """The first rows of some (possibly nested) columns, for a look at the data."""
+    return df.select(*[F.col(c).alias(c.replace(".", "_")) for c in columns]).limit(rows)
+
+
 def profile(df: DataFrame) -> DataFrame:
     """Row count, column count and column names, as one row."""
     return df.agg(F.count("*").alias("rowCount")).select(

@@ -53,7 +53,8 @@ def quality_metrics(reports: DataFrame, normalise_labels: bool = False) -> DataF
     """Traffic per viewer-day and quality label, with the label that carried most bytes marked.
 
     The window runs on aggregated rows: one viewer-day holds one row per label
-    it played, however many reports it sent. Ties are all dominant.
+    it played, however many reports it sent, and the buffer of an unordered
+    window spills. Ties are all dominant.
     """
     rows = R.traffic_rows(reports)
     if normalise_labels:

@@ -25,7 +25,7 @@ LEVEL_SWITCH = "level_switched"
 SCHEMA_VERSION = "1.0"
 UNKNOWN_QUALITY = "unknown"
 FLUSH_INTERVAL_MS = 10_000
-SLICE_MS = 3_600_000
+SLICE_MS = 600_000
 
 _SESSION = [*VIEWER, "sessionStartedAt"]
 _ORDER = ["ts", "seq"]

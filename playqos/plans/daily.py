@@ -32,16 +32,18 @@ def run_daily(
     multi_line_json: bool = True,
     max_files: int | None = None,
     timeout: int | None = None,
+    new_files_since: str | None = None,
 ) -> DailyResult:
     """Process whatever is new and return the tables and charts.
 
     ``full_refresh`` names a new generation: everything is rebuilt from the raw
     zone into new folders with new checkpoints, the old generation stays.
+    ``new_files_since`` (a timestamp) spares the look for new columns the files before it.
     """
     configure(spark)
     if full_refresh:
         paths = replace(paths, generation=full_refresh)
-    schema = evolution.evolve(spark, paths)
+    schema = evolution.evolve(spark, paths, new_files_since)
     finish(ingest_parquet(spark, paths, ingested_date, schema, max_files), timeout)
     finish(ingest_json(spark, paths, ingested_date, multi_line_json, max_files), timeout)
     finish(bronze_to_silver(spark, paths, mode, schema=schema, max_files=max_files), timeout)

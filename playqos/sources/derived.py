@@ -42,7 +42,7 @@ def telemetry(events_df: DataFrame) -> DataFrame:
                  sourceTraffic: STRUCT<requests: INT, responses: DOUBLE, requestedData: BIGINT, receivedData: BIGINT>,
                  p2pTraffic: STRUCT<requests: INT, responses: DOUBLE, requestedData: BIGINT, receivedData: BIGINT>>)
                AS totalDistribution""",
-            """CASE WHEN event_id % 13 = 0 THEN NULL ELSE map_filter(map(
+            """CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 19 = 0 THEN map() ELSE map(
                  element_at(array('270p', '480p', '720p', '1080p', '1440p', '4K', '2160p', 'unknown'),
                             CAST(event_id % 8 AS INT) + 1),
                  named_struct(
@@ -57,7 +57,7 @@ def telemetry(events_df: DataFrame) -> DataFrame:
                    'sourceTraffic', named_struct(
                       'requests', 0, 'responses', 0.0D, 'requestedData', 0L, 'receivedData', 0L),
                    'p2pTraffic', NULL) END
-               ), (label, level) -> event_id % 19 <> 0) END AS qualityDistribution""",
+               ) END AS qualityDistribution""",
             "CAST(ts AS DATE) AS eventDate",
             "ts AS _ingested_at",
             "CAST(event_id % 2 AS STRING) AS _source_file",

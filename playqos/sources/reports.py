@@ -75,7 +75,8 @@ def bronze(spark: SparkSession, paths: LakePaths, schema: T.StructType = REPORT)
     batches stay invisible. Old files give null for columns added later.
     """
     folders = [f for f in map(paths.bronze, STREAMS) if exists(spark, f)]
-    return _together([spark.read.schema(bronze_schema(schema)).parquet(f) for f in folders])
+    whole = bronze_schema(schema)
+    return _together([spark.read.schema(whole).parquet(f) for f in folders] or [spark.createDataFrame([], whole)])
 
 
 def bronze_stream(

@@ -111,16 +111,14 @@ def write_batch(
     batch_id: int,
     paths: LakePaths,
     mode: str = "recompute",
-    strict: bool = False,
     schema: T.StructType = REPORT,
     lookback_days: int | None = None,
     normalise_labels: bool = False,
 ) -> None:
-    """Upsert one micro-batch. ``strict`` lets rows without ids or date through (replace mode only)."""
+    """Upsert one micro-batch of compacted reports. The same id must always come with the same rows."""
     spark = batch.sparkSession
     run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-    reports = R.distinct_reports(R.compact(batch if strict else R.healthy(batch)))
-    reports = reports.persist(StorageLevel.MEMORY_AND_DISK)
+    reports = R.distinct_reports(batch).persist(StorageLevel.MEMORY_AND_DISK)
     scope = None
     try:
         if reports.isEmpty():
@@ -152,7 +150,10 @@ def bronze_to_silver(
     lookback_days: int | None = None,
     normalise_labels: bool = False,
 ) -> StreamingQuery:
-    """Start the silver stream over everything new in bronze; it stops when drained."""
+    """Start the silver stream over everything new in bronze; it stops when drained.
+
+    ``strict`` lets rows without ids or date through, which only replace mode can store.
+    """
     if mode not in ("recompute", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
     if strict and mode != "replace":
@@ -161,10 +162,12 @@ def bronze_to_silver(
         ensure_dir(spark, paths.bronze(name))
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, paths, mode, strict, schema, lookback_days, normalise_labels)
+        write_batch(batch, batch_id, paths, mode, schema, lookback_days, normalise_labels)
 
+    stream = sources.bronze_stream(spark, paths, schema, max_files)
+    # Filter and project on the stream: what happens inside the batch function no longer reaches its scan.
     return (
-        sources.bronze_stream(spark, paths, schema, max_files)
+        R.compact(stream if strict else R.healthy(stream))
         .writeStream.foreachBatch(upsert)
         .option("checkpointLocation", paths.checkpoint("silver"))
         .trigger(availableNow=True)

@@ -97,7 +97,7 @@ def test_metrics_of_a_busy_viewer_are_aggregated_before_they_move(spark, skewed)
 def test_a_long_session_is_split_into_slices(spark):
     signals = spark.range(0, ROWS, numPartitions=8).selectExpr(
         "'one' AS sessionId", "'c' AS clientId", "'m' AS contentId", "'k' AS customerId",
-        "id * 4000 AS ts", "id AS seq", "CASE id % 2 WHEN 0 THEN 'waiting' ELSE 'playing' END AS signal",
+        "id * 7000 AS ts", "id AS seq", "CASE id % 2 WHEN 0 THEN 'waiting' ELSE 'playing' END AS signal",
         "270 AS height", "1 AS width", "1L AS bitrate", "0L AS sessionStartedAt",
     )
     with static_plan(spark):

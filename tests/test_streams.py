@@ -126,7 +126,7 @@ def test_replay_publishes_the_staged_copy(spark, paths):
     """The driver dies after the copy is complete, before or amid publishing."""
     land(spark, paths, bronze_row(bufferings=1))
     run(spark, paths, "replace")
-    batch = bronze(spark, bronze_row(bufferings=3), bronze_row(client="new"))
+    batch = R.compact(bronze(spark, bronze_row(bufferings=3), bronze_row(client="new")))
     write_batch(batch, 7, paths, "replace")
     after = buffering(spark, paths)
     assert after == [("c1", DAY, 3, 1), ("new", DAY, 0, 1)]
@@ -142,7 +142,7 @@ def test_unfinished_creation_is_repeated(spark, paths):
     stray = M.buffering_from_bronze(bronze(spark, bronze_row(client="half-written")))
     stray.write.partitionBy("eventDate").parquet(paths.buffering)
     os.remove(f"{paths.buffering}/_SUCCESS")
-    write_batch(bronze(spark, bronze_row()), 0, paths, "replace")
+    write_batch(R.compact(bronze(spark, bronze_row())), 0, paths, "replace")
     assert buffering(spark, paths) == [("c1", DAY, 0, 1)]
     assert publish.is_created(spark, paths.buffering)
 
@@ -213,6 +213,9 @@ def test_raw_day_and_listing(spark, paths):
     assert one.count() == 1 and "eventDate" not in one.columns
     assert checks.schema_differences(one.schema, REPORT) == []
     assert sources.raw_day(spark, paths, DAY.isoformat(), REPORT).first().clientId == "c1"
+    seen = checks.preview(one, ["clientId", "timestampInfo.server", "player.bufferings"])
+    assert [tuple(r) for r in seen.collect()] == [("c1", 1_000, 0)]
+    assert seen.columns == ["clientId", "timestampInfo_server", "player_bufferings"]
     files = sources.raw_files(spark, paths.raw)
     assert files.where("length > 0 AND path LIKE '%.parquet'").count() == 2
     assert by(sources.rows_per_file(one), "rowCount") == [(1,)]
@@ -232,6 +235,7 @@ def test_evolution_rules(spark, paths):
     with pytest.raises(evolution.SchemaConflict, match="n.x"):
         evolution.merged(wide, T.StructType().add("n", T.StructType().add("x", "string")))
     assert evolution.evolve(spark, paths) == REPORT  # no raw zone yet
+    assert sources.bronze(spark, paths).count() == 0
     land(spark, paths, bronze_row())
     assert evolution.evolve(spark, paths) == REPORT
     spark.range(1).selectExpr("'c' AS clientId", "'v2' AS sdk").write.mode("append").parquet(f"{paths.raw}/eventDate={NEXT}")
