@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+LINEAGE_COLUMNS = ["_ingested_at", "_source_file", "_ingested_date"]
+
 
 def preview(df: DataFrame, columns: list[str], rows: int = 5) -> DataFrame:
     """The first rows of some (possibly nested) columns, for a look at the data."""
@@ -27,7 +29,7 @@ def null_census(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def lineage_nulls(bronze: DataFrame) -> DataFrame:
-    return null_census(bronze, ["_ingested_at", "_source_file", "_ingested_date"])
+    return null_census(bronze, LINEAGE_COLUMNS)
 
 
 def metric_nulls(buffering: DataFrame) -> DataFrame:

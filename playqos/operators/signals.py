@@ -25,7 +25,10 @@ LEVEL_SWITCH = "level_switched"
 SCHEMA_VERSION = "1.0"
 UNKNOWN_QUALITY = "unknown"
 FLUSH_INTERVAL_MS = 10_000
-SLICE_MS = 600_000
+
+# Not fixed: how much of one session a task may have to sort or hold at once.
+SLICE_MS = 10_000
+MAX_BATCH_EVENTS = 10_000
 
 _SESSION = [*VIEWER, "sessionStartedAt"]
 _ORDER = ["ts", "seq"]
@@ -140,23 +143,28 @@ def player_events(signals: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
     )
 
 
-def event_batches(events: DataFrame, interval_ms: int = FLUSH_INTERVAL_MS) -> DataFrame:
+def event_batches(
+    events: DataFrame, interval_ms: int = FLUSH_INTERVAL_MS, max_events: int = MAX_BATCH_EVENTS
+) -> DataFrame:
     """Wire batches: what a session emitted between two ticks of its own clock.
 
-    A batch is one row by definition; it holds one interval of one session.
-    Intervals without events give no batch.
+    Intervals without events give no batch. One with more than ``max_events``
+    gives several, numbered by `part`, so no row grows without bound.
     """
-    tick = F.floor(F.col("sessionDurationMs") / interval_ms)
+    batch = ["sessionId", "sessionStartedAt", *VIEWER, "tick"]
+    position = F.row_number().over(Window.partitionBy(*batch).orderBy("timestamp", "seq"))
     event = F.struct(*PLAYER_EVENT.fieldNames()).alias("event")
     return (
-        events.withColumn("tick", tick)
-        .groupBy("sessionId", "sessionStartedAt", *VIEWER, "tick")
+        events.withColumn("tick", F.floor(F.col("sessionDurationMs") / interval_ms))
+        .withColumn("part", F.floor((position - 1) / max_events))
+        .groupBy(*batch, "part")
         .agg(F.sort_array(F.collect_list(F.struct("timestamp", "seq", event))).alias("ordered"))
         .select(
             "sessionId",
             "tick",
+            "part",
             *VIEWER,
-            F.transform("ordered", lambda e: e["event"]).alias("events"),
+            F.col("ordered.event").alias("events"),
             F.size("ordered").alias("batchSize"),
             (F.col("sessionStartedAt") + (F.col("tick") + 1) * interval_ms).alias("sentAt"),
         )
@@ -166,7 +174,7 @@ def event_batches(events: DataFrame, interval_ms: int = FLUSH_INTERVAL_MS) -> Da
 def wire_bodies(batches: DataFrame) -> DataFrame:
     """The batches as JSON request bodies."""
     return batches.select(
-        "sessionId", "tick", F.to_json(F.struct(*VIEWER, "events", "batchSize", "sentAt")).alias("body")
+        "sessionId", "tick", "part", F.to_json(F.struct(*VIEWER, "events", "batchSize", "sentAt")).alias("body")
     )
 
 

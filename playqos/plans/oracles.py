@@ -221,8 +221,10 @@ ORACLES: dict[str, str] = {
     "stream_ingest_both": BRONZE_ROWS,
     "ingest_idempotency": f"""WITH {FLAT}, {DOUBLED} SELECT count(*) AS rowsBefore, count(*) AS rowsAfter,
       CAST(0 AS BIGINT) AS rowsAdded FROM doubled""",
-    "bronze_lineage_nulls": """SELECT CAST(0 AS BIGINT) AS null__ingested_at, CAST(0 AS BIGINT) AS null__source_file,
-      CAST(0 AS BIGINT) AS null__ingested_date""",
+    "bronze_lineage_nulls": f"""WITH {FLAT}, {DOUBLED} SELECT CAST(0 AS BIGINT) AS null__ingested_at,
+      CAST(0 AS BIGINT) AS null__source_file, CAST(0 AS BIGINT) AS null__ingested_date,
+      count(*) FILTER (WHERE customerId IS NULL) AS "null_customerId",
+      count(*) FILTER (WHERE event_id % 17 = 0) AS null_player FROM doubled""",
     "schema_evolution": f"""WITH {FLAT}, {DOUBLED} SELECT clientId, serverTs,
       CAST(CASE WHEN event_id % 17 = 0 THEN NULL ELSE bufferings END AS INT) AS bufferings,
       CASE WHEN event_id % 2 = 1 AND event_id % 17 <> 0 THEN 3 END AS droppedFrames,
@@ -240,11 +242,13 @@ ORACLES: dict[str, str] = {
     "quality_switches": f"WITH {SIGNALS}, {SWITCHES} SELECT * FROM switches",
     "player_events": f"WITH {SIGNALS}, {STALLS}, {SWITCHES}, {EVENTS} SELECT * FROM player_events",
     "event_batches": f"""WITH {SIGNALS}, {STALLS}, {SWITCHES}, {EVENTS}
-      SELECT sessionId, sessionDurationMs // 10000 AS tick, clientId, contentId, customerId, CAST(count(*) AS INT) AS batchSize,
+      SELECT sessionId, sessionDurationMs // 10000 AS tick, part, clientId, contentId, customerId, CAST(count(*) AS INT) AS batchSize,
         any_value(sessionStartedAt) + (sessionDurationMs // 10000 + 1) * 10000 AS sentAt,
         string_agg(eventType, ',' ORDER BY "timestamp", seq) AS eventTypes,
         string_agg(CAST("timestamp" AS VARCHAR), ',' ORDER BY "timestamp", seq) AS timestamps
-      FROM player_events GROUP BY sessionId, sessionDurationMs // 10000, clientId, contentId, customerId""",
+      FROM (SELECT *, (row_number() OVER (PARTITION BY sessionId, sessionDurationMs // 10000 ORDER BY "timestamp", seq) - 1)
+        // 10000 AS part FROM player_events)
+      GROUP BY sessionId, sessionDurationMs // 10000, part, clientId, contentId, customerId""",
     "sampled_sessions": f"""WITH {SIGNALS} SELECT sessionId, seq FROM signals
       WHERE CAST(('0x' || substr(md5(sessionId), 1, 8))::BIGINT AS DOUBLE) / 4294967296 <= CAST(0.3 AS DOUBLE)""",
     "session_starts": f"""WITH {SIGNALS} SELECT seq, ts - min(ts) OVER (PARTITION BY sessionId) AS sessionDurationMs

@@ -63,6 +63,9 @@ def test_batches_follow_the_session_clock(spark):
     batches = G.event_batches(G.player_events(frame(spark, rows)))
     got = sorted(tuple(r) for r in batches.select("tick", "batchSize", "sentAt", "events.timestamp").collect())
     assert got == [(0, 2, 10_000, [0, 9_999]), (1, 1, 20_000, [10_000]), (3, 1, 40_000, [35_000])]
+    parts = G.event_batches(G.player_events(frame(spark, rows)), interval_ms=20_000, max_events=2)
+    got = sorted(tuple(r) for r in parts.select("tick", "part", "events.timestamp").collect())
+    assert got == [(0, 0, [0, 9_999]), (0, 1, [10_000]), (1, 0, [35_000])]
     bodies = G.wire_bodies(batches).where("tick = 1").first().body
     assert '"batchSize":1,"sentAt":20000' in bodies and '"fromQuality":"270p"' in bodies
 
