@@ -38,14 +38,16 @@ from playqos.sources import reports as sources
 from playqos.streaming.publish import is_created, on_days, store
 
 
-def _same_moment(low: int | None, high: int | None) -> Column:
-    """Reports that may be copies of reports between two timestamps.
+def _same_moment(reports: DataFrame, moment: str) -> Column:
+    """Bronze rows that may be copies of one of ``reports``, whose server timestamp is ``moment``.
 
-    Copies share the server timestamp, so this range is exact, and Parquet
-    statistics skip the row groups outside it.
+    Copies share the timestamp (none is a timestamp, too), so the range from the
+    first to the last is exact, and Parquet statistics skip the row groups outside.
     """
-    moment = F.col("timestampInfo.server")
-    return moment.between(low, high) | moment.isNull() if low is not None else moment.isNull()
+    low, high, missing = reports.agg(F.min(moment), F.max(moment), F.count_if(F.col(moment).isNull())).first()
+    server = F.col("timestampInfo.server")
+    known = server.between(low, high) if low is not None else F.lit(False)
+    return known | server.isNull() if missing else known
 
 
 def _days_of(df: DataFrame) -> list:
@@ -76,12 +78,11 @@ def affected_scope(bronze: DataFrame, batch_reports: DataFrame, lookback_days: i
     history = R.healthy(bronze)
     if lookback_days is not None:
         history = history.where(F.col("eventDate") >= F.date_sub(F.lit(min(days)), lookback_days))
-    low, high = batch_reports.agg(F.min("serverTs"), F.max("serverTs")).first()
     mine = history.join(viewers, VIEWER, "left_semi")
-    days = sorted({*days, *_days_of(mine.where(_same_moment(low, high)))})
-    low, high = on_days(mine, days).agg(F.min("timestampInfo.server"), F.max("timestampInfo.server")).first()
+    days = sorted({*days, *_days_of(mine.where(_same_moment(batch_reports, "serverTs")))})
     # This range spans every report of the days themselves, too.
-    reports = R.distinct_reports(R.compact(mine.where(_same_moment(low, high))))
+    candidates = mine.where(_same_moment(on_days(mine, days), "timestampInfo.server"))
+    reports = R.distinct_reports(R.compact(candidates))
     return Scope(viewers, days, on_days(reports, days))
 
 

@@ -22,7 +22,8 @@ def one(df):
 
 @pytest.mark.parametrize(
     "count, category",
-    [(-1, "High"), (0, "No Buffering"), (1, "Low"), (2, "Low"), (3, "Medium"), (4, "Medium"), (5, "High"), (None, "High")],
+    [(-1, "High"), (0, "No Buffering"), (1, "Low"), (2, "Low"), (3, "Medium"), (4, "Medium"), (5, "High"),
+     (None, "High")],
 )
 def test_category_boundaries(spark, count, category):
     df = spark.createDataFrame([(count,)], "n bigint")
@@ -64,7 +65,8 @@ def test_session_is_a_calendar_day(spark):
         bronze_row(server=20_000, day=DAY + dt.timedelta(days=1)),
         bronze_row(server=30_000, player=False),
     ]
-    got = by(M.buffering_from_bronze(bronze(spark, *rows)), "eventDate", "totalBufferings", "sessionDurationSec", "bufferingPct")
+    table = M.buffering_from_bronze(bronze(spark, *rows))
+    got = by(table, "eventDate", "totalBufferings", "sessionDurationSec", "bufferingPct")
     assert got == [(DAY, 2, 30.0, 0.5 / 30.0 * 100), (DAY + dt.timedelta(days=1), 0, 0.0, 0.0)]
 
 

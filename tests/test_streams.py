@@ -106,7 +106,8 @@ def test_null_server_timestamps_are_copies_of_each_other(spark, paths):
 
 def test_strict_replace_duplicates_null_keys(spark, paths):
     for server in (1, 2):
-        land(spark, paths, bronze_row(client=None, server=server, bufferings=server), bronze_row(server=server, bufferings=5))
+        rows = bronze_row(client=None, server=server, bufferings=server), bronze_row(server=server, bufferings=5)
+        land(spark, paths, *rows)
         run(spark, paths, "replace", strict=True)
     table = sources.silver(spark, paths.buffering, BUFFERING_METRICS)
     assert table.where("clientId IS NULL").count() == 2 and table.where("clientId IS NOT NULL").count() == 1
@@ -230,7 +231,8 @@ def test_schema_differences():
 
 def test_evolution_rules(spark, paths):
     wide = T.StructType().add("a", "integer").add("n", T.StructType().add("x", "long"))
-    grown = evolution.merged(wide, T.StructType().add("n", T.StructType().add("x", "integer").add("y", "string")).add("b", "double"))
+    nested = T.StructType().add("x", "integer").add("y", "string")
+    grown = evolution.merged(wide, T.StructType().add("n", nested).add("b", "double"))
     assert grown.simpleString() == "struct<a:int,n:struct<x:bigint,y:string>,b:double>"
     with pytest.raises(evolution.SchemaConflict, match="n.x"):
         evolution.merged(wide, T.StructType().add("n", T.StructType().add("x", "string")))
@@ -238,9 +240,58 @@ def test_evolution_rules(spark, paths):
     assert sources.bronze(spark, paths).count() == 0
     land(spark, paths, bronze_row())
     assert evolution.evolve(spark, paths) == REPORT
-    spark.range(1).selectExpr("'c' AS clientId", "'v2' AS sdk").write.mode("append").parquet(f"{paths.raw}/eventDate={NEXT}")
+    newer = spark.range(1).selectExpr("'c' AS clientId", "'v2' AS sdk")
+    newer.write.mode("append").parquet(f"{paths.raw}/eventDate={NEXT}")
     assert evolution.evolve(spark, paths).fieldNames() == [*REPORT.fieldNames(), "sdk"]
     assert evolution.stored_schema(spark, paths).fieldNames()[-1] == "sdk"
     spark.range(1).selectExpr("1 AS contentId").write.mode("append").parquet(f"{paths.raw}/eventDate=2025-03-01")
     with pytest.raises(Exception):
         evolution.evolve(spark, paths)
+
+
+@pytest.mark.parametrize("mode, victim", [("replace", "quality"), ("recompute", "buffering")])
+def test_a_dying_driver_is_healed_by_the_restart(spark, tmp_path, monkeypatch, mode, victim):
+    """The run dies while one table is half published; the restarted stream ends as if nothing happened."""
+    outcome = []
+    for crash in (False, True):
+        paths = LakePaths(str(tmp_path / str(crash)))
+        land(spark, paths, bronze_row(bufferings=1, levels={"4K": level(1)}), bronze_row(client="a", day=NEXT))
+        run(spark, paths, mode)
+        late = bronze_row(server=2, bufferings=2, levels={"4K": level(3)})
+        land(spark, paths, late, bronze_row(client="b", day=NEXT))
+        if crash:
+            whole = publish.publish
+
+            def half(spark, table, schema, token, whole=whole, paths=paths):
+                if table == getattr(paths, victim):
+                    nothing = spark.range(0).selectExpr("CAST(NULL AS STRING) AS clientId")
+                    nothing.write.mode("overwrite").parquet(f"{table}/eventDate={DAY}")
+                    raise RuntimeError("driver lost")
+                whole(spark, table, schema, token)
+
+            monkeypatch.setattr(publish, "publish", half)
+            with pytest.raises(Exception, match="driver lost"):
+                run(spark, paths, mode)
+            monkeypatch.undo()
+        run(spark, paths, mode)
+        outcome.append((buffering(spark, paths), quality(spark, paths)))
+    assert outcome[0] == outcome[1]
+    assert outcome[0][0][-1] == ("c1", DAY, *((2, 1) if mode == "replace" else (3, 2)))
+
+
+def test_a_run_that_dies_while_creating_is_healed(spark, paths, monkeypatch):
+    land(spark, paths, bronze_row(bufferings=1, levels={"4K": level(1)}))
+    create = publish.create
+
+    def half(content, table):
+        if table == paths.quality:
+            raise RuntimeError("driver lost")
+        create(content, table)
+
+    monkeypatch.setattr(publish, "create", half)
+    with pytest.raises(Exception, match="driver lost"):
+        run(spark, paths)
+    monkeypatch.undo()
+    run(spark, paths)
+    assert buffering(spark, paths) == [("c1", DAY, 1, 1)]
+    assert quality(spark, paths) == [("c1", DAY, "4K", 1)]
