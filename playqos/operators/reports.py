@@ -61,14 +61,14 @@ def compact(bronze: DataFrame, with_traffic: bool = True) -> DataFrame:
     """Only what the metrics need, flattened, *before* anything is shuffled.
 
     Column order matters: everything after the key is also the order in which
-    copies of a report are ranked, see :func:`distinct_reports`.
+    copies of a report are ranked, see :func:`distinct_reports`. The source file
+    takes no part: no metric shows it, and its long path would be shuffled along.
     """
     columns = [
         *VIEWER,
         F.col("timestampInfo.server").alias("serverTs"),
         "eventDate",
         F.col("_ingested_at").alias("ingestedAt"),
-        F.col("_source_file").alias("sourceFile"),
         F.coalesce("player.bufferings", F.lit(0)).alias("bufferings"),
         F.coalesce("player.bufferingTime", F.lit(0)).alias("bufferingTime"),
     ]
@@ -78,7 +78,7 @@ def compact(bronze: DataFrame, with_traffic: bool = True) -> DataFrame:
 
 
 def distinct_reports(compacted: DataFrame) -> DataFrame:
-    """One row per report: the smallest copy by event date, ingest time, file, then payload.
+    """One row per report: the smallest copy by event date, ingest time, then payload.
 
     ``min`` over the whole rest of the row is deterministic and combines on the
     map side, so a report with millions of copies reaches the shuffle as one

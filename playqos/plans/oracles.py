@@ -15,7 +15,6 @@ FLAT = f"""flat AS (
   SELECT CASE WHEN event_id % 101 = 0 THEN NULL ELSE 'cust-' || (user_id % 3) END AS customerId,
     'content-' || (user_id % 7) AS contentId, 'client-' || user_id AS clientId,
     epoch_us(ts) // 1000 AS serverTs, CAST(CAST(ts AS DATE) AS VARCHAR) AS eventDate, epoch_us(ts) AS ingestedAt,
-    CAST(event_id % 2 AS VARCHAR) AS sourceFile,
     CASE WHEN event_id % 17 = 0 THEN 0 ELSE event_id % 4 END AS bufferings,
     CASE WHEN event_id % 17 = 0 THEN 0 ELSE k * 100 END AS bufferingTime,
     CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 19 = 0 THEN 0 ELSE 2 END AS labels, event_id, k, ql
@@ -169,8 +168,8 @@ ORACLES: dict[str, str] = {
       labels, eventDate FROM doubled""",
     "dedup_reports": f"""WITH {FLAT}, {DOUBLED}
       SELECT DISTINCT ON (clientId, contentId, customerId, serverTs) clientId, contentId, customerId, serverTs, eventDate,
-        ingestedAt, sourceFile, CAST(bufferings AS INT) AS bufferings, bufferingTime, labels
-      FROM doubled ORDER BY eventDate, ingestedAt, sourceFile""",
+        ingestedAt, CAST(bufferings AS INT) AS bufferings, bufferingTime, labels
+      FROM doubled ORDER BY eventDate, ingestedAt""",
     "dedup_any_copy": f"WITH {FLAT}, {DOUBLED} SELECT DISTINCT clientId, contentId, customerId, serverTs FROM doubled",
     "buffering_metrics": f"{ON_BUFFERING} SELECT * FROM m",
     "traffic_flat": f"WITH {FLAT}, {_traffic('flat', 't')} SELECT * FROM t",
