@@ -124,10 +124,14 @@ def quality_switches(signals: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
     )
 
 
-def with_session_start(signals: DataFrame) -> DataFrame:
+def with_session_start(signals: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
     """For signals that do not carry their session's start: the first signal's time."""
-    starts = signals.groupBy("sessionId").agg(F.min("ts").alias("sessionStartedAt"))
-    return signals.join(starts, "sessionId")
+    sliced = _sliced(signals, slice_ms)
+    firsts = sliced.groupBy(*_SLICE).agg(F.min("ts").alias("first"))
+    starts = firsts.select(
+        *_SLICE, F.min("first").over(Window.partitionBy("sessionId")).alias("sessionStartedAt")
+    )
+    return sliced.join(starts, _SLICE).drop("slice")
 
 
 def player_events(signals: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:

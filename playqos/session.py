@@ -37,15 +37,25 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def broadcast_if_small(keys: DataFrame, limit_bytes: int = 64 << 20, limit_rows: int = 1_000_000) -> DataFrame:
-    """Hint a broadcast only after measuring the side.
-
-    ``keys`` should be persisted or cheap: this runs one aggregate over it.
-    Beyond the limits the frame is returned without a hint and the join
-    shuffles, where AQE splits skewed partitions.
-    """
+def is_small(keys: DataFrame, limit_bytes: int = 64 << 20, limit_rows: int = 1_000_000) -> bool:
+    """Whether a frame may be broadcast: measured by one aggregate over it, so it should be persisted or cheap."""
     width = sum(
         (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 24 for c in keys.columns), F.lit(0)
     )
     rows, size = keys.agg(F.count("*"), F.sum(width.cast("long"))).first()
-    return F.broadcast(keys) if rows <= limit_rows and (size or 0) <= limit_bytes else keys
+    return rows <= limit_rows and (size or 0) <= limit_bytes
+
+
+def rows_of_keys(df: DataFrame, keys: DataFrame, spread: list[str], salts: int = 64) -> DataFrame:
+    """Rows of ``df`` whose key is in ``keys`` (a semi join that one busy key cannot hold up).
+
+    A small key set is broadcast. A large one is repeated for each salt, and the
+    rows of one key are spread over the salts by the columns ``spread``. The salt also keeps
+    a later grouping from inheriting a partitioning by the bare key.
+    """
+    on = keys.columns
+    if is_small(keys):
+        return df.join(F.broadcast(keys), on, "left_semi")
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
+    repeated = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
+    return salted.join(repeated, [*on, "_salt"], "left_semi").drop("_salt")

@@ -33,7 +33,7 @@ from playqos.schemas import (
     REPORT,
     VIEWER,
 )
-from playqos.session import broadcast_if_small
+from playqos.session import rows_of_keys
 from playqos.sources import reports as sources
 from playqos.streaming.publish import is_created, on_days, store
 
@@ -73,12 +73,12 @@ def affected_scope(bronze: DataFrame, batch_reports: DataFrame, lookback_days: i
     reports elsewhere must be seen too. Both steps are range-pruned scans.
     ``lookback_days`` bounds the scans where older copies are known not to occur.
     """
-    viewers = broadcast_if_small(batch_reports.select(*VIEWER).distinct())
+    viewers = batch_reports.select(*VIEWER).distinct()
     days = _days_of(batch_reports)
     history = R.healthy(bronze)
     if lookback_days is not None:
         history = history.where(F.col("eventDate") >= F.date_sub(F.lit(min(days)), lookback_days))
-    mine = history.join(viewers, VIEWER, "left_semi")
+    mine = rows_of_keys(history, viewers, spread=["timestampInfo.server", "_source_file"])
     days = sorted({*days, *_days_of(mine.where(_same_moment(batch_reports, "serverTs")))})
     # This range spans every report of the days themselves, too.
     candidates = mine.where(_same_moment(on_days(mine, days), "timestampInfo.server"))

@@ -13,8 +13,8 @@ from playqos.operators import signals as G
 from playqos.paths import LakePaths
 from playqos.plans import dashboard
 from playqos.plans.queries import _ingest, _telemetry, _write_raw
-from playqos.schemas import BUFFERING_METRICS
-from playqos.session import broadcast_if_small, scratch_dir
+from playqos.schemas import BUFFERING_METRICS, VIEWER
+from playqos.session import is_small, rows_of_keys, scratch_dir
 from playqos.sources import reports as sources
 from playqos.streaming.publish import on_days
 from playqos.streaming.silver import affected_scope
@@ -132,17 +132,39 @@ def test_days_prune_partitions(spark, lake):
     assert re.search(r"PartitionFilters: \[.*eventDate#\d+ = 2025-01-10", plan)
 
 
-def test_recompute_reads_a_time_range_and_checks_what_it_broadcasts(spark, lake):
+def test_recompute_reads_a_time_range(spark, lake):
     bronze = sources.bronze(spark, lake)
     batch = R.distinct_reports(R.compact(bronze.where("clientId = 'client-1' AND eventDate = '2024-01-05'")))
     scope = affected_scope(bronze, batch)
     plan = plan_of(scope.reports)
     assert "GreaterThanOrEqual(timestampInfo.server" in plan
     assert [d.isoformat() for d in scope.days] in (["2024-01-05"], [])
-    big = spark.range(100).select(F.col("id").cast("string").alias("k"))
-    assert "ResolvedHint" not in broadcast_if_small(big, limit_rows=99)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" in broadcast_if_small(big)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_small(big, limit_bytes=100)._jdf.queryExecution().analyzed().toString()
+    assert "BroadcastHashJoin LeftSemi" in plan
+
+
+def test_large_key_sets_are_joined_with_salt(spark, skewed, monkeypatch):
+    keys = spark.range(100).select(F.col("id").cast("string").alias("k"))
+    assert is_small(keys) and not is_small(keys, limit_rows=99) and not is_small(keys, limit_bytes=100)
+    monkeypatch.setattr("playqos.session.is_small", lambda keys: False)
+    viewers = skewed.where("clientId <> 'copied'").select(*VIEWER).distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with static_plan(spark):
+            mine = rows_of_keys(skewed, viewers, spread=["timestampInfo.server", "_source_file"])
+            sizes = [r["count"] for r in mine.groupBy(F.spark_partition_id()).count().collect()]
+            # The busy viewer is spread, and the dedup does not settle for a partitioning by viewer.
+            assert sum(sizes) == ROWS * 2 // 3 and len(sizes) == 8 and max(sizes) < 2 * ROWS / 3 * 2 / 8
+            exchanges = plan_of(R.distinct_reports(R.compact(mine))).count("hashpartitioning(clientId")
+            assert exchanges >= 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_session_starts_are_found_by_slice(spark):
+    rows = [("a", 5), ("a", 25_000), ("b", 70_000), ("a", 90_000)]
+    df = spark.createDataFrame(rows, "sessionId string, ts bigint")
+    got = sorted(tuple(r) for r in G.with_session_start(df).select("sessionId", "ts", "sessionStartedAt").collect())
+    assert got == [("a", 5, 5), ("a", 25_000, 5), ("a", 90_000, 5), ("b", 70_000, 70_000)]
 
 
 def test_limited_chart_does_not_sort_everything(spark):

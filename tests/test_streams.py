@@ -78,7 +78,9 @@ def test_number_of_batches_does_not_change_recomputed_totals(spark, paths):
     assert quality(spark, paths) == by(want, "clientId", "eventDate", "qualityLabel", "totalReceivedBytes")
 
 
-def test_late_copy_moves_the_credit_and_empties_a_day(spark, paths):
+@pytest.mark.parametrize("small", [True, False])
+def test_late_copy_moves_the_credit_and_empties_a_day(spark, paths, monkeypatch, small):
+    monkeypatch.setattr("playqos.session.is_small", lambda keys: small)
     land(spark, paths, bronze_row(server=5, bufferings=4, day=NEXT, levels={"720p": level(9)}))
     run(spark, paths)
     assert buffering(spark, paths) == [("c1", NEXT, 4, 1)]
