@@ -171,3 +171,8 @@ def test_limited_chart_does_not_sort_everything(spark):
     empty = spark.createDataFrame([], BUFFERING_METRICS)
     assert "TakeOrderedAndProject" in plan_of(dashboard.viewers_by_buffering(empty, limit=10))
     assert "TakeOrderedAndProject" in plan_of(dashboard.session_vs_buffering(empty, limit=10))
+
+
+def test_scratch_is_new_and_below_the_shared_folder(spark):
+    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
