@@ -5,10 +5,8 @@ rewritten. Their new content is first written in full next to the table; only
 then are the partitions overwritten from that copy. Lost executors cost task
 retries (the source is never deleted while it is read), and a driver that dies
 half-way replays the batch: the token tells that the copy is complete, so it is
-published again without being recomputed from a half-written table.
-
-Creating the table needs no copy: an unfinished creation carries no success
-marker and is simply repeated.
+published again without being recomputed from a half-written table. The first
+content of a table takes the same way.
 """
 
 from __future__ import annotations
@@ -42,20 +40,11 @@ def _writer(df: DataFrame, *partitions: str) -> DataFrameWriter:
     return marked.option("partitionOverwriteMode", "static").partitionBy(*partitions)
 
 
-def is_created(spark: SparkSession, table: str) -> bool:
-    return exists(spark, f"{table}/_SUCCESS")
-
-
 def is_staged(spark: SparkSession, table: str, token: str) -> bool:
     staged = staging_of(table)
     return exists(spark, f"{staged}/_SUCCESS") and exists(spark, f"{staged}/token={token}")
 
 
-def create(content: DataFrame, table: str) -> None:
-    """First content of a table. Rebalancing splits a heavy day into several files."""
-    _writer(content.hint("rebalance", PARTITION), PARTITION).parquet(table)
-
-
 def stage(content: DataFrame, table: str, token: str, days: list) -> None:
     """Write the new partitions aside.
 
@@ -70,7 +59,7 @@ def stage(content: DataFrame, table: str, token: str, days: list) -> None:
 
 
 def publish(spark: SparkSession, table: str, schema: T.StructType, token: str) -> None:
-    """Overwrite exactly the staged days."""
+    """Overwrite exactly the staged days. Rebalancing splits a heavy day into several files."""
     with_marks = T.StructType([*schema.fields, T.StructField("isRow", T.BooleanType())])
     staged = spark.read.schema(with_marks).parquet(f"{staging_of(table)}/token={token}")
     rows = staged.where("isRow").drop("isRow")
@@ -94,13 +83,11 @@ def store(
     token: str,
     days: list,
 ) -> None:
-    """Create the table with ``content_of(None)``, or stage and publish ``content_of(current)``.
+    """Stage and publish ``content_of(current)``; ``current`` is None while there is no table.
 
     ``content_of`` is not called when this token has been staged already.
     """
-    if not is_created(spark, table):
-        create(content_of(None), table)
-        return
     if not is_staged(spark, table, token):
-        stage(content_of(silver(spark, table, schema)), table, token, days)
+        current = silver(spark, table, schema) if exists(spark, table) else None
+        stage(content_of(current), table, token, days)
     publish(spark, table, schema, token)

@@ -141,13 +141,13 @@ def test_replay_publishes_the_staged_copy(spark, paths):
     assert buffering(spark, paths) == after
 
 
-def test_unfinished_creation_is_repeated(spark, paths):
-    stray = M.buffering_from_bronze(bronze(spark, bronze_row(client="half-written")))
-    stray.write.partitionBy("eventDate").parquet(paths.buffering)
+def test_a_table_without_success_marker_is_still_a_table(spark, paths):
+    """Copied or compacted by other means, it must not be taken for an unfinished one."""
+    kept = M.buffering_from_bronze(bronze(spark, bronze_row(client="kept")))
+    kept.write.partitionBy("eventDate").parquet(paths.buffering)
     os.remove(f"{paths.buffering}/_SUCCESS")
     write_batch(R.compact(bronze(spark, bronze_row())), 0, paths, "replace")
-    assert buffering(spark, paths) == [("c1", DAY, 0, 1)]
-    assert publish.is_created(spark, paths.buffering)
+    assert buffering(spark, paths) == [("c1", DAY, 0, 1), ("kept", DAY, 0, 1)]
 
 
 def test_lookback_keeps_old_days_of_late_files(spark, paths):
@@ -283,14 +283,14 @@ def test_a_dying_driver_is_healed_by_the_restart(spark, tmp_path, monkeypatch, m
 
 def test_a_run_that_dies_while_creating_is_healed(spark, paths, monkeypatch):
     land(spark, paths, bronze_row(bufferings=1, levels={"4K": level(1)}))
-    create = publish.create
+    whole = publish.publish
 
-    def half(content, table):
+    def half(spark, table, schema, token):
         if table == paths.quality:
             raise RuntimeError("driver lost")
-        create(content, table)
+        whole(spark, table, schema, token)
 
-    monkeypatch.setattr(publish, "create", half)
+    monkeypatch.setattr(publish, "publish", half)
     with pytest.raises(Exception, match="driver lost"):
         run(spark, paths)
     monkeypatch.undo()
