@@ -123,6 +123,7 @@ def test_unhealthy_rows_stay_in_bronze_only(spark, paths):
     table = sources.bronze(spark, paths)
     assert (table.count(), R.quarantined(table).count()) == (2, 1)
     assert buffering(spark, paths) == [("c1", DAY, 0, 1)]
+    assert quality(spark, paths) == []  # no report had traffic, yet the table can be read
 
 
 def test_replay_publishes_the_staged_copy(spark, paths):
