@@ -1,10 +1,11 @@
 """I-Match fingerprints over randomised lexicons.
 
 The lexicon are the terms within a band of inverse document frequency. A document keeps its terms that are in
-the lexicon; each randomised subset of the lexicon keeps fewer of them, and the sorted terms that are left are hashed.
-The fingerprint is the list of these hashes, 4 hexadecimal digits each. Subsets have rates from 1/2 to 1/4096, eight
-of each, because a hash only tells how alike two texts are if it covers few terms of either.
-Likeness is the share of equal hashes among the subsets that keep a term of either text.
+the lexicon, and the sorted terms are hashed. Randomised subsets of the lexicon make the fingerprint bear edits:
+each of `SEEDS` chains halves the lexicon at random again and again, and the document takes the smallest
+subset of the chain that still keeps one of its terms, because a hash of few terms survives where one of many
+does not. The fingerprint is the hash over the whole lexicon (16 hexadecimal digits), then of each chain the
+number of halvings and the hash of the terms kept (2 + 4 digits). Likeness is the share of chains that agree.
 
 Document frequencies are counted over all documents in `SLOTS` hashed slots, a bound that holds at any size;
 terms that share a slot share its frequency.
@@ -32,8 +33,7 @@ SLOTS = 1 << 20
 #: Inverse document frequencies, natural logarithm, of terms that are kept: in at most a twentieth of the
 #: documents, and in more than about one of 160,000.
 BAND = (3.0, 12.0)
-LEVELS, SEEDS = 12, 8
-HASHES = 1 + LEVELS * SEEDS
+SEEDS = 48
 CACHED_TERMS = 400_000
 
 _SEED_BITS = np.random.default_rng(20240229).integers(1, 1 << 63, SEEDS, dtype=np.uint64)
@@ -46,7 +46,7 @@ def terms_of(text: str) -> np.ndarray:
 
     known: dict[str, int] = per_process("imatch terms", dict)
     terms = set(text.lower().split())
-    for term in terms - known.keys():
+    for term in [t for t in terms if t not in known]:
         bare = term.strip(".,;:!?()[]{}\"'|*#$%&-")
         known[term] = xxh64_intdigest(bare.encode("utf-8", "replace")) if bare else 0
     found = np.unique(np.fromiter(map(known.__getitem__, terms), np.uint64, len(terms)))
@@ -91,40 +91,36 @@ class Fingerprinter:
         self.inside = np.unpackbits(packed).astype(bool)
 
     def hashes(self, text: str) -> np.ndarray:
-        """The hash of each lexicon subset, 0 where it keeps no term."""
+        """The hash over the whole lexicon, then each chain's halvings << 16 | hash. Zeros for a text without terms."""
         from xxhash import xxh64_intdigest
 
         terms = terms_of(text)
         kept = terms[self.inside[_slots(terms)]]
         if not len(kept):
             kept = terms
-        found = np.zeros(HASHES, np.uint16)
+        found = np.zeros(1 + SEEDS, np.uint64)
         if not len(kept):
             return found
-        found[0] = xxh64_intdigest(kept.tobytes()) % 65535 + 1
+        found[0] = xxh64_intdigest(kept.tobytes()) | 1
         lots = kept[:, None] ^ _SEED_BITS
         lots = (lots ^ (lots >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
         lots = ((lots ^ (lots >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)
+        halvings = 32 - np.frexp(lots.min(axis=0).astype(float))[1]  # the smallest lot is below 2 ** (32 - halvings)
+        left = lots < np.uint64(1) << (32 - halvings).astype(np.uint64)
         for seed in range(SEEDS):
-            mine, lot = kept, lots[:, seed]
-            for level in range(1, LEVELS + 1):
-                chosen = lot < np.uint64(1 << (32 - level))
-                mine, lot = mine[chosen], lot[chosen]
-                if not len(mine):
-                    break
-                found[seed * LEVELS + level] = xxh64_intdigest(mine.tobytes(), level) % 65535 + 1
+            hashed = xxh64_intdigest(kept[left[:, seed]].tobytes(), seed) & 0xFFFF
+            found[1 + seed] = int(halvings[seed]) << 16 | hashed
         return found
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    told = (a | b) != 0
-    if not told.any():
-        return 1.0
-    return float((a == b)[told].mean())
+    if not a[0] or not b[0]:
+        return float(a[0] == b[0])
+    return float((a[1:] == b[1:]).mean())
 
 
 def hexadecimal(hashes: np.ndarray) -> str:
-    return hashes.astype(">u2").tobytes().hex()
+    return f"{int(hashes[0]):016x}" + "".join([f"{h:06x}" for h in hashes[1:].tolist()])
 
 
 def in_order(docs: DataFrame) -> DataFrame:

@@ -59,7 +59,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         known = self.known
         cut = [self.find_words(t) for t in texts]
-        for word in set().union(*cut) - known.keys():
+        for word in [w for w in set().union(*cut) if w not in known]:
             known[word] = np.array(self.one(word), "<u2").tobytes()
         found = [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u2") for words in cut]
         if len(known) > CACHED_WORDS:
