@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from playqos.paths import LakePaths
 from playqos.schemas import VIEWER
+from playqos.session import configure
 
 # The texts a sender gets back.
 INVALID_JSON = "Invalid JSON body"
@@ -50,6 +51,7 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 def classify(bodies: DataFrame) -> DataFrame:
     """Add `parsed`, `found` and `reason` (null = accepted; the first failing check wins)."""
+    configure(bodies.sparkSession)
     parsed, found = F.col("parsed"), F.col("found")
     texts = [F.to_json(F.try_variant_get(parsed, f"$.{name}", "variant")).alias(name) for name in VIEWER]
     events = F.try_variant_get(parsed, "$.events", "array<variant>").alias("events")

@@ -26,9 +26,8 @@ SCHEMA_VERSION = "1.0"
 UNKNOWN_QUALITY = "unknown"
 FLUSH_INTERVAL_MS = 10_000
 
-# Not fixed: how much of one session a task may have to sort or hold at once.
+# Not fixed: how much of one session a task may have to sort at once.
 SLICE_MS = 10_000
-MAX_BATCH_EVENTS = 10_000
 
 _SESSION = [*VIEWER, "sessionStartedAt"]
 _ORDER = ["ts", "seq"]
@@ -84,8 +83,9 @@ def stall_events(signals: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
         .select(*_SLICE, "wasOpen", F.last("openSince", ignorenulls=True).over(earlier).alias("carriedSince"))
     )
 
-    joined = inside.join(carried, _SLICE, "left").withColumn("stalled", F.coalesce("before", "wasOpen"))
-    own_run = F.col("run").isNotNull() & ~(F.col("run.leads") & F.col("wasOpen"))
+    stalled = F.coalesce("before", "wasOpen", F.lit(False))
+    joined = inside.join(carried, _SLICE, "left").withColumn("stalled", stalled)
+    own_run = F.col("run").isNotNull() & ~(F.col("run.leads") & F.coalesce("wasOpen", F.lit(False)))
     since = F.when(own_run, F.col("run.ts")).otherwise(F.col("carriedSince"))
     return joined.where(F.col("opens") != F.col("stalled")).select(
         "sessionId",
@@ -131,11 +131,28 @@ def with_session_start(signals: DataFrame, slice_ms: int = SLICE_MS) -> DataFram
     starts = firsts.select(
         *_SLICE, F.min("first").over(Window.partitionBy("sessionId")).alias("sessionStartedAt")
     )
-    return sliced.join(starts, _SLICE).drop("slice")
+    return sliced.join(starts, _SLICE, "left").drop("slice")
+
+
+def _is_healthy() -> Column:
+    return F.col("sessionId").isNotNull() & F.col("ts").isNotNull()
+
+
+def healthy_signals(signals: DataFrame) -> DataFrame:
+    """Signals that belong to a session and a time; only these can be paired."""
+    return signals.where(_is_healthy())
+
+
+def quarantined_signals(signals: DataFrame) -> DataFrame:
+    """The other signals, with the reason."""
+    reason = F.when(F.col("sessionId").isNull(), "no session").otherwise("no time")
+    return signals.where(~_is_healthy()).withColumn("reason", reason)
 
 
 def player_events(signals: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
-    """All discrete events of the sessions, in the event schema plus `sessionId, seq`."""
+    """All discrete events of the sessions, in the event schema plus `sessionId, seq`. Signals without a
+    session or time give none; `quarantined_signals` shows them."""
+    signals = healthy_signals(signals)
     both = stall_events(signals, slice_ms).unionByName(
         quality_switches(signals, slice_ms), allowMissingColumns=True
     )
@@ -147,30 +164,42 @@ def player_events(signals: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
     )
 
 
-def event_batches(
-    events: DataFrame, interval_ms: int = FLUSH_INTERVAL_MS, max_events: int = MAX_BATCH_EVENTS
-) -> DataFrame:
-    """Wire batches: what a session emitted between two ticks of its own clock.
+_BATCH = ["sessionId", "sessionStartedAt", *VIEWER, "tick"]
+
+
+def ticked(events: DataFrame, interval_ms: int = FLUSH_INTERVAL_MS) -> DataFrame:
+    """The events with the tick of their session's clock at which they are sent. No row holds more than one event."""
+    return events.withColumn("tick", F.floor(F.col("sessionDurationMs") / interval_ms))
+
+
+def _sent_at(interval_ms: int) -> Column:
+    return (F.col("sessionStartedAt") + (F.col("tick") + 1) * interval_ms).alias("sentAt")
+
+
+def batch_headers(events: DataFrame, interval_ms: int = FLUSH_INTERVAL_MS) -> DataFrame:
+    """One row per batch without its events: counts only, combined before the shuffle, however busy an interval is."""
+    counted = ticked(events, interval_ms).groupBy(*_BATCH).agg(F.count("*").cast("int").alias("batchSize"))
+    return counted.select("sessionId", "tick", *VIEWER, "batchSize", _sent_at(interval_ms))
+
+
+def event_batches(events: DataFrame, interval_ms: int = FLUSH_INTERVAL_MS) -> DataFrame:
+    """Wire batches: all that a session emitted between two ticks of its own clock, as one row.
 
-    Intervals without events give no batch. One with more than ``max_events``
-    gives several, numbered by `part`, so no row grows without bound.
+    Intervals without events give no batch. The wire format has one envelope for an interval, so this
+    row is as large as the interval is busy; for counts use `batch_headers`, for events `ticked`.
     """
-    batch = ["sessionId", "sessionStartedAt", *VIEWER, "tick"]
-    position = F.row_number().over(Window.partitionBy(*batch).orderBy("timestamp", "seq"))
     event = F.struct(*PLAYER_EVENT.fieldNames()).alias("event")
     return (
-        events.withColumn("tick", F.floor(F.col("sessionDurationMs") / interval_ms))
-        .withColumn("part", F.floor((position - 1) / max_events))
-        .groupBy(*batch, "part")
+        ticked(events, interval_ms)
+        .groupBy(*_BATCH)
         .agg(F.sort_array(F.collect_list(F.struct("timestamp", "seq", event))).alias("ordered"))
         .select(
             "sessionId",
             "tick",
-            "part",
             *VIEWER,
             F.col("ordered.event").alias("events"),
             F.size("ordered").alias("batchSize"),
-            (F.col("sessionStartedAt") + (F.col("tick") + 1) * interval_ms).alias("sentAt"),
+            _sent_at(interval_ms),
         )
     )
 
@@ -178,7 +207,7 @@ def event_batches(
 def wire_bodies(batches: DataFrame) -> DataFrame:
     """The batches as JSON request bodies."""
     return batches.select(
-        "sessionId", "tick", "part", F.to_json(F.struct(*VIEWER, "events", "batchSize", "sentAt")).alias("body")
+        "sessionId", "tick", F.to_json(F.struct(*VIEWER, "events", "batchSize", "sentAt")).alias("body")
     )
 
 

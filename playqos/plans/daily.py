@@ -29,16 +29,20 @@ def run_daily(
     mode: str = "recompute",
     full_refresh: str | None = None,
     ingested_date: str | None = None,
-    multi_line_json: bool = True,
+    multi_line_json: bool = False,
     max_files: int | None = None,
     timeout: int | None = None,
     new_files_since: str | None = None,
+    lookback_days: int | None = None,
+    strict: bool = False,
+    normalise_labels: bool = False,
 ) -> DailyResult:
     """Process whatever is new and return the tables and charts.
 
     ``full_refresh`` names a new generation: everything is rebuilt from the raw
     zone into new folders with new checkpoints, the old generation stays.
     ``new_files_since`` (a timestamp) spares the look for new columns the files before it.
+    ``lookback_days``, ``strict`` and ``normalise_labels`` are those of the silver step.
     """
     configure(spark)
     if full_refresh:
@@ -46,7 +50,8 @@ def run_daily(
     schema = evolution.evolve(spark, paths, new_files_since)
     finish(ingest_parquet(spark, paths, ingested_date, schema, max_files), timeout)
     finish(ingest_json(spark, paths, ingested_date, multi_line_json, max_files), timeout)
-    finish(bronze_to_silver(spark, paths, mode, schema=schema, max_files=max_files), timeout)
+    silver = bronze_to_silver(spark, paths, mode, strict, schema, max_files, lookback_days, normalise_labels)
+    finish(silver, timeout)
     buffering = reports.silver(spark, paths.buffering, BUFFERING_METRICS)
     quality = reports.silver(spark, paths.quality, QUALITY_METRICS)
     charts = {

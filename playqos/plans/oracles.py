@@ -241,13 +241,17 @@ ORACLES: dict[str, str] = {
     "quality_switches": f"WITH {SIGNALS}, {SWITCHES} SELECT * FROM switches",
     "player_events": f"WITH {SIGNALS}, {STALLS}, {SWITCHES}, {EVENTS} SELECT * FROM player_events",
     "event_batches": f"""WITH {SIGNALS}, {STALLS}, {SWITCHES}, {EVENTS}
-      SELECT sessionId, sessionDurationMs // 10000 AS tick, part, clientId, contentId, customerId, CAST(count(*) AS INT) AS batchSize,
+      SELECT sessionId, sessionDurationMs // 10000 AS tick, clientId, contentId, customerId, CAST(count(*) AS INT) AS batchSize,
         any_value(sessionStartedAt) + (sessionDurationMs // 10000 + 1) * 10000 AS sentAt,
         string_agg(eventType, ',' ORDER BY "timestamp", seq) AS eventTypes,
         string_agg(CAST("timestamp" AS VARCHAR), ',' ORDER BY "timestamp", seq) AS timestamps
-      FROM (SELECT *, (row_number() OVER (PARTITION BY sessionId, sessionDurationMs // 10000 ORDER BY "timestamp", seq) - 1)
-        // 10000 AS part FROM player_events)
-      GROUP BY sessionId, sessionDurationMs // 10000, part, clientId, contentId, customerId""",
+      FROM player_events GROUP BY sessionId, sessionDurationMs // 10000, clientId, contentId, customerId""",
+    "batch_headers": f"""WITH {SIGNALS}, {STALLS}, {SWITCHES}, {EVENTS}
+      SELECT sessionId, sessionDurationMs // 10000 AS tick, clientId, contentId, customerId, CAST(count(*) AS INT) AS batchSize,
+        any_value(sessionStartedAt) + (sessionDurationMs // 10000 + 1) * 10000 AS sentAt
+      FROM player_events GROUP BY sessionId, sessionDurationMs // 10000, clientId, contentId, customerId""",
+    "quarantined_signals": f"""WITH {SIGNALS} SELECT seq, CASE WHEN seq % 7 = 0 THEN 'no session' ELSE 'no time' END AS reason
+      FROM signals WHERE seq % 7 = 0 OR seq % 5 = 0""",
     "sampled_sessions": f"""WITH {SIGNALS} SELECT sessionId, seq FROM signals
       WHERE CAST(('0x' || substr(md5(sessionId), 1, 8))::BIGINT AS DOUBLE) / 4294967296 <= CAST(0.3 AS DOUBLE)""",
     "session_starts": f"""WITH {SIGNALS} SELECT seq, ts - min(ts) OVER (PARTITION BY sessionId) AS sessionDurationMs

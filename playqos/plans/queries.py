@@ -238,7 +238,7 @@ def _ingest(spark: SparkSession, paths: LakePaths, *kinds: str) -> None:
     if "parquet" in kinds:
         finish(ingest_parquet(spark, paths, INGEST_DAY))
     if "json" in kinds:
-        finish(ingest_json(spark, paths, INGEST_DAY, multi_line=False))
+        finish(ingest_json(spark, paths, INGEST_DAY))
 
 
 def _bronze_shown(bronze: DataFrame) -> DataFrame:
@@ -403,7 +403,7 @@ def stream_recompute_quality(spark, sf_dir):
 def daily_run_consumption(spark, sf_dir):
     """Everything in order, both formats: raw, bronze, silver, chart."""
     paths = _both_formats(spark, sf_dir, "daily")
-    return run_daily(spark, paths, ingested_date=INGEST_DAY, multi_line_json=False).charts["quality_consumption"]
+    return run_daily(spark, paths, ingested_date=INGEST_DAY).charts["quality_consumption"]
 
 
 # --- player signals ---------------------------------------------------------
@@ -435,6 +435,23 @@ def event_batches(spark, sf_dir):
     ).drop("events")
 
 
+@registered
+def batch_headers(spark, sf_dir):
+    return G.batch_headers(G.player_events(_signals(spark, sf_dir)))
+
+
+@registered
+def quarantined_signals(spark, sf_dir):
+    """Signals of which every seventh lost its session and every fifth its time."""
+    signals = _signals(spark, sf_dir).withColumns(
+        {
+            "sessionId": F.when(F.col("seq") % 7 != 0, F.col("sessionId")),
+            "ts": F.when(F.col("seq") % 5 != 0, F.col("ts")),
+        }
+    )
+    return G.quarantined_signals(signals).select("seq", "reason")
+
+
 @registered
 def sampled_sessions(spark, sf_dir):
     return G.sampled_sessions(_signals(spark, sf_dir), rate=0.3).select("sessionId", "seq")

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playqos.paths import LakePaths, exists
-from playqos.schemas import LANDED_BATCH, REPORT, bronze_schema
+from playqos.schemas import LANDED_BATCH, LINEAGE, REPORT, bronze_schema
 
 STREAMS = ("parquet", "json")
+#: Older than any file, so that none is skipped for its modification time.
+ANY_AGE = "36500d"
+#: Where the text of an unreadable JSON record is kept.
+CORRUPT = "_corrupt_record"
 
 
 def raw_day(spark: SparkSession, paths: LakePaths, day: str, schema: T.StructType | None = None) -> DataFrame:
@@ -36,8 +40,10 @@ def rows_per_file(df: DataFrame) -> DataFrame:
 
 
 def _file_stream(spark: SparkSession, schema: T.StructType, glob: str, max_files: int | None):
-    # Files that are already there are part of the first run (the default of the file source).
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
+    # Files that are already there are part of the first run (the default of the file source). A file's age must
+    # never matter: backfills and copies keep old times. The price is that the source remembers every
+    # file it has seen; its state on the driver is one path and time for each.
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", glob).option("maxFileAge", ANY_AGE)
     return reader.option("maxFilesPerTrigger", max_files) if max_files else reader
 
 
@@ -48,17 +54,26 @@ def raw_parquet_stream(
 
 
 def raw_json_stream(
-    spark: SparkSession, paths: LakePaths, multi_line: bool = True, max_files: int | None = None
+    spark: SparkSession, paths: LakePaths, multi_line: bool = False, max_files: int | None = None
 ) -> DataFrame:
-    """JSON reports with the explicit schema.
+    """JSON reports with the explicit schema, one record per line, and the text of records that cannot be read.
 
-    ``multi_line`` reads pretty-printed objects, one (or an array) per file.
-    Line-delimited files should pass False, so that large ones can be split.
+    ``multi_line`` is for folders of pretty-printed objects, one (or an array) per file; of a file with
+    one record per line it would read the first record only.
     """
-    stream = _file_stream(spark, REPORT, "*.json", max_files)
+    stream = _file_stream(spark, T.StructType([*REPORT, T.StructField(CORRUPT, T.StringType())]), "*.json", max_files)
+    stream = stream.option("columnNameOfCorruptRecord", CORRUPT)
     return stream.option("multiLine", str(multi_line).lower()).json(paths.raw)
 
 
+def corrupt_reports(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """Ingested JSON records that could not be read: their text and lineage. In bronze they are rows without ids."""
+    whole = T.StructType([*bronze_schema(REPORT), T.StructField(CORRUPT, T.StringType())])
+    folder = paths.bronze("json")
+    rows = spark.read.schema(whole).parquet(folder) if exists(spark, folder) else spark.createDataFrame([], whole)
+    return rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT, "eventDate", *LINEAGE.fieldNames())
+
+
 def landed_batches(spark: SparkSession, folder: str, multi_line: bool = False) -> DataFrame:
     """Accepted player-event batches as landed."""
     return spark.read.schema(LANDED_BATCH).option("multiLine", str(multi_line).lower()).json(folder)
@@ -88,5 +103,7 @@ def bronze_stream(
 
 
 def silver(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """A silver table, columns in schema order (the reader puts the partition column last)."""
+    """A silver table, columns in schema order (the reader puts the partition column last); empty if not there yet."""
+    if not exists(spark, folder):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())

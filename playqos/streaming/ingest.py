@@ -39,6 +39,7 @@ def ingest_parquet(
 ) -> StreamingQuery:
     """Start the Parquet ingest. Without a schema the raw zone is checked for new columns first."""
     schema = schema or evolution.evolve(spark, paths)
+    ensure_dir(spark, paths.raw)
     ensure_dir(spark, paths.bronze("parquet"))
     stream = with_lineage(reports.raw_parquet_stream(spark, paths, schema, max_files), ingested_date)
     return _append(stream.select(*bronze_schema(schema).fieldNames()), paths, "parquet")
@@ -48,13 +49,14 @@ def ingest_json(
     spark: SparkSession,
     paths: LakePaths,
     ingested_date: str | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Start the JSON ingest; its schema is explicit and does not evolve."""
+    ensure_dir(spark, paths.raw)
     ensure_dir(spark, paths.bronze("json"))
     stream = with_lineage(reports.raw_json_stream(spark, paths, multi_line, max_files), ingested_date)
-    return _append(stream.select(*bronze_schema(REPORT).fieldNames()), paths, "json")
+    return _append(stream.select(*bronze_schema(REPORT).fieldNames(), reports.CORRUPT), paths, "json")
 
 
 def finish(query: StreamingQuery, timeout: int | None = None) -> StreamingQuery:

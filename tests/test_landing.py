@@ -41,6 +41,8 @@ def bodies(spark, *texts):
         ('{%s,"events":{"a":1}}' % IDS, L.NO_EVENTS),
         ('{%s,"events":null}' % IDS, L.NO_EVENTS),
         ('{%s,"events":[null]}' % IDS, OK),
+        ('{"clientId":"a",%s,"events":[1]}' % IDS, OK),
+        ('{%s,"clientId":"","events":[1]}' % IDS, L.MISSING_IDS),
     ],
 )
 def test_verdicts(spark, body, verdict):
@@ -56,6 +58,11 @@ def test_enrichment(spark):
     assert [tuple(r) for r in told] == [(200, "OK", 2), (400, L.INVALID_JSON, None)]
 
 
+def test_of_a_repeated_key_the_last_counts(spark):
+    body = '{"clientId":"a","clientId":"b","contentId":"m","customerId":"k","events":[1]}'
+    assert L.accepted(bodies(spark, body)).first().clientId == "b"
+
+
 def test_landing_keeps_unknown_fields_and_is_one_object_per_line(spark, tmp_path):
     paths = LakePaths(str(tmp_path))
     body = '{%s,"events":[{"eventType":"buffering_start","timestamp":5,"novel":{"deep":[1]}}],"sentAt":1}' % IDS

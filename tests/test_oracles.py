@@ -9,7 +9,8 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from playqos.plans.oracles import ORACLES
+from playqos.plans.queries import QUERIES
 
 
 def _norm(value):
@@ -37,14 +38,14 @@ def duck(sf_dir):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, duck, sf_dir, name):
-    df = queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     got = rows_of(df.columns, df.collect())
-    cursor = duck.execute(oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     want = rows_of([c[0] for c in cursor.description], cursor.fetchall())
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1]) > 0

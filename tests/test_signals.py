@@ -63,9 +63,9 @@ def test_batches_follow_the_session_clock(spark):
     batches = G.event_batches(G.player_events(frame(spark, rows)))
     got = sorted(tuple(r) for r in batches.select("tick", "batchSize", "sentAt", "events.timestamp").collect())
     assert got == [(0, 2, 10_000, [0, 9_999]), (1, 1, 20_000, [10_000]), (3, 1, 40_000, [35_000])]
-    parts = G.event_batches(G.player_events(frame(spark, rows)), interval_ms=20_000, max_events=2)
-    got = sorted(tuple(r) for r in parts.select("tick", "part", "events.timestamp").collect())
-    assert got == [(0, 0, [0, 9_999]), (0, 1, [10_000]), (1, 0, [35_000])]
+    headers = G.batch_headers(G.player_events(frame(spark, rows)))
+    assert sorted(headers.columns) == sorted(c for c in batches.columns if c != "events")
+    assert sorted(headers.collect()) == sorted(batches.select(*headers.columns).collect())
     bodies = G.wire_bodies(batches).where("tick = 1").first().body
     assert '"batchSize":1,"sentAt":20000' in bodies and '"fromQuality":"270p"' in bodies
 
@@ -78,3 +78,21 @@ def test_sampling_takes_whole_sessions(spark):
     assert 0 < len(kept) < 50
     assert G.sampled_sessions(df, 0.4).count() == 4 * len(kept)
     assert kept <= {r[0] for r in G.sampled_sessions(df, 0.7).select("sessionId").collect()}
+
+
+def test_a_busy_interval_is_one_envelope(spark):
+    rows = [("s", 5, "level_switched", 270 + i % 2) for i in range(25_000)]
+    batches = G.event_batches(G.player_events(frame(spark, rows))).select("tick", "batchSize").collect()
+    assert [tuple(r) for r in batches] == [(0, 25_000)]
+
+
+def test_signals_without_session_or_time(spark):
+    df = frame(spark, [("s", 1, "waiting", 0), (None, 2, "waiting", 0), ("s", None, "playing", 0), ("s", 4, "playing", 0)])
+    assert G.with_session_start(df.drop("sessionStartedAt")).count() == 4
+    got = sorted(tuple(r) for r in G.quarantined_signals(df).select("seq", "reason").collect())
+    assert got == [(1, "no session"), (2, "no time")]
+    events = G.player_events(df).select("seq", "eventType", "durationMs").collect()
+    assert sorted(tuple(r) for r in events) == [(0, "buffering_start", None), (3, "buffering_end", 3)]
+    alone = G.stall_events(frame(spark, [(None, 1, "waiting", 0), (None, 4, "playing", 0)]))
+    assert sorted(tuple(r) for r in alone.select("ts", "eventType", "durationMs").collect()) == [
+        (1, "buffering_start", None), (4, "buffering_end", 3)]

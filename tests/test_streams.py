@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import time
 
 import pytest
 from helpers import DAY, bronze, bronze_row, by, traffic
@@ -170,7 +171,7 @@ def test_both_formats_and_rerun(spark, paths):
         json.dump(report, out, indent=2)
     for _ in range(2):
         finish(ingest_parquet(spark, paths, "2025-02-01"), 120)
-        finish(ingest_json(spark, paths, "2025-02-01"), 120)
+        finish(ingest_json(spark, paths, "2025-02-01", multi_line=True), 120)
     table = sources.bronze(spark, paths)
     assert by(table, "clientId", "eventDate", "_ingested_date") == [
         ("c1", DAY, "2025-02-01"), ("c1", NEXT, "2025-02-01"), ("j1", DAY, "2025-02-01"),
@@ -196,8 +197,50 @@ def test_pretty_printed_needs_multi_line(spark, paths):
     land(spark, paths, bronze_row())
     with open(f"{paths.raw}/eventDate={DAY}/a.json", "w") as out:
         out.write('{\n "clientId": "j1",\n "contentId": "m1"\n}')
-    finish(ingest_json(spark, paths, multi_line=False), 120)
+    finish(ingest_json(spark, paths), 120)
     assert sources.bronze(spark, paths).where("clientId = 'j1'").count() == 0
+    assert {r[0].strip(' ,') for r in sources.corrupt_reports(spark, paths).select("_corrupt_record").collect()} == {
+        "{", '"clientId": "j1"', '"contentId": "m1"', "}"}
+
+
+def json_lines(paths, name, *clients):
+    folder = f"{paths.raw}/eventDate={DAY}"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as out:
+        out.writelines(json.dumps({"clientId": c, "contentId": "m1", "customerId": "k1"}) + "\n" for c in clients)
+    return f"{folder}/{name}"
+
+
+def test_many_records_in_a_file_by_default(spark, paths):
+    json_lines(paths, "a.json", *[f"c{i}" for i in range(50)])
+    finish(ingest_json(spark, paths), 120)
+    assert sources.bronze(spark, paths).count() == 50
+
+
+def test_old_files_that_come_late_are_ingested(spark, paths):
+    json_lines(paths, "a.json", "new")
+    finish(ingest_json(spark, paths), 120)
+    month_ago = time.time() - 30 * 86_400
+    os.utime(json_lines(paths, "b.json", "old"), (month_ago, month_ago))
+    json_lines(paths, "c.json", "newer")
+    finish(ingest_json(spark, paths), 120)
+    assert by(sources.bronze(spark, paths), "clientId") == [("new",), ("newer",), ("old",)]
+
+
+def test_unreadable_records_keep_their_text(spark, paths):
+    with open(json_lines(paths, "a.json", "c1"), "a") as out:
+        out.write('{"clientId": "c2", broken\n')
+    finish(ingest_json(spark, paths), 120)
+    corrupt = sources.corrupt_reports(spark, paths)
+    assert by(corrupt, "_corrupt_record", "eventDate") == [('{"clientId": "c2", broken', DAY)]
+    assert corrupt.first()._source_file.endswith("a.json")
+    assert sources.bronze(spark, paths).count() == 2
+
+
+def test_daily_run_on_an_empty_zone(spark, paths):
+    result = run_daily(spark, paths, timeout=120)
+    assert result.buffering.count() == result.quality.count() == 0
+    assert result.charts["quality_consumption"].count() == 0
 
 
 def test_daily_run_and_full_refresh(spark, paths):
