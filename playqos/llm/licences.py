@@ -135,7 +135,8 @@ def matches(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, t
         .select("doc_id", F.xxhash64("text").alias("text_hash"), F.monotonically_increasing_id().alias("at"), F.inline(units))
         .select("doc_id", "text_hash", "at", "kind", F.posexplode("units").alias("unit_number", "unit"))
         .where((F.col("kind") == 0) | F.trim(F.col("unit"), F.lit("\n")).contains("\n"))
-        .withColumn("words", F.split(normalised(F.col("unit")), " "))
+        # A one-element explode is a fence: the filter below would normalise the unit again for every comparison.
+        .withColumn("words", F.explode(F.array(F.split(normalised(F.col("unit")), " "))))
         .where(_possible(size, [n for n in {r[0]: r[2] for r in rows}.values()], threshold))
         .withColumn("a", size)
     )
