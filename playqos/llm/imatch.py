@@ -64,23 +64,20 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(SLOTS, np.int64)
-        documents = 0
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 seen[np.unique(_slots(terms_of(text or "")))] += 1
-                documents += 1
         slot = np.flatnonzero(seen)
         for start in range(0, len(slot), 100_000):
             part = slot[start : start + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(seen[part])], ["slot", "n"])
-        yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([documents])], ["slot", "n"])
 
     parts = docs.select("text").mapInArrow(run, "slot long, n long")
     summed = parts.groupBy("slot").agg(F.sum("n").alias("n"))
     inside = np.ones(SLOTS, bool)  # what was never seen is as rare as can be, and harmless
-    total = summed.where("slot = -1").agg(F.sum("n")).first()[0] or 1
+    total = max(docs.count(), 1)
     most, least = total * np.exp(-band[0]), total * np.exp(-band[1])
-    outside = summed.where((F.col("slot") >= 0) & ((F.col("n") > float(most)) | (F.col("n") < float(least))))
+    outside = summed.where((F.col("n") > float(most)) | (F.col("n") < float(least)))
     slots = outside.select("slot").toArrow().column("slot").to_numpy()  # at most SLOTS numbers
     inside[slots] = False
     return np.packbits(inside)
