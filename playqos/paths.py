@@ -50,6 +50,11 @@ class LakePaths:
     def quality(self) -> str:
         return self._at(self.generation, "silver", "quality_metrics")
 
+    @property
+    def moments(self) -> str:
+        """Which days hold reports of which server days."""
+        return self._at(self.generation, "silver", "moments")
+
     def checkpoint(self, stream: str) -> str:
         return self._at(self.generation, "checkpoints", stream)
 

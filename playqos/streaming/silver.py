@@ -13,10 +13,11 @@ Two modes:
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -35,68 +36,88 @@ from playqos.schemas import (
 )
 from playqos.session import rows_of_keys
 from playqos.sources import reports as sources
+from playqos.streaming import moments
 from playqos.streaming.publish import on_days, store
 
 
-def _same_moment(reports: DataFrame, moment: str) -> Column:
-    """Bronze rows that may be copies of one of ``reports``, whose server timestamp is ``moment``.
+@dataclass
+class Touched:
+    """What a persisted batch touches. Each list has at most one value for a calendar day."""
 
-    Copies share the timestamp (none is a timestamp, too), so the range from the
-    first to the last is exact, and Parquet statistics skip the row groups outside.
-    """
-    low, high, missing = reports.agg(F.min(moment), F.max(moment), F.count_if(F.col(moment).isNull())).first()
-    server = F.col("timestampInfo.server")
-    known = server.between(low, high) if low is not None else F.lit(False)
-    return known | server.isNull() if missing else known
+    rows: int
+    days: list
+    server_days: list
 
 
-def _days_of(df: DataFrame) -> list:
-    # One value per calendar day: bounded by the calendar, not by the data.
-    return [row[0] for row in df.select("eventDate").distinct().collect()]
+def touched_by(batch_reports: DataFrame) -> Touched:
+    """One job over the batch, which also fills its cache."""
+    rows, undated, days, server_days = batch_reports.agg(
+        F.count("*"),
+        F.count_if(F.col("eventDate").isNull()),
+        F.collect_set("eventDate"),
+        F.collect_set(moments.server_day("serverTs")),
+    ).first()
+    return Touched(rows, sorted(days) + [None] * (undated > 0), server_days)
 
 
 @dataclass
 class Scope:
-    """What a batch touches: its viewers, the days to compute again, their reports."""
+    """The days to compute again for some viewers, and their reports there."""
 
     viewers: DataFrame
     days: list
     reports: DataFrame
 
 
-def affected_scope(bronze: DataFrame, batch_reports: DataFrame, lookback_days: int | None = None) -> Scope:
-    """Days and reports to compute again because of ``batch_reports`` (persisted by the caller).
+def affected_scope(
+    bronze: DataFrame,
+    batch_reports: DataFrame,
+    touched: Touched,
+    pairs: DataFrame,
+    viewers: DataFrame,
+    lookback_days: int | None = None,
+) -> Scope:
+    """Days and reports to compute again because of ``batch_reports``; that and ``viewers`` are persisted by the caller.
 
     A copy of a new report may sit under another day, and whichever day wins
     the dedup gets the credit. So the touched days are those of the batch plus
-    those of possible copies; and to count these days right, copies of *their*
-    reports elsewhere must be seen too. Both steps are range-pruned scans.
+    those of its copies; and to count these days right, copies of *their*
+    reports elsewhere must be seen too. ``pairs`` tells which days can hold a copy, so
+    that only these are opened; without such days there is no first scan.
     ``lookback_days`` bounds the scans where older copies are known not to occur.
     """
-    viewers = batch_reports.select(*VIEWER).distinct()
-    days = _days_of(batch_reports)
     history = R.healthy(bronze)
     if lookback_days is not None:
-        history = history.where(F.col("eventDate") >= F.date_sub(F.lit(min(days)), lookback_days))
-    mine = rows_of_keys(history, viewers, spread=["timestampInfo.server", "_source_file"])
-    days = sorted({*days, *_days_of(mine.where(_same_moment(batch_reports, "serverTs")))})
-    # This range spans every report of the days themselves, too.
-    candidates = mine.where(_same_moment(on_days(mine, days), "timestampInfo.server"))
+        history = history.where(F.col("eventDate") >= F.date_sub(F.lit(min(touched.days)), lookback_days))
+    days = touched.days
+    others = sorted(set(moments.days_with(pairs, touched.server_days)) - set(days))
+    if others:
+        near = on_days(history, others).where(moments.within(touched.server_days, "timestampInfo.server"))
+        # A missing timestamp equals a missing one, as in the dedup.
+        key = F.coalesce(F.col("timestampInfo.server").cast("string"), F.lit("")).alias("_moment")
+        new = batch_reports.select(*VIEWER, F.coalesce(F.col("serverTs").cast("string"), F.lit("")).alias("_moment"))
+        copies = near.select(*VIEWER, "eventDate", key).join(new, [*VIEWER, "_moment"], "left_semi")
+        days = sorted({*days, *(row[0] for row in copies.select("eventDate").distinct().collect())})
+    server_days = moments.server_days_of(pairs, days)
+    near = on_days(history, sorted({*days, *moments.days_with(pairs, server_days)}))
+    candidates = rows_of_keys(
+        near.where(moments.within(server_days, "timestampInfo.server")),
+        viewers,
+        spread=["timestampInfo.server", "_source_file"],
+    )
     reports = R.distinct_reports(R.compact(candidates))
     return Scope(viewers, days, on_days(reports, days))
 
 
 def _upsert(
     spark: SparkSession,
-    reports: DataFrame,
+    days: list,
     token: str,
     tables: list[tuple[str, T.StructType, list[str], DataFrame]],
     scope: Scope | None,
 ) -> None:
-    days = scope.days if scope else _days_of(reports)
-    for table, schema, keys, metrics in tables:
-
-        def content(current: DataFrame | None, keys=keys, metrics=metrics) -> DataFrame:
+    def upsert(table: str, schema: T.StructType, keys: list[str], metrics: DataFrame) -> None:
+        def content(current: DataFrame | None) -> DataFrame:
             if current is None:
                 return metrics
             stored = on_days(current, days)
@@ -106,6 +127,11 @@ def _upsert(
 
         store(content, spark, table, schema, token, days)
 
+    # The tables are independent, so the jobs of both share the cluster.
+    with ThreadPoolExecutor(len(tables)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(upsert), *table) for table in tables]:
+            done.result()
+
 
 def write_batch(
     batch: DataFrame,
@@ -120,25 +146,33 @@ def write_batch(
     spark = batch.sparkSession
     run = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
     reports = R.distinct_reports(batch).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = [reports]
     scope = None
     try:
-        if reports.isEmpty():
+        touched = touched_by(reports)
+        if not touched.rows:
             return
-        source = reports
+        source, days = reports, touched.days
         stored = any(exists(spark, table) for table in (paths.buffering, paths.quality))
+        bronze = sources.bronze(spark, paths, schema)
+        pairs = moments.remember(spark, paths.moments, R.healthy(reports), bronze if stored else None)
         # The very first batch has no history to reconcile with; later ones recompute what they touch.
         if mode == "recompute" and stored:
-            scope = affected_scope(sources.bronze(spark, paths, schema), reports, lookback_days)
-            source = scope.reports = scope.reports.persist(StorageLevel.MEMORY_AND_DISK)
+            viewers = reports.select(*VIEWER).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(viewers)
+            scope = affected_scope(bronze, reports, touched, pairs, viewers, lookback_days)
+            days = scope.days
+            source = scope.reports.persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(source)
+            source.count()  # once, before both tables read it
         tables = [
             (paths.buffering, BUFFERING_METRICS, BUFFERING_KEYS, buffering_metrics(source)),
             (paths.quality, QUALITY_METRICS, QUALITY_KEYS, quality_metrics(source, normalise_labels)),
         ]
-        _upsert(spark, reports, f"{run}-{batch_id}", tables, scope)
+        _upsert(spark, days, f"{run}-{batch_id}", tables, scope)
     finally:
-        reports.unpersist()
-        if scope:
-            scope.reports.unpersist()
+        for frame in kept:
+            frame.unpersist()
 
 
 def bronze_to_silver(

@@ -1,10 +1,11 @@
 """Plans and data movement: what must hold whatever the size of the data."""
 
+import datetime as dt
 import re
 from contextlib import contextmanager
 
 import pytest
-from helpers import DAY
+from helpers import DAY, bronze, bronze_row
 from pyspark.sql import functions as F
 
 from playqos.operators import metrics as M
@@ -13,11 +14,12 @@ from playqos.operators import signals as G
 from playqos.paths import LakePaths
 from playqos.plans import dashboard
 from playqos.plans.queries import _ingest, _telemetry, _write_raw
-from playqos.schemas import BUFFERING_METRICS, VIEWER
+from playqos.schemas import BUFFERING_METRICS, VIEWER, bronze_schema
 from playqos.session import is_small, rows_of_keys, scratch_dir
 from playqos.sources import reports as sources
+from playqos.streaming import moments
 from playqos.streaming.publish import on_days
-from playqos.streaming.silver import affected_scope
+from playqos.streaming.silver import affected_scope, touched_by
 
 ROWS = 30_000
 
@@ -132,16 +134,62 @@ def test_days_prune_partitions(spark, lake):
     assert re.search(r"PartitionFilters: \[.*eventDate#\d+ = 2025-01-10", plan)
 
 
-def test_recompute_reads_a_time_range(spark, lake):
+def scope_of(spark, bronze, batch):
+    batch = batch.persist()
+    pairs = moments.remember(spark, f"{scratch_dir(spark, 'moments')}/pairs", batch, bronze)
+    return affected_scope(bronze, batch, touched_by(batch), pairs, batch.select(*VIEWER).distinct())
+
+
+def test_recompute_reads_one_day_and_its_time_range(spark, lake):
     bronze = sources.bronze(spark, lake)
-    batch = R.distinct_reports(R.compact(bronze.where("clientId = 'client-1' AND eventDate = '2024-01-05'")))
-    scope = affected_scope(bronze, batch)
+    one = bronze.where("clientId = 'client-1'").agg(F.min("eventDate")).first()[0]
+    batch = R.distinct_reports(R.compact(bronze.where(f"clientId = 'client-1' AND eventDate = DATE '{one}'")))
+    scope = scope_of(spark, bronze, batch)
     plan = plan_of(scope.reports)
     assert "GreaterThanOrEqual(timestampInfo.server" in plan
-    assert [d.isoformat() for d in scope.days] in (["2024-01-05"], [])
+    assert scope.days == [one]
+    assert re.search(rf"PartitionFilters: \[.*\(eventDate#\d+ = {one}\)\]", plan)
     assert "BroadcastHashJoin LeftSemi" in plan
 
 
+def test_a_late_report_opens_its_day_and_the_days_of_its_copies(spark):
+    days = [DAY + dt.timedelta(days=k) for k in range(60)]
+    noon = 43_200_000
+    at = [(d - dt.date(1970, 1, 1)).days * moments.DAY_MS + noon for d in days]
+    rows = [bronze_row(client=f"c{k % 3}", server=at[k], day=days[k]) for k in range(60)]
+    rows.append(bronze_row(client="c0", server=at[15], day=days[50]))  # a copy of the late report
+    rows.append(bronze_row(client="c1", server=-5, day=days[40]))  # a wrong clock
+    root = scratch_dir(spark, "late")
+    spark.createDataFrame(rows, bronze_schema()).write.partitionBy("eventDate").parquet(root)
+    stored = spark.read.schema(bronze_schema()).parquet(root)
+    late = R.distinct_reports(R.compact(bronze(spark, bronze_row(client="c0", server=at[15], day=days[15]))))
+    scope = scope_of(spark, stored, late)
+    assert scope.days == [days[15], days[50]]
+    filters = re.findall(r"PartitionFilters: .*", plan_of(scope.reports))
+    assert filters and all(set(re.findall(r"20\d\d-\d\d-\d\d", f)) == {str(days[15]), str(days[50])} for f in filters)
+
+
+def test_server_days_cover_every_timestamp(spark):
+    stamps = [None, -1, 0, moments.DAY_MS - 1, moments.DAY_MS, 40 * moments.DAY_MS, 2**62]
+    df = spark.createDataFrame([(t,) for t in stamps], "t bigint")
+    for wanted in stamps:
+        days = [r[0] for r in df.where(F.col("t").eqNullSafe(wanted)).select(moments.server_day("t")).collect()]
+        found = [r[0] for r in df.where(moments.within(days, "t")).collect()]
+        assert wanted in found
+    spread = [k * 3 for k in range(100)]
+    assert len(moments._ranges(spread)) == moments.MAX_RANGES
+    assert all(any(low <= d <= high for low, high in moments._ranges(spread)) for d in spread)
+
+
+def test_the_days_of_copies_are_remembered_once(spark):
+    table = f"{scratch_dir(spark, 'moments')}/pairs"
+    one = R.compact(bronze(spark, bronze_row(), bronze_row(server=None)))
+    for _ in range(2):
+        assert moments.remember(spark, table, one, None).count() == 2
+    two = R.compact(bronze(spark, bronze_row(server=3 * moments.DAY_MS)))
+    assert moments.remember(spark, table, two, None).count() == 3
+
+
 def test_large_key_sets_are_joined_with_salt(spark, skewed, monkeypatch):
     keys = spark.range(100).select(F.col("id").cast("string").alias("k"))
     assert is_small(keys) and not is_small(keys, limit_rows=99) and not is_small(keys, limit_bytes=100)
