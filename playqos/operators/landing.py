@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -69,23 +70,27 @@ def accepted(bodies: DataFrame) -> DataFrame:
 
     `events` stays a variant array: unknown fields of an event are landed as sent.
     """
-    return (
-        classify(bodies)
-        .where(F.col("reason").isNull())
-        .select(
-            *[F.try_variant_get("parsed", f"$.{name}", "string").alias(name) for name in VIEWER],
-            "found.events",
-            F.size("found.events").alias("batchSize"),
-            F.try_variant_get("parsed", "$.sentAt", "bigint").alias("clientSentAt"),
-            F.date_format("receivedAt", ISO_INSTANT).alias("serverReceivedAt"),
-            F.date_format("receivedAt", "yyyy-MM-dd").alias("eventDate"),
-            F.lit(SCHEMA_VERSION).alias("schemaVersion"),
-        )
+    return _accepted(classify(bodies))
+
+
+def _accepted(judged: DataFrame) -> DataFrame:
+    return judged.where(F.col("reason").isNull()).select(
+        *[F.try_variant_get("parsed", f"$.{name}", "string").alias(name) for name in VIEWER],
+        "found.events",
+        F.size("found.events").alias("batchSize"),
+        F.try_variant_get("parsed", "$.sentAt", "bigint").alias("clientSentAt"),
+        F.date_format("receivedAt", ISO_INSTANT).alias("serverReceivedAt"),
+        F.date_format("receivedAt", "yyyy-MM-dd").alias("eventDate"),
+        F.lit(SCHEMA_VERSION).alias("schemaVersion"),
     )
 
 
 def rejected(bodies: DataFrame) -> DataFrame:
-    return classify(bodies).where(F.col("reason").isNotNull()).select("body", "receivedAt", "reason")
+    return _rejected(classify(bodies))
+
+
+def _rejected(judged: DataFrame) -> DataFrame:
+    return judged.where(F.col("reason").isNotNull()).select("body", "receivedAt", "reason")
 
 
 def responses(bodies: DataFrame) -> DataFrame:
@@ -101,25 +106,35 @@ def responses(bodies: DataFrame) -> DataFrame:
     )
 
 
-def land(bodies: DataFrame, paths: LakePaths) -> None:
-    """Append accepted batches (one JSON object per line, by event date) and the rejects."""
-    accepted(bodies).write.mode("append").partitionBy("eventDate").json(paths.landed_batches)
-    rejected(bodies).write.mode("append").partitionBy("reason").parquet(paths.rejected_batches)
-
-
-def land_stream(bodies: DataFrame, paths: LakePaths) -> list[StreamingQuery]:
-    """The same as two drained streams; the file sinks land every body exactly once."""
-    outputs = [
-        (accepted(bodies), "json", "eventDate", paths.landed_batches, "landed"),
-        (rejected(bodies), "parquet", "reason", paths.rejected_batches, "rejected"),
-    ]
-    return [
-        frame.writeStream.format(kind)
-        .outputMode("append")
-        .partitionBy(partition)
-        .option("path", folder)
-        .option("checkpointLocation", paths.checkpoint(name))
+def land(bodies: DataFrame, paths: LakePaths, batch: str) -> None:
+    """Land accepted batches (one JSON object per line, by event date) and the rejects, each body judged once.
+
+    ``batch`` names this set of bodies. A retry under the same name, with the same bodies, replaces what an
+    earlier attempt left, so nothing is landed twice.
+    """
+    judged = classify(bodies).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for frame, kind, partition, folder in [
+            (_accepted(judged), "json", "eventDate", paths.landed_batches),
+            (_rejected(judged), "parquet", "reason", paths.rejected_batches),
+        ]:
+            named = frame.withColumn("batch", F.lit(batch))
+            writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy(partition, "batch").format(kind).save(folder)
+    finally:
+        judged.unpersist()
+
+
+def land_stream(bodies: DataFrame, paths: LakePaths) -> StreamingQuery:
+    """The same as a drained stream. A micro-batch that is replayed replaces what it had landed."""
+
+    def land_batch(batch: DataFrame, batch_id: int) -> None:
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+        land(batch, paths, f"{run}-{batch_id}")
+
+    return (
+        bodies.writeStream.foreachBatch(land_batch)
+        .option("checkpointLocation", paths.checkpoint("landed"))
         .trigger(availableNow=True)
         .start()
-        for frame, kind, partition, folder, name in outputs
-    ]
+    )

@@ -32,6 +32,8 @@ SLICE_MS = 10_000
 _SESSION = [*VIEWER, "sessionStartedAt"]
 _ORDER = ["ts", "seq"]
 _SLICE = ["sessionId", "slice"]
+_DETAILS = ["bitrate", "width", "height"]
+_LEVELS = ["fromQuality", "toQuality", *_DETAILS]
 
 
 def _sliced(signals: DataFrame, slice_ms: int) -> DataFrame:
@@ -46,84 +48,96 @@ def _over_slices() -> Window:
     return Window.partitionBy("sessionId").orderBy("slice")
 
 
-def stall_events(signals: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
-    """`buffering_start` / `buffering_end` events.
-
-    Repeated openers and unmatched closers are ignored; a stall lasts from the
-    first opener of a run to the closer that ends it.
+def _followed(signals: DataFrame, slice_ms: int, details: list[str]) -> DataFrame:
+    """Signals of both state machines with the state each one meets: `stalled`, `since` (of the open stall) and
+    `fromQuality`. Signals without a time are left out; a switch without a height changes no state. Those
+    without a session count as one whose state is not carried from slice to slice.
+    ``details`` are the columns of a level that the caller shows.
     """
-    opens = F.col("signal").isin(STALL_OPENERS)
+    signal = F.col("signal")
+    stall = signal.isin([*STALL_OPENERS, *STALL_CLOSERS])
     upto = _in_slice().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    above = _in_slice().rowsBetween(Window.unboundedPreceding, -1)
     inside = (
-        _sliced(signals.where(opens | F.col("signal").isin(STALL_CLOSERS)), slice_ms)
-        .select(*_SLICE, *_SESSION, *_ORDER, opens.alias("opens"))
-        .withColumns(
-            {
-                "before": F.lag("opens").over(_in_slice()),
-                "leads": F.row_number().over(_in_slice()) == 1,
-            }
-        )
+        _sliced(signals, slice_ms)
+        .where(F.col("slice").isNotNull())
+        .where(stall | (signal == LEVEL_SWITCH))
+        .withColumn("opens", F.when(stall, signal.isin(STALL_OPENERS)))
+        .withColumn("toQuality", F.when(~stall, F.concat(F.col("height").cast("string"), F.lit("p"))))
+        .select(*_SLICE, *_SESSION, *_ORDER, "opens", "toQuality", *details)
+        .withColumn("before", F.last("opens", ignorenulls=True).over(above))
+        .withColumn("qualityBefore", F.last("toQuality", ignorenulls=True).over(above))
     )
+    leads = F.col("before").isNull()  # no stall signal above it in its slice
     starts_run = F.col("opens") & ~F.coalesce("before", F.lit(False))
-    inside = inside.withColumn(
-        "run", F.last(F.when(starts_run, F.struct("ts", "leads")), ignorenulls=True).over(upto)
-    )
+    run = F.when(starts_run, F.struct("ts", leads.alias("leads")))
+    inside = inside.withColumn("run", F.last(run, ignorenulls=True).over(upto))
 
     # One row per slice: is a stall open at its end, and since when? Null where it
     # was open already when the slice began (the slice then only passes it on).
+    # The tails hold every column, so that both uses of `inside` read one and the same exchange.
+    rest = [*_SESSION, *details]
+    ends = inside.groupBy(*_SLICE).agg(
+        F.max(F.when(F.col("opens").isNotNull(), F.struct(*_ORDER, "opens", "run", *rest))).alias("tail"),
+        F.max(F.when(F.col("toQuality").isNotNull(), F.struct(*_ORDER, "toQuality", *rest))).alias("level"),
+    )
     earlier = _over_slices().rowsBetween(Window.unboundedPreceding, -1)
-    ends = inside.groupBy(*_SLICE).agg(F.max(F.struct(*_ORDER, "opens", "run")).alias("tail"))
-    was_open = F.coalesce(F.lag("tail.opens").over(_over_slices()), F.lit(False))
     carried = (
-        ends.withColumn("wasOpen", was_open)
-        .withColumn(
-            "openSince",
-            F.when(F.col("tail.opens") & ~(F.col("tail.run.leads") & F.col("wasOpen")), F.col("tail.run.ts")),
+        ends.select(
+            *_SLICE,
+            F.col("tail.opens").alias("open"),
+            F.col("tail.run").alias("last"),
+            F.col("level.toQuality").alias("levelAtEnd"),
+        )
+        .withColumn("wasOpen", F.coalesce(F.last("open", ignorenulls=True).over(earlier), F.lit(False)))
+        .withColumn("openSince", F.when(F.col("open") & ~(F.col("last.leads") & F.col("wasOpen")), F.col("last.ts")))
+        .select(
+            *_SLICE,
+            "wasOpen",
+            F.last("openSince", ignorenulls=True).over(earlier).alias("carriedSince"),
+            F.last("levelAtEnd", ignorenulls=True).over(earlier).alias("carriedQuality"),
         )
-        .select(*_SLICE, "wasOpen", F.last("openSince", ignorenulls=True).over(earlier).alias("carriedSince"))
     )
+    was_open = F.coalesce("wasOpen", F.lit(False))
+    own_run = F.col("run").isNotNull() & ~(F.col("run.leads") & was_open)
+    return inside.join(carried, _SLICE, "left").withColumns(
+        {
+            "stalled": F.coalesce(F.col("before"), was_open),
+            "since": F.when(own_run, F.col("run.ts")).otherwise(F.col("carriedSince")),
+            "fromQuality": F.coalesce("qualityBefore", "carriedQuality", F.lit(UNKNOWN_QUALITY)),
+        }
+    )
+
+
+def stall_events(signals: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
+    """`buffering_start` / `buffering_end` events.
 
-    stalled = F.coalesce("before", "wasOpen", F.lit(False))
-    joined = inside.join(carried, _SLICE, "left").withColumn("stalled", stalled)
-    own_run = F.col("run").isNotNull() & ~(F.col("run.leads") & F.coalesce("wasOpen", F.lit(False)))
-    since = F.when(own_run, F.col("run.ts")).otherwise(F.col("carriedSince"))
-    return joined.where(F.col("opens") != F.col("stalled")).select(
-        "sessionId",
-        *_SESSION,
-        *_ORDER,
-        F.when(F.col("opens"), "buffering_start").otherwise("buffering_end").alias("eventType"),
-        F.when(~F.col("opens"), F.col("ts") - since).alias("durationMs"),
+    Repeated openers and unmatched closers are ignored; a stall lasts from the
+    first opener of a run to the closer that ends it.
+    """
+    stall = signals.where(F.col("signal").isin([*STALL_OPENERS, *STALL_CLOSERS]))
+    return _followed(stall, slice_ms, []).where(F.col("opens") != F.col("stalled")).select(
+        "sessionId", *_SESSION, *_ORDER, _event_type().alias("eventType"), _duration().alias("durationMs")
     )
 
 
 def quality_switches(signals: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
     """`quality_change` events: the level switched to and the one before it."""
-    switches = (
-        _sliced(signals.where(F.col("signal") == LEVEL_SWITCH), slice_ms)
-        .withColumn("toQuality", F.concat(F.col("height").cast("string"), F.lit("p")))
-        .select(*_SLICE, *_SESSION, *_ORDER, "toQuality", "bitrate", "width", "height")
-    )
-    last_of_slice = switches.groupBy(*_SLICE).agg(F.max(F.struct(*_ORDER, "toQuality")).alias("tail"))
-    carried = last_of_slice.select(
-        *_SLICE, F.lag("tail.toQuality").over(_over_slices()).alias("carriedQuality")
-    )
-    return (
-        switches.withColumn("before", F.lag("toQuality").over(_in_slice()))
-        .join(carried, _SLICE, "left")
-        .select(
-            "sessionId",
-            *_SESSION,
-            *_ORDER,
-            F.lit("quality_change").alias("eventType"),
-            F.coalesce("before", "carriedQuality", F.lit(UNKNOWN_QUALITY)).alias("fromQuality"),
-            "toQuality",
-            "bitrate",
-            "width",
-            "height",
-        )
+    switches = signals.where(F.col("signal") == LEVEL_SWITCH)
+    return _followed(switches, slice_ms, _DETAILS).select(
+        "sessionId", *_SESSION, *_ORDER, F.lit("quality_change").alias("eventType"), *_LEVELS
     )
 
 
+def _event_type() -> Column:
+    opens = F.col("opens")
+    return F.when(opens.isNull(), "quality_change").when(opens, "buffering_start").otherwise("buffering_end")
+
+
+def _duration() -> Column:
+    return F.when(~F.col("opens"), F.col("ts") - F.col("since"))
+
+
 def with_session_start(signals: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
     """For signals that do not carry their session's start: the first signal's time."""
     sliced = _sliced(signals, slice_ms)
@@ -152,12 +166,14 @@ def quarantined_signals(signals: DataFrame) -> DataFrame:
 def player_events(signals: DataFrame, slice_ms: int = SLICE_MS) -> DataFrame:
     """All discrete events of the sessions, in the event schema plus `sessionId, seq`. Signals without a
     session or time give none; `quarantined_signals` shows them."""
-    signals = healthy_signals(signals)
-    both = stall_events(signals, slice_ms).unionByName(
-        quality_switches(signals, slice_ms), allowMissingColumns=True
-    )
+    switched = F.col("opens").isNull()
     return (
-        both.withColumn("schemaVersion", F.lit(SCHEMA_VERSION))
+        _followed(healthy_signals(signals), slice_ms, _DETAILS)
+        .where(switched | (F.col("opens") != F.col("stalled")))
+        .withColumn("eventType", _event_type())
+        .withColumn("durationMs", _duration())
+        .withColumns({c: F.when(switched, F.col(c)) for c in _LEVELS})
+        .withColumn("schemaVersion", F.lit(SCHEMA_VERSION))
         .withColumn("sessionDurationMs", F.col("ts") - F.col("sessionStartedAt"))
         .withColumnRenamed("ts", "timestamp")
         .select("sessionId", "sessionStartedAt", "seq", *PLAYER_EVENT.fieldNames())

@@ -237,6 +237,9 @@ ORACLES: dict[str, str] = {
     "daily_run_consumption": f"""WITH {FLAT}, {HEALTHY}, {_quality('healthy', 'm')} SELECT qualityLabel, qualityRank,
       CAST(sum(totalSrcReceivedBytes) AS BIGINT) AS totalSrcBytes, CAST(sum(totalP2PReceivedBytes) AS BIGINT) AS totalP2PBytes,
       round(avg(p2pRatio), 3) AS avgP2PRatio, count(DISTINCT clientId) AS viewerCount FROM m GROUP BY ALL""",
+    "corrupt_json_kept": f"""WITH {FLAT}, {DOUBLED} SELECT '{{"customerId":' || coalesce('"' || customerId || '"', 'null')
+      || ',"contentId":"' || contentId || '","clientId":"' || clientId || '","timestampInfo":"n/a"}}' AS text, eventDate
+      FROM doubled WHERE event_id % 8 = 0""",
     "stalls": f"WITH {SIGNALS}, {STALLS} SELECT * FROM stalls",
     "quality_switches": f"WITH {SIGNALS}, {SWITCHES} SELECT * FROM switches",
     "player_events": f"WITH {SIGNALS}, {STALLS}, {SWITCHES}, {EVENTS} SELECT * FROM player_events",
@@ -250,6 +253,11 @@ ORACLES: dict[str, str] = {
       SELECT sessionId, sessionDurationMs // 10000 AS tick, clientId, contentId, customerId, CAST(count(*) AS INT) AS batchSize,
         any_value(sessionStartedAt) + (sessionDurationMs // 10000 + 1) * 10000 AS sentAt
       FROM player_events GROUP BY sessionId, sessionDurationMs // 10000, clientId, contentId, customerId""",
+    "wire_bodies": f"""WITH {SIGNALS}, {STALLS}, {SWITCHES}, {EVENTS}
+      SELECT sessionId, sessionDurationMs // 10000 AS tick, clientId, CAST(count(*) AS INT) AS batchSize,
+        any_value(sessionStartedAt) + (sessionDurationMs // 10000 + 1) * 10000 AS sentAt,
+        first(eventType ORDER BY "timestamp", seq) AS firstType, CAST(count(*) AS INT) AS eventsInBody
+      FROM player_events GROUP BY sessionId, sessionDurationMs // 10000, clientId, contentId, customerId""",
     "quarantined_signals": f"""WITH {SIGNALS} SELECT seq, CASE WHEN seq % 7 = 0 THEN 'no session' ELSE 'no time' END AS reason
       FROM signals WHERE seq % 7 = 0 OR seq % 5 = 0""",
     "sampled_sessions": f"""WITH {SIGNALS} SELECT sessionId, seq FROM signals

@@ -336,6 +336,19 @@ def bronze_lineage_nulls(spark, sf_dir):
     return checks.null_census(sources.bronze(spark, paths), columns)
 
 
+@registered
+def corrupt_json_kept(spark, sf_dir):
+    """Every eighth raw JSON record has a text where a struct belongs; its line stays readable."""
+    paths = _lake(spark, "corrupt")
+    reports = _telemetry(spark, sf_dir)
+    wrong = reports.where("event_id % 8 = 0").withColumn("timestampInfo", F.lit("n/a"))
+    _write_raw(reports.where("event_id % 8 <> 0"), paths, "json")
+    _write_raw(wrong.select("customerId", "contentId", "clientId", "timestampInfo", "eventDate"), paths, "json")
+    _ingest(spark, paths, "json")
+    kept = sources.corrupt_reports(spark, paths)
+    return kept.select(F.col(sources.CORRUPT).alias("text"), "eventDate")
+
+
 @registered
 def schema_evolution(spark, sf_dir):
     """The second half of the files brings a new column and a new nested field."""
@@ -411,7 +424,7 @@ def daily_run_consumption(spark, sf_dir):
 
 @registered
 def stalls(spark, sf_dir):
-    return G.stall_events(_signals(spark, sf_dir))
+    return G.stall_events(G.healthy_signals(_signals(spark, sf_dir)))
 
 
 @registered
@@ -440,6 +453,22 @@ def batch_headers(spark, sf_dir):
     return G.batch_headers(G.player_events(_signals(spark, sf_dir)))
 
 
+@registered
+def wire_bodies(spark, sf_dir):
+    """Request bodies of the batches, read back field by field."""
+    body = F.parse_json("body")
+    first = F.variant_get(body, "$.events[0].eventType", "string")
+    return G.wire_bodies(G.event_batches(G.player_events(_signals(spark, sf_dir)))).select(
+        "sessionId",
+        "tick",
+        F.variant_get(body, "$.clientId", "string").alias("clientId"),
+        F.variant_get(body, "$.batchSize", "int").alias("batchSize"),
+        F.variant_get(body, "$.sentAt", "bigint").alias("sentAt"),
+        first.alias("firstType"),
+        F.size(F.variant_get(body, "$.events", "array<variant>")).alias("eventsInBody"),
+    )
+
+
 @registered
 def quarantined_signals(spark, sf_dir):
     """Signals of which every seventh lost its session and every fifth its time."""
@@ -483,9 +512,10 @@ def landing_responses(spark, sf_dir):
 
 @registered
 def landed_events(spark, sf_dir):
-    """Land the bodies, read the landed batches back, one row per event."""
+    """Land the bodies, twice as after a crash, read the landed batches back, one row per event."""
     paths = _lake(spark, "landing")
-    landing.land(_bodies(spark, sf_dir), paths)
+    for _ in range(2):
+        landing.land(_bodies(spark, sf_dir), paths, "b1")
     batches = sources.landed_batches(spark, paths.landed_batches)
     batch = ["clientId", "batchSize", "clientSentAt", "serverReceivedAt", "eventDate"]
     events = batches.select(*batch, F.explode("events").alias("event"))

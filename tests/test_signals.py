@@ -96,3 +96,15 @@ def test_signals_without_session_or_time(spark):
     alone = G.stall_events(frame(spark, [(None, 1, "waiting", 0), (None, 4, "playing", 0)]))
     assert sorted(tuple(r) for r in alone.select("ts", "eventType", "durationMs").collect()) == [
         (1, "buffering_start", None), (4, "buffering_end", 3)]
+
+
+def test_both_state_machines_share_one_scan(spark, tmp_path):
+    rows = [("s", 7_000 * i, "waiting" if i % 3 else "level_switched", 270) for i in range(50)]
+    frame(spark, rows).write.parquet(str(tmp_path / "signals"))
+    for build in (G.player_events, G.event_batches):
+        events = G.player_events(spark.read.parquet(str(tmp_path / "signals")))
+        df = events if build is G.player_events else build(events)
+        df.collect()
+        plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        final = plan.split("Initial Plan")[0].split("\n\n\n")[0]
+        assert final.count("Scan parquet") == 1 and "ReusedExchange" in final
