@@ -13,9 +13,9 @@ are dealt out in parts, each of which every visiting query sees.
 
 Defined results: vectors that are null, of length zero, of another dimension than most, or hold a null, NaN or
 infinity take no part. Equal rows count once. Equal vectors are one entry with their smallest ids, as many as a
-query can need, so a vector that very many rows share costs one entry and no result is lost. Scores are
-cosines in double precision; ties go to the smaller id. Without valid vectors there are no rows.
-Other columns are not carried.
+query can need, so a vector that very many rows share costs one entry and no result is lost; as a query it is
+asked once. Scores are cosines in double precision; ties go to the smaller id. Without valid vectors there are no
+rows. Other columns are not carried.
 """
 
 from __future__ import annotations
@@ -163,14 +163,18 @@ def nearest(df: DataFrame, every: int = 50, k: int = 5, key: str = "vec_id", vec
                 found = hashing.probed(_unit(_matrix(part["vector"])))
                 yield part.assign(bucket=[np.unique(f) for f in found])
 
+    # Queries with equal vectors are asked once: a vector that very many queries share is one visit to each bucket.
+    queries = rows.where(F.col("id") % every == 0)
+    asked = stored(queries.select("vector").distinct().withColumn("id", F.monotonically_increasing_id()), "asked")
+
     kind = rows.schema["vector"].dataType.simpleString()
     filed = stored(
         entries.mapInPandas(file, f"vector {kind}, ids array<long>, bucket array<long>")
         .select("ids", "vector", F.explode("bucket").alias("bucket")),
         "filed",
     )
-    queries = rows.where(F.col("id") % every == 0).mapInPandas(probe, f"id long, vector {kind}, bucket array<long>")
-    probes = queries.select("id", "vector", F.explode("bucket").alias("bucket"))
+    probes = asked.select("id", "vector").mapInPandas(probe, f"id long, vector {kind}, bucket array<long>")
+    probes = probes.select("id", "vector", F.explode("bucket").alias("bucket"))
     crowded = filed.groupBy("bucket").count().where(F.col("count") > BLOCK)
     crowded = stored(crowded.select("bucket", F.ceil(F.col("count") / BLOCK).cast("int").alias("parts")), "crowded")
     parts = F.coalesce("parts", F.lit(1))
@@ -192,27 +196,29 @@ def nearest(df: DataFrame, every: int = 50, k: int = 5, key: str = "vec_id", vec
     )
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = members.unionByName(asking).repartition(n, "bucket", "part").sortWithinPartitions("bucket", "part", "asks")
-    scored = met.mapInPandas(
-        lambda batches: _scored(batches, k), "query_id long, query long, ids array<long>, score double"
-    ).distinct()
-    each = scored.select("query_id", "query", F.explode("ids").alias("vec_id"), "score").where("vec_id <> query_id")
-    best = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
-    ranked = each.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    scored = met.mapInPandas(lambda batches: _scored(batches, k), "query long, ids array<long>, score double").distinct()
+    each = scored.select("query", F.explode("ids").alias("vec_id"), "score")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    few = each.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
+    tops = few.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("top"))
+    found = asked.join(tops, asked["id"] == tops["query"]).select("vector", "top")
+    others = F.slice(F.filter("top", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
+    ranked = queries.withColumnRenamed("id", "query_id").join(found, "vector")
+    return ranked.select("query_id", F.posexplode(others).alias("at", "near")).select(
+        "query_id", (F.col("at") + 1).alias("rank"), "near.vec_id", "near.score"
+    )
 
 
 def _scored(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
     """Scores of one partition's buckets; at most k + 1 entries for each query (and flush) leave it."""
-    from xxhash import xxh64_intdigest
-
     members, units, where = None, None, None
     best: list[pd.DataFrame] = []
     held = 0
 
     def pruned() -> pd.DataFrame:
-        rows = pd.concat(best, ignore_index=True).drop_duplicates(["query_id", "query", "first"])
-        rows = rows.sort_values(["query_id", "query", "score", "first"], ascending=[True, True, False, True])
-        return rows.groupby(["query_id", "query"], sort=False).head(k + 1)
+        rows = pd.concat(best, ignore_index=True).drop_duplicates(["query", "first"])
+        rows = rows.sort_values(["query", "score", "first"], ascending=[True, False, True])
+        return rows.groupby("query", sort=False).head(k + 1)
 
     for batch in batches:
         if not len(batch):
@@ -237,8 +243,7 @@ def _scored(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
             a, b = q[row], members[0][member]
             score = np.einsum("ij,ij->i", a, b) / np.sqrt(np.einsum("ij,ij->i", a, a) * np.einsum("ij,ij->i", b, b))
             names = [members[1][m] for m in member]
-            which = np.array([xxh64_intdigest(v.tobytes()) >> 1 for v in q], np.int64)[row]
-            found = {"query_id": batch["id"].to_numpy()[middle:end][row], "query": which, "ids": names, "score": score}
+            found = {"query": batch["id"].to_numpy()[middle:end][row], "ids": names, "score": score}
             best.append(pd.DataFrame(found).assign(first=[n[0] for n in names]))
             held += len(row)
             if held > 400_000:
