@@ -6,7 +6,7 @@ centroids from spherical k-means; the nearest by cosine gives the language. A te
 centroid than nearly all that was learned from is rejected.
 
 Document frequencies count all learnable rows; the centroids are fitted on a bounded sample, about
-`SAMPLE` rows of each language, chosen by a hash of the id.
+`SAMPLE` rows of each language, chosen by a hash of id and text; of equal rows one is learned from.
 
 Defined results: a null text, or one without a letter, is `und`, score 0, rejected. Without any learnable row
 everything is `und`. Rows are predicted one by one, so repeated ids and extra columns do not matter; of
@@ -141,8 +141,9 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     idf = np.log((1 + seen[SLOTS]) / (1 + seen[:SLOTS])) + 1
     per_language = rows.groupBy("lang").count()  # as many rows as there are languages
     share = F.lit(float(sample)) / F.col("count")
-    lot = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = rows.join(F.broadcast(per_language), "lang").where(lot < share).select("lang", "text")
+    lot = F.pmod(F.xxhash64("doc_id", "text", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # Copies under one id are drawn together, so they are learned from once: the sample stays as small as it should be.
+    chosen = rows.join(F.broadcast(per_language), "lang").where(lot < share).select("lang", "text").distinct()
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         x, known = vectors_of(group["text"].tolist(), idf)
