@@ -90,3 +90,19 @@ def buffering_from_bronze(bronze: DataFrame) -> DataFrame:
 def quality_from_bronze(bronze: DataFrame, normalise_labels: bool = False) -> DataFrame:
     """Whole step bronze -> quality metrics."""
     return quality_metrics(R.distinct_reports(R.compact(bronze)), normalise_labels)
+
+
+def player_event_metrics(batches: DataFrame) -> DataFrame:
+    """Stalls, time stalled and quality switches per viewer and day of receipt, from landed event batches.
+
+    The ids are those of the batch, as the receiver checked them. A stall counts where it ends. Batches whose
+    events cannot be read give no row.
+    """
+    stall = F.col("event.eventType") == "buffering_end"
+    opened = batches.select(*VIEWER_DAY, F.explode("events").alias("event"))
+    return opened.groupBy(*VIEWER_DAY).agg(
+        F.count("*").alias("eventCount"),
+        F.count_if(stall).alias("stalls"),
+        F.coalesce(F.sum(F.when(stall, F.col("event.durationMs"))), F.lit(0)).alias("stalledMs"),
+        F.count_if(F.col("event.eventType") == "quality_change").alias("qualitySwitches"),
+    )

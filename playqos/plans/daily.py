@@ -1,4 +1,4 @@
-"""The daily run: raw -> bronze -> silver -> dashboard, in this order."""
+"""The daily run: raw -> bronze -> silver -> dashboard, in this order; landed event batches beside it."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from playqos.operators.metrics import player_event_metrics
 from playqos.paths import LakePaths
 from playqos.plans import dashboard
 from playqos.schemas import BUFFERING_METRICS, QUALITY_METRICS
@@ -20,6 +21,7 @@ class DailyResult:
     paths: LakePaths
     buffering: DataFrame
     quality: DataFrame
+    player_events: DataFrame
     charts: dict[str, DataFrame]
 
 
@@ -54,6 +56,7 @@ def run_daily(
     finish(silver, timeout)
     buffering = reports.silver(spark, paths.buffering, BUFFERING_METRICS)
     quality = reports.silver(spark, paths.quality, QUALITY_METRICS)
+    player_events = player_event_metrics(reports.landed_batches(spark, paths.landed_batches))
     charts = {
         "qos_summary": dashboard.qos_summary(buffering),
         "category_distribution": dashboard.category_distribution(buffering),
@@ -62,4 +65,4 @@ def run_daily(
         "delivery_split": dashboard.delivery_split(quality),
         "session_vs_buffering": dashboard.session_vs_buffering(buffering),
     }
-    return DailyResult(paths, buffering, quality, charts)
+    return DailyResult(paths, buffering, quality, player_events, charts)

@@ -96,9 +96,9 @@ ON_BUFFERING = f"WITH {FLAT}, {_buffering('flat', 'm')}"
 ON_QUALITY = f"WITH {FLAT}, {_quality('flat', 'm')}"
 
 
-def _replaced(metrics, keys: list[str]) -> str:
+def _replaced(metrics, keys: list[str], healthy: str = HEALTHY) -> str:
     match = " AND ".join(f"half0_m.{k} = half1_m.{k}" for k in keys)
-    return f"""WITH {FLAT}, {HEALTHY}, {HALVES}, {metrics('half0', 'half0_m')}, {metrics('half1', 'half1_m')}
+    return f"""WITH {FLAT}, {healthy}, {HALVES}, {metrics('half0', 'half0_m')}, {metrics('half1', 'half1_m')}
 SELECT * FROM half1_m UNION ALL
 SELECT * FROM half0_m WHERE NOT EXISTS (SELECT 1 FROM half1_m WHERE {match})"""
 
@@ -159,6 +159,9 @@ judged AS (SELECT *,
 _ISO = "strftime(ts, '%Y-%m-%dT%H:%M:%S.') || lpad(CAST(epoch_us(ts) // 1000 % 1000 AS VARCHAR), 3, '0') || 'Z'"
 _DAY = "CAST(CAST(ts AS DATE) AS VARCHAR)"
 
+_RAW_DAY = f"""WITH {FLAT}, {DOUBLED} SELECT customerId, clientId, serverTs,
+  CAST(CASE WHEN event_id % 17 = 0 THEN NULL ELSE bufferings END AS INT) AS bufferings, eventDate FROM doubled"""
+
 # --- one statement per registered query -------------------------------------
 
 ORACLES: dict[str, str] = {
@@ -170,6 +173,13 @@ ORACLES: dict[str, str] = {
       SELECT DISTINCT ON (clientId, contentId, customerId, serverTs) clientId, contentId, customerId, serverTs, eventDate,
         ingestedAt, CAST(bufferings AS INT) AS bufferings, bufferingTime, labels
       FROM doubled ORDER BY eventDate, ingestedAt""",
+    "dedup_conflicting_copies": f"""WITH {FLAT}, copies AS (SELECT * FROM flat UNION ALL
+        SELECT * REPLACE (0 AS bufferings, 0 AS bufferingTime, CASE WHEN event_id % 4 = 1 THEN ingestedAt + 3600000000
+            ELSE ingestedAt END AS ingestedAt, CASE WHEN event_id % 4 = 0 THEN CAST(CAST(eventDate AS DATE) - 1 AS VARCHAR)
+            ELSE eventDate END AS eventDate) FROM flat WHERE event_id % 4 < 3)
+      SELECT DISTINCT ON (clientId, contentId, customerId, serverTs) clientId, contentId, customerId, serverTs, eventDate,
+        ingestedAt, CAST(bufferings AS INT) AS bufferings, CAST(bufferingTime AS INT) AS bufferingTime, labels
+      FROM copies ORDER BY eventDate, ingestedAt, bufferings, bufferingTime""",
     "dedup_any_copy": f"WITH {FLAT}, {DOUBLED} SELECT DISTINCT clientId, contentId, customerId, serverTs FROM doubled",
     "buffering_metrics": f"{ON_BUFFERING} SELECT * FROM m",
     "traffic_flat": f"WITH {FLAT}, {_traffic('flat', 't')} SELECT * FROM t",
@@ -181,6 +191,10 @@ ORACLES: dict[str, str] = {
     + " SELECT * FROM m",
     "quarantined_reports": f"""WITH {FLAT}, {DOUBLED} SELECT clientId, serverTs, eventDate, 'missing viewer id' AS reason
       FROM doubled WHERE customerId IS NULL""",
+    "quarantined_both_reasons": f"""WITH {FLAT}, {DOUBLED} SELECT clientId, serverTs,
+      CASE WHEN event_id % 23 <> 0 THEN eventDate END AS eventDate,
+      CASE WHEN customerId IS NULL THEN 'missing viewer id' ELSE 'missing event date' END AS reason
+      FROM doubled WHERE customerId IS NULL OR event_id % 23 = 0""",
     "qos_summary": f"""{ON_BUFFERING} SELECT count(*) AS totalViewers, count(*) FILTER (WHERE poorQoS) AS poorQoSViewers,
       round(avg(bufferingPct), 2) AS avgBufferingPct, round(avg(sessionDurationSec), 0) AS avgSessionSec FROM m""",
     "category_distribution": f"{ON_BUFFERING} SELECT bufferingCategory, count(*) AS count FROM m GROUP BY 1",
@@ -211,6 +225,9 @@ ORACLES: dict[str, str] = {
       'customerId,contentId,clientId,serverTs,agentTs,bufferings,bufferingTime,labels,eventDate' AS columnNames FROM doubled""",
     "upsert_replace_buffering": _REPLACED_BUFFERING,
     "upsert_replace_quality": _REPLACED_QUALITY,
+    "upsert_replace_strict": _replaced(_buffering, _DAY_KEYS, "healthy AS (SELECT * FROM flat)"),
+    "raw_day": _RAW_DAY,
+    "raw_day_enforced_schema": _RAW_DAY,
     "raw_rows_per_day": f"WITH {FLAT}, {DOUBLED} SELECT eventDate, count(*) AS rowCount FROM doubled GROUP BY 1",
     "raw_rows_in_files": f"WITH {FLAT}, {DOUBLED} SELECT eventDate, count(*) AS rowCount FROM doubled GROUP BY 1",
     "event_date_from_path": """SELECT event_id, CASE WHEN event_id % 5 = 0 OR event_id % 7 = 0 THEN NULL
@@ -274,3 +291,22 @@ ORACLES: dict[str, str] = {
       {_DAY} AS eventDate, 'buffering_end' AS eventType, ms + i AS "timestamp", k * i AS durationMs
       FROM (SELECT *, unnest(range(1, eventCount + 1)) AS i FROM judged WHERE reason IS NULL)""",
 }
+
+# The daily run keeps reports with ids and dates only.
+for _chart, _on, _healthy in [
+    ("qos_summary", ON_BUFFERING, _buffering),
+    ("category_distribution", ON_BUFFERING, _buffering),
+    ("viewers_by_buffering", ON_BUFFERING, _buffering),
+    ("delivery_split", ON_QUALITY, _quality),
+    ("session_vs_buffering", ON_BUFFERING, _buffering),
+]:
+    _rest = ORACLES[_chart].removeprefix(_on)
+    ORACLES[f"daily_run_{_chart}"] = f"WITH {FLAT}, {HEALTHY}, {_healthy('healthy', 'm')}{_rest}"
+ORACLES["full_refresh"] = ORACLES["stream_recompute_buffering"]
+ORACLES["landed_to_metrics"] = f"""WITH {SIGNALS}, {STALLS}, {SWITCHES}, {EVENTS}
+  SELECT clientId, contentId, customerId, CAST(CAST(make_timestamp(
+      (sessionStartedAt + (sessionDurationMs // 10000 + 1) * 10000) * 1000) AS DATE) AS VARCHAR) AS eventDate,
+    count(*) AS eventCount, count(*) FILTER (WHERE eventType = 'buffering_end') AS stalls,
+    CAST(coalesce(sum(durationMs) FILTER (WHERE eventType = 'buffering_end'), 0) AS BIGINT) AS stalledMs,
+    count(*) FILTER (WHERE eventType = 'quality_change') AS qualitySwitches
+  FROM player_events GROUP BY 1, 2, 3, 4"""

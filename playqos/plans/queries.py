@@ -8,6 +8,7 @@ their streams to the end in a new scratch folder and return the stored tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,6 +102,29 @@ def dedup_reports(spark, sf_dir):
     return reports.withColumn("labels", F.size("traffic")).drop("traffic")
 
 
+@registered
+def dedup_conflicting_copies(spark, sf_dir):
+    """Copies that differ: of three quarters of the reports a second one without player, under the day before,
+    ingested an hour later, or equal but for the player."""
+    kind, second = F.col("event_id") % 4, F.col("variant") == 1
+    copies = F.when(kind < 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    reports = (
+        _telemetry(spark, sf_dir)
+        .withColumn("variant", F.explode(copies))
+        .withColumns(
+            {
+                "eventDate": F.when(second & (kind == 0), F.date_sub("eventDate", 1)).otherwise(F.col("eventDate")),
+                "_ingested_at": F.when(second & (kind == 1), F.col("_ingested_at") + F.expr("INTERVAL 1 HOUR")).otherwise(
+                    F.col("_ingested_at")
+                ),
+                "player": F.when(~second, F.col("player")),
+            }
+        )
+    )
+    kept = R.distinct_reports(R.compact(reports))
+    return kept.withColumn("labels", F.size("traffic")).drop("traffic")
+
+
 @registered
 def dedup_any_copy(spark, sf_dir):
     """Dedup without a ranking; only what all copies share is shown."""
@@ -135,6 +159,15 @@ def quarantined_reports(spark, sf_dir):
     )
 
 
+@registered
+def quarantined_both_reasons(spark, sf_dir):
+    """Every 23rd report lost its date; where the viewer is missing too, that is the reason."""
+    day = F.when(F.col("event_id") % 23 != 0, F.col("eventDate"))
+    return R.quarantined(_telemetry(spark, sf_dir).withColumn("eventDate", day)).select(
+        "clientId", F.col("timestampInfo.server").alias("serverTs"), "eventDate", "reason"
+    )
+
+
 # --- dashboard --------------------------------------------------------------
 
 
@@ -205,8 +238,8 @@ def profile_counts(spark, sf_dir):
 # --- upserts as frames ------------------------------------------------------
 
 
-def _replaced(spark, sf_dir, compute, keys):
-    first, second = (compute(R.healthy(half)) for half in _halves(_telemetry(spark, sf_dir)))
+def _replaced(spark, sf_dir, compute, keys, rows=R.healthy):
+    first, second = (compute(rows(half)) for half in _halves(_telemetry(spark, sf_dir)))
     return upsert.replace_rows(first, second, keys)
 
 
@@ -220,6 +253,12 @@ def upsert_replace_quality(spark, sf_dir):
     return _replaced(spark, sf_dir, metrics.quality_from_bronze, QUALITY_KEYS)
 
 
+@registered
+def upsert_replace_strict(spark, sf_dir):
+    """Rows without an id take part: their keys match nothing, so the stored row stays beside the new one."""
+    return _replaced(spark, sf_dir, metrics.buffering_from_bronze, BUFFERING_KEYS, rows=lambda half: half)
+
+
 # --- raw zone, ingest and silver streams ------------------------------------
 
 
@@ -263,6 +302,28 @@ def raw_rows_per_day(spark, sf_dir):
     return checks.rows_per_partition(spark.read.parquet(paths.raw))
 
 
+def _raw_days(spark: SparkSession, sf_dir: str, schema) -> DataFrame:
+    """The raw zone read one date folder at a time; there are as many as calendar days."""
+    paths = _lake(spark, "raw-day")
+    _write_raw(_telemetry(spark, sf_dir), paths, "parquet")
+    days = sorted(row[0].isoformat() for row in spark.read.parquet(paths.raw).select("eventDate").distinct().collect())
+    shown = ["customerId", "clientId", F.col("timestampInfo.server").alias("serverTs"), "player.bufferings"]
+    frames = [
+        sources.raw_day(spark, paths, day, schema).select(*shown, F.lit(day).alias("eventDate")) for day in days
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
+@registered
+def raw_day(spark, sf_dir):
+    return _raw_days(spark, sf_dir, None)
+
+
+@registered
+def raw_day_enforced_schema(spark, sf_dir):
+    return _raw_days(spark, sf_dir, REPORT)
+
+
 @registered
 def raw_rows_in_files(spark, sf_dir):
     """Per-file counts summed up again: no file is missed or read twice."""
@@ -419,6 +480,30 @@ def daily_run_consumption(spark, sf_dir):
     return run_daily(spark, paths, ingested_date=INGEST_DAY).charts["quality_consumption"]
 
 
+def _daily_chart(chart: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        paths = _both_formats(spark, sf_dir, f"daily-{chart}")
+        return run_daily(spark, paths, ingested_date=INGEST_DAY).charts[chart]
+
+    run.__name__, run.__doc__ = f"daily_run_{chart}", f"The daily run up to its chart {chart}."
+    return run
+
+
+for _chart in ("qos_summary", "category_distribution", "viewers_by_buffering", "delivery_split", "session_vs_buffering"):
+    registered(_daily_chart(_chart))
+
+
+@registered
+def full_refresh(spark, sf_dir):
+    """Half of the reports through a daily run, the rest through a refresh of everything beside it."""
+    paths = _lake(spark, "refresh")
+    first, rest = _halves(_telemetry(spark, sf_dir))
+    _write_raw(first, paths, "parquet")
+    run_daily(spark, paths, ingested_date=INGEST_DAY)
+    _write_raw(rest, paths, "json")
+    return _without_clock(run_daily(spark, paths, full_refresh="g1", ingested_date=INGEST_DAY).buffering)
+
+
 # --- player signals ---------------------------------------------------------
 
 
@@ -520,3 +605,13 @@ def landed_events(spark, sf_dir):
     batch = ["clientId", "batchSize", "clientSentAt", "serverReceivedAt", "eventDate"]
     events = batches.select(*batch, F.explode("events").alias("event"))
     return events.select(*batch, "event.eventType", "event.timestamp", "event.durationMs")
+
+
+@registered
+def landed_to_metrics(spark, sf_dir):
+    """The way of the collector's data: signals, events, request bodies, landed batches, counts per viewer and day."""
+    paths = _lake(spark, "collected")
+    sent_at = F.variant_get(F.parse_json("body"), "$.sentAt", "bigint")
+    bodies = G.wire_bodies(G.event_batches(G.player_events(_signals(spark, sf_dir))))
+    landing.land(bodies.select("body", F.timestamp_millis(sent_at).alias("receivedAt")), paths, "b1")
+    return metrics.player_event_metrics(sources.landed_batches(spark, paths.landed_batches))

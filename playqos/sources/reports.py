@@ -75,7 +75,9 @@ def corrupt_reports(spark: SparkSession, paths: LakePaths) -> DataFrame:
 
 
 def landed_batches(spark: SparkSession, folder: str, multi_line: bool = False) -> DataFrame:
-    """Accepted player-event batches as landed."""
+    """Accepted player-event batches as landed; empty before the first."""
+    if not exists(spark, folder):
+        return spark.createDataFrame([], LANDED_BATCH)
     return spark.read.schema(LANDED_BATCH).option("multiLine", str(multi_line).lower()).json(folder)
 
 
