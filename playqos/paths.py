@@ -50,6 +50,14 @@ class LakePaths:
     def quality(self) -> str:
         return self._at(self.generation, "silver", "quality_metrics")
 
+    @property
+    def signals(self) -> str:
+        return self._at(self.generation, "bronze", "signals")
+
+    @property
+    def events(self) -> str:
+        return self._at(self.generation, "silver", "player_events")
+
     @property
     def moments(self) -> str:
         """Which days hold reports of which server days."""

@@ -302,6 +302,7 @@ for _chart, _on, _healthy in [
 ]:
     _rest = ORACLES[_chart].removeprefix(_on)
     ORACLES[f"daily_run_{_chart}"] = f"WITH {FLAT}, {HEALTHY}, {_healthy('healthy', 'm')}{_rest}"
+ORACLES["stalls_two_runs"] = ORACLES["stalls"]
 ORACLES["full_refresh"] = ORACLES["stream_recompute_buffering"]
 ORACLES["landed_to_metrics"] = f"""WITH {SIGNALS}, {STALLS}, {SWITCHES}, {EVENTS}
   SELECT clientId, contentId, customerId, CAST(CAST(make_timestamp(

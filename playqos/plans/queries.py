@@ -20,10 +20,20 @@ from playqos.operators import signals as G
 from playqos.paths import LakePaths
 from playqos.plans import dashboard
 from playqos.plans.daily import run_daily
-from playqos.schemas import BUFFERING_KEYS, BUFFERING_METRICS, QUALITY_KEYS, QUALITY_METRICS, REPORT
+from playqos.schemas import (
+    BUFFERING_KEYS,
+    BUFFERING_METRICS,
+    QUALITY_KEYS,
+    QUALITY_METRICS,
+    REPORT,
+    SESSION_EVENT,
+    SIGNAL,
+    VIEWER,
+)
 from playqos.session import configure, scratch_dir
 from playqos.sources import derived, evolution
 from playqos.sources import reports as sources
+from playqos.streaming.events import signals_to_events
 from playqos.streaming.ingest import finish, ingest_json, ingest_parquet
 from playqos.streaming.silver import bronze_to_silver
 
@@ -512,6 +522,20 @@ def stalls(spark, sf_dir):
     return G.stall_events(G.healthy_signals(_signals(spark, sf_dir)))
 
 
+@registered
+def stalls_two_runs(spark, sf_dir):
+    """Signals of every session arrive in two runs, every other one late; the stalls are those of the whole."""
+    paths = _lake(spark, "signals")
+    arriving = paths.raw + "_signals"
+    signals = _signals(spark, sf_dir).select(*SIGNAL.fieldNames())
+    for half in (0, 1):
+        signals.where(F.col("seq") % 2 == half).write.mode("append").parquet(arriving)
+        finish(signals_to_events(spark, arriving, paths))
+    events = sources.silver(spark, paths.events, SESSION_EVENT).where("eventType <> 'quality_change'")
+    session = ["sessionId", *VIEWER, "sessionStartedAt"]
+    return events.select(*session, F.col("timestamp").alias("ts"), "seq", "eventType", "durationMs")
+
+
 @registered
 def quality_switches(spark, sf_dir):
     return G.quality_switches(_signals(spark, sf_dir))

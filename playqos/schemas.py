@@ -107,6 +107,31 @@ PLAYER_EVENT = _struct(
     height=INT,
 )
 
+# What a player tells: one row per signal. Stored ones know the day their session began and their micro-batch.
+SIGNAL = _struct(
+    sessionId=STRING,
+    clientId=STRING,
+    contentId=STRING,
+    customerId=STRING,
+    ts=LONG,
+    seq=LONG,
+    signal=STRING,
+    height=INT,
+    width=INT,
+    bitrate=LONG,
+    sessionStartedAt=LONG,
+)
+STORED_SIGNAL = T.StructType([*SIGNAL.fields, *_struct(eventDate=T.DateType(), batch=STRING).fields])
+
+# The events table: events with their session.
+SESSION_EVENT = T.StructType(
+    [
+        *_struct(sessionId=STRING, sessionStartedAt=LONG, seq=LONG).fields,
+        *PLAYER_EVENT.fields,
+        T.StructField("eventDate", T.DateType()),
+    ]
+)
+
 WIRE_BATCH = _struct(
     clientId=STRING,
     contentId=STRING,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playqos.paths import LakePaths, exists
-from playqos.schemas import LANDED_BATCH, LINEAGE, REPORT, bronze_schema
+from playqos.schemas import LANDED_BATCH, LINEAGE, REPORT, SIGNAL, bronze_schema
 
 STREAMS = ("parquet", "json")
 #: Older than any file, so that none is skipped for its modification time.
@@ -53,6 +53,11 @@ def raw_parquet_stream(
     return _file_stream(spark, schema, "*.parquet", max_files).parquet(paths.raw)
 
 
+def signal_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """Player signals as a stream."""
+    return _file_stream(spark, SIGNAL, "*.parquet", max_files).parquet(folder)
+
+
 def raw_json_stream(
     spark: SparkSession, paths: LakePaths, multi_line: bool = False, max_files: int | None = None
 ) -> DataFrame:

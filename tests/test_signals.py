@@ -2,6 +2,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from playqos.operators import signals as G
+from playqos.paths import LakePaths
+from playqos.schemas import SESSION_EVENT
+from playqos.sources.reports import silver
+from playqos.streaming.events import write_batch
 
 SCHEMA = (
     "sessionId string, clientId string, contentId string, customerId string, ts bigint, seq bigint, "
@@ -108,3 +112,15 @@ def test_both_state_machines_share_one_scan(spark, tmp_path):
         plan = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
         final = plan.split("Initial Plan")[0].split("\n\n\n")[0]
         assert final.count("Scan parquet") == 1 and "ReusedExchange" in final
+
+
+def test_events_of_two_batches_and_a_replay(spark, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    rows = [("s", 1, "waiting", 0), ("t", 2, "waiting", 0), ("s", 9_000, "level_switched", 720), ("s", 25_000, "playing", 0),
+            (None, 3, "waiting", 0)]
+    whole = frame(spark, rows)
+    for batch_id, seqs in [(0, [0, 1, 4]), (1, [2, 3]), (1, [2, 3])]:
+        write_batch(whole.where(whole.seq.isin(seqs)), batch_id, paths)
+    got = silver(spark, paths.events, SESSION_EVENT).select("sessionId", "seq", "eventType", "durationMs", "fromQuality", "toQuality")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows[:4])
+    assert spark.read.parquet(paths.signals).count() == 4
