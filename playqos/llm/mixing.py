@@ -10,7 +10,7 @@ Defined results: a null or blank text has size 0 and takes nothing; a null sourc
 other, the last in order; documents that share an id follow each other by size (identical rows are
 interchangeable); an empty table gives no rows. Other columns are kept; the result is one new struct
 column, which replaces a column of the same name. No source is held by one task: the running sums go over
-fixed buckets of the pseudo-random order first, then inside one bucket.
+fixed buckets of the pseudo-random order first, then inside one bucket. Only rows of one id share a bucket for sure.
 """
 
 from __future__ import annotations
