@@ -341,3 +341,15 @@ def test_a_run_that_dies_while_creating_is_healed(spark, paths, monkeypatch):
     run(spark, paths)
     assert buffering(spark, paths) == [("c1", DAY, 1, 1)]
     assert quality(spark, paths) == [("c1", DAY, "4K", 1)]
+
+
+def test_files_with_old_times_are_ingested(spark, paths):
+    land(spark, paths, bronze_row(server=1))
+    finish(ingest_parquet(spark, paths, "2025-02-01"), 120)
+    land(spark, paths, bronze_row(server=2, day=NEXT))
+    for folder, _, names in os.walk(f"{paths.raw}/eventDate={NEXT}"):
+        for name in names:
+            month_ago = time.time() - 30 * 86_400
+            os.utime(f"{folder}/{name}", (month_ago, month_ago))
+    finish(ingest_parquet(spark, paths, "2025-02-01"), 120)
+    assert sources.bronze(spark, paths).count() == 2
