@@ -11,6 +11,10 @@ A file of more than `BLOCK` members is not compared as one. Its pairs differ onl
 and two fingerprints within two bits share a point within one bit of both; each member is filed under those
 33 points, where at most 33 distinct fingerprints can meet. Both ways are exact; no pair is left out.
 
+`one_of_each` follows another rule, the similarity of sets of shingles, which fingerprints of 64 bits cannot decide:
+texts of similarity 0.8 differ in 2 to over 10 bits. Its candidates share a shingle among the first of each set
+in an order of rare ones first, which any two sets of that similarity do, and are then compared exactly.
+
 Defined results: a null or blank text has fingerprint zero, which links like any other. Rows that share an id
 or text are judged one by one. A null id never becomes a component's id; a component of null ids only has
 a null id. An empty table gives no rows. Other columns are not carried, except by `one_of_each`, which keeps
@@ -29,33 +33,50 @@ from pyspark.sql import functions as F
 
 from playqos.llm.common import slices, stored, texts_of
 from playqos.llm.components import components
+from playqos.session import rows_of_keys
 
 WORDS, SEED, RADIUS = 3, 42, 2
+#: Near-copies of `one_of_each`: words of a shingle, least Jaccard similarity of two texts' sets of shingles.
+COPY_WORDS, COPY_SIMILARITY = 5, 0.8
+#: Texts (about) whose frequent shingles set the order of shingles, and how many of those are sent to every task.
+SAMPLE, MOST_COMMON = 8192, 200_000
 BITS, QUARTER = 64, 16
 PAIRS = [(a, b) for a in range(4) for b in range(a + 1, 4)]
 #: Members of a block; a block's counters take BLOCK * BLOCK / 8 bytes each.
 BLOCK = 4096
 
 
-def fingerprint_of(text: str, words: int = WORDS, seed: int = SEED) -> int:
+def _hashes(text: str, words: int, seed: int) -> Iterator[np.ndarray]:
+    """Hashes of the text's shingles, repeats included, in parts of bounded size."""
     from xxhash import xxh64_intdigest
 
     parts = text.encode("utf-8", "replace").lower().split()  # bytes: A-Z and ASCII white space only
     if not parts:
-        return 0
+        return
     joined, n = b" ".join(parts), max(1, len(parts) - words + 1)
     ends = np.cumsum([len(p) + 1 for p in parts]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     first, last = starts[:n].tolist(), ends[min(words, len(parts)) - 1 :].tolist()
-    ones = np.zeros(BITS, np.int64)
     for at in range(0, n, 1 << 16):
         span = slice(at, at + (1 << 16))
-        hashes = np.array([xxh64_intdigest(joined[i:j], seed) for i, j in zip(first[span], last[span])], "<u8")
+        yield np.array([xxh64_intdigest(joined[i:j], seed) for i, j in zip(first[span], last[span])], "<u8")
+
+
+def fingerprint_of(text: str, words: int = WORDS, seed: int = SEED) -> int:
+    ones, n = np.zeros(BITS, np.int64), 0
+    for hashes in _hashes(text, words, seed):
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
+        n += len(hashes)
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+def shingles_of(text: str, words: int) -> np.ndarray:
+    """The text's distinct shingles as sorted signed longs."""
+    found = list(_hashes(text, words, SEED))
+    return np.unique(np.concatenate(found).view("<i8")) if found else np.array([], "<i8")
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
     """(doc_id, fingerprint as a signed long)."""
 
@@ -239,22 +260,166 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return found.join(ids, "fingerprint").select("doc_id", hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each group the row with the smallest id (nulls last) stays."""
+def _common_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted shingles, in how many texts) of the most frequent shingles in a sample. They only set the order of
+    shingles in `_prefix`, so what the sample misses costs time, not pairs."""
+    share = min(1.0, SAMPLE / max(texts.count(), 1))
+    lot = F.pmod(F.xxhash64("at"), F.lit(1 << 20))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            found = [shingles_of(t, words) for t in texts_of(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.array([], "<i8")]))], ["shingle"])
+
+    seen = texts.where(lot < int(share * (1 << 20)) + 1).select("text").mapInArrow(run, "shingle long")
+    often = seen.groupBy("shingle").count().where("count > 1").orderBy(F.desc("count"), "shingle").limit(MOST_COMMON)
+    rows = often.toPandas().sort_values("shingle")
+    return rows["shingle"].to_numpy(np.int64), rows["count"].to_numpy(np.int64)
+
+
+def _prefix(shingles: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first shingles in an order shared by all texts, rare ones first: two sets as similar as that share one."""
+    known, times = common
+    seen = np.zeros(len(shingles), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+        seen = np.where(known[at] == shingles, times[at], 0)
+    n = len(shingles) - int(np.ceil(similarity * len(shingles) - 1e-9)) + 1
+    return shingles[np.lexsort((shingles, seen))[:n]]
+
+
+def _met(file: np.ndarray, size: np.ndarray, root: np.ndarray, similarity: float, hubs: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs to be compared, of rows sorted by file and size: in a file, sizes near enough, of different roots.
+
+    ``hubs``: only the pairs of each member with the smallest of its file that is near enough in size to all up to it.
+    """
+    left, step = np.arange(len(file)), 1
+    while len(left) > 1:
+        if hubs:
+            begins = np.concatenate(([True], file[left[1:]] != file[left[:-1]]))
+            i, j = left[np.flatnonzero(begins)[np.cumsum(begins) - 1]], left
+            near = size[i] >= similarity * size[j] - 1e-9
+            left = left[~near]
+            near &= i != j
+        else:
+            i = left[left + step < len(file)]
+            j = i + step
+            near = (file[i] == file[j]) & (size[i] >= similarity * size[j] - 1e-9)
+            i, j = i[near], j[near]  # sizes ascend: a member that meets no more here meets none further on
+            left, step, near = i, step + 1, np.full(len(i), True)
+        near &= root[i] != root[j]
+        yield i[near], j[near]
+
+
+def _to_compare(members: DataFrame, similarity: float, hubs: bool) -> DataFrame:
+    """(a, b) of `members` (node, size, root, prefix) that share a shingle of their prefixes."""
+
+    def pairs(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        files = rows["file"].to_numpy()
+        same = files[1:] == files[:-1]
+        rows = rows[np.concatenate((same, [False])) | np.concatenate(([False], same))]
+        node, found, held = rows["node"].to_numpy(), [], 0
+        file, size, root = (rows[c].to_numpy() for c in ("file", "size", "root"))
+        for i, j in _met(file, size, root, similarity, hubs):
+            found.append(pd.DataFrame({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])}))
+            held += len(i)
+            if held > 200_000:
+                yield pd.concat(found).drop_duplicates()
+                found, held = [], 0
+        if held:
+            yield pd.concat(found).drop_duplicates()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            rest = batch if rest is None else pd.concat((rest, batch), ignore_index=True)
+            whole = rest["file"].to_numpy() != rest["file"].iloc[-1] if len(rest) else []
+            if np.sum(whole) >= BLOCK:
+                yield from pairs(rest[whole])
+                rest = rest[~whole]
+        if rest is not None and len(rest):
+            yield from pairs(rest)
+
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    filed = members.select(F.explode("prefix").alias("file"), "node", "size", "root").repartition(n, "file")
+    return filed.sortWithinPartitions("file", "size", "node").mapInPandas(run, "a long, b long").distinct()
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The rows of `pairs` (a, b: numbers of rows of `texts`) whose sets of shingles have that Jaccard similarity."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 256):
+            found = [shingles_of(t, words).tobytes() for t in texts_of(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("at"), pa.array(found, pa.binary())], ["at", "shingles"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                x, y = np.frombuffer(x, "<i8"), np.frombuffer(y, "<i8")
+                common = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
+                near.append(common >= similarity * (len(x) + len(y) - common) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    nodes = stored(pairs.select(F.explode(F.array("a", "b")).alias("at")).distinct(), "nodes")
+    known = stored(rows_of_keys(texts, nodes, ["at"]).mapInArrow(sets, "at long, shingles binary"), "shingles")
+    both = pairs.join(known.select(F.col("at").alias("a"), F.col("shingles").alias("x")), "a")
+    both = both.join(known.select(F.col("at").alias("b"), F.col("shingles").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+
+
+def similar_links(members: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(node, root) of the components over all pairs of `members` (node, size, prefix) that are similar enough.
+
+    First each member of a file is compared with the file's smallest, which joins most of a large group; then
+    all pairs that are still apart are.
+    """
+    alone = members.withColumn("root", F.col("node"))
+    first = stored(_to_compare(alone, similarity, hubs=True), "hub-pairs")
+    edges = stored(_similar(first, texts, words, similarity), "similar")
+    roots = stored(components(edges), "roots")
+    joined = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    others = stored(_to_compare(joined, similarity, hubs=False).join(first, ["a", "b"], "left_anti"), "other-pairs")
+    if others.isEmpty():
+        return roots
+    return components(edges.unionByName(_similar(others, texts, words, similarity)))
+
+
+def one_of_each(docs: DataFrame, words: int = COPY_WORDS, similarity: float = COPY_SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` without near-copies: of each group the row with the smallest id (nulls last) stays.
+
+    Near-copies have sets of shingles of that Jaccard similarity or more; groups are components over them. A text
+    shorter than a shingle is one shingle; texts without a word are copies of each other.
+    """
     columns = [F.col(f"`{c}`") for c in docs.columns]
     numbered = docs.select(F.struct(*columns).alias("row"), "doc_id", F.monotonically_increasing_id().alias("at"))
     kept = stored(numbered, "numbered")  # numbers must not change when a task runs again
+    texts = kept.select("at", F.col("row.text").alias("text"))
+    common = _common_shingles(texts, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2048):
-            found = np.array([fingerprint_of(t) for t in texts_of(batch)], np.uint64).view(np.int64)
+        from xxhash import xxh3_128_digest
+
+        for batch in slices(batches, 512):
+            found = [shingles_of(t, words) for t in texts_of(batch)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("at"), pa.array(found)], ["doc_id", "at", "fingerprint"]
+                [
+                    batch.column("doc_id"),
+                    batch.column("at"),
+                    pa.array([xxh3_128_digest(f.tobytes()) for f in found], pa.binary()),
+                    pa.array([len(f) for f in found], pa.int64()),
+                    pa.array([_prefix(f, similarity, common) if len(f) else f for f in found], pa.list_(pa.int64())),
+                ],
+                ["doc_id", "at", "key", "size", "prefix"],
             )
 
-    narrow = kept.select("doc_id", "at", F.col("row.text").alias("text"))
-    found = stored(narrow.mapInArrow(run, "doc_id long, at long, fingerprint long"), "fingerprints")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "at"))
-    per_print = found.groupBy("fingerprint").agg(first.alias("first"))
-    staying = _classes(found, radius).join(per_print, "fingerprint").groupBy("class").agg(F.min("first").alias("first"))
+    schema = "doc_id long, at long, key binary, size long, prefix array<long>"
+    found = kept.select("doc_id", "at", F.col("row.text").alias("text")).mapInArrow(run, schema)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "at")).alias("first")
+    equal = found.groupBy("key").agg(first, F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    members = stored(equal.select(F.col("first.at").alias("node"), "first", "size", "prefix"), "members")
+    roots = similar_links(members.select("node", "size", "prefix"), texts, words, similarity)
+    grouped = members.select("node", "first").join(roots, "node", "left")
+    staying = grouped.groupBy(F.coalesce("root", "node")).agg(F.min("first").alias("first"))
     return kept.join(staying.select(F.col("first.at").alias("at")), "at", "left_semi").select("row.*")

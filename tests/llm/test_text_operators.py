@@ -142,6 +142,30 @@ def test_bit_planes_find_what_counting_finds():
         assert got == {(i, j) for i, j in zip(*np.nonzero(distance <= radius)) if i < j}
 
 
+def test_near_copies_equal_brute_force(spark):
+    rng = np.random.default_rng(11)
+    rows = [" ".join(f"w{w}" for w in rng.integers(0, 5000, n)) for n in (3, 4, 5, 6, 30, 80, 200, 400)]
+    rows += ["", " ", "w1 " * 50, "w1 " * 70, *rows[:6]]
+    for text in rows[4:8]:
+        for edits in rng.integers(1, 9, 20):
+            words = text.split()
+            for at in rng.integers(0, len(words), edits):
+                words[at] = f"x{rng.integers(0, 1 << 30)}"
+            rows.append(" ".join(words))
+    rows += [t + " w9 w8 w7" for t in rows[30:40]]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    sets = [{tuple(w[k : k + 5]) for k in range(max(len(w) - 4, bool(w)))} for w in map(str.split, rows)]
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                x, y = group[i], group[j]
+                group = [min(x, y) if g in (x, y) else g for g in group]
+    want = sorted(set(group))
+    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == want
+    assert 8 < len(want) < len(rows) - 40
+
+
 # --- op6, op10 ---------------------------------------------------------------
 
 
