@@ -3,14 +3,17 @@
 A text becomes a vector of hashed n-grams of its lower-case letters (runs of other characters are one gap),
 log term frequency times inverse document frequency, of length one. Each language has a few
 centroids from spherical k-means; the nearest by cosine gives the language. A text that is farther from its
-centroid than nearly all that was learned from is rejected.
+centroid than nearly all texts of that language and about that length is rejected. How near those are is measured on
+the sample's own texts (and, for short ones, on beginnings), each judged by centroids of the other half of the sample.
 
 Document frequencies count all learnable rows; the centroids are fitted on a bounded sample, about
 `SAMPLE` rows of each language, chosen by a hash of id and text; of equal rows one is learned from.
 
+Very short texts (a few words) are near to no centroid in any language, so hardly any of them can be rejected.
+
 Defined results: a null text, or one without a letter, is `und`, score 0, rejected. Without any learnable row
 everything is `und`. Rows are predicted one by one, so repeated ids and extra columns do not matter; of
-equally near centroids the language smaller by code point wins.
+equally near centroids the language smaller by code point wins. A language of one text rejects nothing near to it.
 """
 
 from __future__ import annotations
@@ -26,12 +29,17 @@ from pyspark.sql import types as T
 
 from playqos.llm.common import learnable, per_process, slices, texts_of
 
-SLOTS = 1 << 12
+SLOTS = 1 << 14
 NGRAMS = (1, 2, 3)
 #: Rows of each language that centroids are fitted on (about), centroids of each language, k-means rounds.
 SAMPLE, CENTROIDS, ROUNDS = 1500, 3, 12
-#: Texts whose similarity is below this part of what the least similar hundredth of the sample has are rejected.
-LEAST_PART = 0.35
+#: Texts whose similarity is below this part of this quantile of the sample's texts of such a length are rejected.
+LEAST_PART, LEAST_QUANTILE = 0.85, 0.005
+#: Classes of length: powers of two of the number of n-grams; all long texts are one.
+LONG = 9
+LENGTHS = LONG + 1
+#: Part of a sample that may be odd.
+FEW = 0.03
 SHARPNESS = 30.0
 UNKNOWN = "und"
 
@@ -64,15 +72,21 @@ def counts_of(text: str | None) -> np.ndarray | None:
 
 
 def vectors_of(texts: list[str | None], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors of length one, and whether each text has a letter."""
+    """Vectors of length one, and each text's number of n-grams (0: it has no letter)."""
     found = np.zeros((len(texts), SLOTS), np.float32)
-    has_letter = np.zeros(len(texts), bool)
+    sizes = np.zeros(len(texts), np.int64)
     for row, text in enumerate(texts):
         if (counts := counts_of(text)) is not None:
-            has_letter[row] = True
-            found[row] = np.log1p(counts) * idf
+            some = np.flatnonzero(counts)
+            sizes[row] = counts.sum()
+            found[row, some] = np.log1p(counts[some]) * idf[some]
     norms = np.linalg.norm(found, axis=1, keepdims=True)
-    return found / np.maximum(norms, 1e-12), has_letter
+    found /= np.maximum(norms, 1e-12)
+    return found, sizes
+
+
+def length_class(sizes: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(np.maximum(sizes, 1)).astype(int), LENGTHS - 1)
 
 
 def document_frequencies(docs: DataFrame) -> np.ndarray:
@@ -96,9 +110,9 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
 
 
 class Model:
-    """idf, and per language its centroids and the least similarity it accepts."""
+    """idf, and per language its centroids and the least similarity it accepts of each class of length."""
 
-    def __init__(self, idf: np.ndarray, languages: list[tuple[str, np.ndarray, float]]):
+    def __init__(self, idf: np.ndarray, languages: list[tuple[str, np.ndarray, np.ndarray]]):
         self.idf = idf.astype(np.float32)
         self.names = [name for name, _, _ in languages]
         self.least = np.array([least for _, _, least in languages])
@@ -107,23 +121,25 @@ class Model:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(language, score, rejected) of each text."""
-        x, known = vectors_of(texts, self.idf)
+        x, sizes = vectors_of(texts, self.idf)
+        known = sizes > 0
         if not self.names:
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         near = np.maximum.reduceat((x @ self.centroids.T).astype(float), self.first, axis=1)
         best = near.argmax(axis=1)
         top = near[np.arange(len(best)), best]
         score = np.where(known, 1 / np.exp(SHARPNESS * (near - top[:, None])).sum(axis=1), 0.0)
-        rejected = ~known | (top < self.least[best])
+        rejected = ~known | (top < self.least[best, length_class(sizes)])
         return [self.names[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], score, rejected
 
 
 def _centroids(x: np.ndarray) -> np.ndarray:
-    """Spherical k-means; each start is the vector farthest from those before."""
+    """Spherical k-means; each start is far from those before, but not among the `FEW` farthest, and a centroid of
+    fewer vectors than that is dropped: a handful of mixed texts must not make another language known."""
     mean = x.sum(axis=0)
     centres = [mean / max(np.linalg.norm(mean), 1e-12)]
     for _ in range(min(CENTROIDS, len(x)) - 1):
-        centres.append(x[(x @ np.array(centres).T).max(axis=1).argmin()])
+        centres.append(x[(x @ np.array(centres).T).max(axis=1).argsort()[int(FEW * len(x))]])
     centre = np.array(centres)
     for _ in range(ROUNDS):
         nearest = (x @ centre.T).argmax(axis=1)
@@ -131,7 +147,32 @@ def _centroids(x: np.ndarray) -> np.ndarray:
             if (mine := nearest == k).any():
                 mean = x[mine].sum(axis=0)
                 centre[k] = mean / max(np.linalg.norm(mean), 1e-12)
-    return centre
+    sizes = np.bincount((x @ centre.T).argmax(axis=1), minlength=len(centre))
+    return centre[sizes >= min(FEW * len(x), sizes.max())]
+
+
+def _least(texts: list[str], x: np.ndarray, sizes: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Least similarity accepted of each class of length, by texts that the centroids did not see. Short texts are few:
+    the texts' beginnings stand for them."""
+    least = np.zeros(LENGTHS)
+    if len(texts) < 2:
+        return least
+    near, lengths = [], []
+    for half in (0, 1):
+        centre = _centroids(x[1 - half :: 2])
+        near.append((x[half::2] @ centre.T).max(axis=1))
+        lengths.append(length_class(sizes[half::2]))
+        parts = [t[: 1 << k] for t in texts[half::2] for k in range(2, LONG - 1) if len(t) > 1 << k]
+        for at in range(0, len(parts), 256):
+            y, n = vectors_of(parts[at : at + 256], idf)
+            short = (n > 0) & (length_class(n) < LONG)
+            near.append((y[short] @ centre.T).max(axis=1))
+            lengths.append(length_class(n[short]))
+    near, lengths = np.concatenate(near), np.concatenate(lengths)
+    for k in range(LENGTHS):
+        if (found := near[lengths == k]).size:
+            least[k] = np.quantile(found, LEAST_QUANTILE) * LEAST_PART
+    return least
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
@@ -146,20 +187,21 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = rows.join(F.broadcast(per_language), "lang").where(lot < share).select("lang", "text").distinct()
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
-        x, known = vectors_of(group["text"].tolist(), idf)
-        x = x[known]
+        texts = sorted(group["text"])  # the order in which rows arrive must not matter
+        x, sizes = vectors_of(texts, idf)
+        texts, x = [t for t, n in zip(texts, sizes, strict=True) if n], x[sizes > 0]
         if not len(x):
             return pd.DataFrame({"lang": [], "least": [], "centroids": []})
-        order = np.lexsort(x[:, :4].T)  # the order in which rows arrive must not matter
-        centre = _centroids(x[order])
-        least = float(np.quantile((x @ centre.T).max(axis=1), 0.01)) * LEAST_PART
+        turn = np.random.default_rng(7).permutation(len(x))  # likely neighbours in text go to either half
+        texts, x = [texts[t] for t in turn], x[turn]
+        centre, least = _centroids(x), _least(texts, x, sizes[sizes > 0][turn], idf)
         return pd.DataFrame(
-            {"lang": [group["lang"].iloc[0]], "least": [least], "centroids": [centre.astype("<f4").tobytes()]}
+            {"lang": [group["lang"].iloc[0]], "least": [least.tolist()], "centroids": [centre.astype("<f4").tobytes()]}
         )
 
-    learned = chosen.groupBy("lang").applyInPandas(cluster, "lang string, least double, centroids binary").collect()
+    learned = chosen.groupBy("lang").applyInPandas(cluster, "lang string, least array<double>, centroids binary").collect()
     languages = [
-        (r["lang"], np.frombuffer(r["centroids"], "<f4").reshape(-1, SLOTS), r["least"])
+        (r["lang"], np.frombuffer(r["centroids"], "<f4").reshape(-1, SLOTS), np.array(r["least"]))
         for r in sorted(learned, key=lambda r: r["lang"].encode())
     ]
     return Model(idf, languages)

@@ -182,6 +182,23 @@ def test_language(spark, odd_docs, no_docs, sf_dir):
     assert language.identify(no_docs, model).count() == 0
 
 
+def test_unknown_languages_are_rejected(spark, sf_dir):
+    docs = table(spark, sf_dir.replace("sf0.001", "sf0.1"), "documents").where("doc_id % 3 = 0")
+    rng = np.random.default_rng(2)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    junk = [" ".join("".join(rng.choice(letters, rng.integers(2, 10))) for _ in range(200)) for _ in range(50)]
+    for left_out in ("en", "fr"):  # the most and one of the least frequent
+        model = language.fit(docs.where(F.col("lang") != left_out))
+        got = language.identify(docs, model).join(docs.select("doc_id", "lang", "n_chars"), "doc_id")
+        got = got.where("crc32(cast(doc_id as string)) % 4 = 2 or lang = '" + left_out + "'").toPandas()
+        unknown = got[(got.lang == left_out) & (got.n_chars > 600)]
+        assert len(unknown) > 100 and unknown.rejected.mean() > 0.95
+        known = got[got.lang != left_out]
+        print(left_out, len(unknown), unknown.rejected.sum(), len(known), known.rejected.sum())
+        assert known.rejected.mean() < 0.01
+        assert model.predict(junk)[2].all()
+
+
 def test_quality(spark, odd_docs, no_docs, sf_dir):
     folder = sf_dir.replace("sf0.001", "sf0.01")
     found, labels = quality.statistics(table(spark, folder, "documents")), table(spark, folder, "labels")
