@@ -1,8 +1,9 @@
 """URL filter: rules found by their rarest literal token.
 
-A rule is a pattern with literal tokens. Each URL is cut into tokens, the tokens fetch the rules filed
-under them, and only the fetched rules run their regular expression. A rule is filed under whichever
-of its own tokens is rarest in the URLs at hand, so few URLs fetch it. DataFrame functions only.
+A rule is a host and path, or a pattern, with literal tokens. Each URL is cut into tokens, the tokens fetch the rules filed
+under them, and only the fetched rules run their regular expression. A host rule needs all its tokens and is filed
+under whichever is rarest in the URLs at hand, so few URLs fetch it; a pattern needs one of its tokens, which is
+checked against its expression, and is filed under each. DataFrame functions only.
 
 Defined results: a null URL, or one without `://`, has an empty host and path; it meets no rule and no
 pattern and is allowed. Of several fitting rules the longest wins, then a blocking one, then the smaller
@@ -13,7 +14,9 @@ Columns other than the id and the URL are not carried.
 from __future__ import annotations
 
 import re
+import re._parser as sre
 from collections.abc import Iterable
+from itertools import product
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -39,9 +42,9 @@ HOST_RULES = [
     Rule("net/fr/", "block"),
 ]
 
-#: Patterns on host + path, for URLs that no host rule fits: (name, literal tokens, regular expression).
+#: Patterns on host + path, for URLs that no host rule fits: (name, literal tokens of which one must occur, regular expression).
 PATTERNS = [
-    ("betting", ["bets"], r"(^|[.-])bets?[.-]"),
+    ("betting", ["bet", "bets"], r"(^|[.-])bets?[.-]"),
     ("casino", ["casino"], r"(^|[.-])casino[.-]"),
     ("pills", ["pills"], r"(^|[.-])pills[.-]"),
     ("adult", ["adult"], r"(^|[.-])adult[.-]"),
@@ -83,12 +86,43 @@ def compiled(rules: Iterable[Rule]) -> list[tuple]:
     return made
 
 
+def _texts_of(parsed: Iterable) -> list[str]:
+    """All texts an expression of few of them can fit, with NUL for a bound; the surroundings are unknown."""
+    found = [""]
+    for kind, value in parsed:
+        if kind is sre.LITERAL:
+            some = [chr(value)]
+        elif kind is sre.AT and value in (sre.AT_BEGINNING, sre.AT_END):
+            some = ["\0"]
+        elif kind is sre.IN and all(k is sre.LITERAL for k, _ in value):
+            some = [chr(v) for _, v in value]
+        elif kind is sre.BRANCH:
+            some = [t for branch in value[1] for t in _texts_of(branch)]
+        elif kind is sre.SUBPATTERN and not value[1] and not value[2]:
+            some = _texts_of(value[3])
+        elif kind is sre.MAX_REPEAT and value[1] is not sre.MAXREPEAT and value[1] <= 4:
+            once = _texts_of(value[2])
+            some = ["".join(c) for n in range(value[0], value[1] + 1) for c in product(once, repeat=n)]
+        else:
+            raise ValueError(f"{kind} in a pattern with tokens: they cannot be checked; give none")
+        found = [a + b for a in found for b in some]
+        if len(found) > 10_000:
+            raise ValueError("a pattern of too many texts for its tokens to be checked; give none")
+    return found
+
+
 def patterns(rows: Iterable[tuple[str, list[str], str]], verdict: str = "block") -> list[tuple]:
+    rows = list(rows)
+    for name, tokens, pattern in rows:
+        for text in _texts_of(sre.parse(pattern)) if tokens else []:
+            if not set(re.findall(r"(?<=[^a-z0-9])[a-z0-9]+(?=[^a-z0-9])", text.lower())) & set(tokens):
+                raise ValueError(f"pattern {name} fits {text!r}, which has none of its tokens whole")
     return [(1, name, verdict, 0, tokens or [""], pattern) for name, tokens, pattern in rows]
 
 
 def rule_index(addresses: DataFrame, rules: list[tuple]) -> DataFrame:
-    """Each rule under the one of its tokens that the fewest addresses have (`addresses`: one row each, `tokens`)."""
+    """Patterns under each of their tokens, host rules under the one that the fewest addresses have (`addresses`: one
+    row each, `tokens`)."""
     if len(rules) > MAX_RULES:
         raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} can be sent to every task")
     schema = "kind int, rule string, verdict string, length int, tokens array<string>, pattern string"
@@ -98,7 +132,8 @@ def rule_index(addresses: DataFrame, rules: list[tuple]) -> DataFrame:
     seen = addresses.select(F.explode("tokens").alias("token")).join(wanted, "token").groupBy("token").count()
     counted = filed.join(seen, "token", "left").withColumn("n", F.coalesce("count", F.lit(0)))
     best = F.min_by(F.struct("verdict", "length", "pattern", "token"), F.struct("n", "token")).alias("best")
-    return counted.groupBy("kind", "rule").agg(best).select("kind", "rule", "best.*")
+    any_of = F.when(F.col("kind") == 1, F.col("token"))
+    return counted.groupBy("kind", "rule", any_of.alias("own")).agg(best).select("kind", "rule", "best.*")
 
 
 def judge(pages: DataFrame, rules: list[tuple], key: str = "page_id", url: str = "url") -> DataFrame:

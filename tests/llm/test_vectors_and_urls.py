@@ -81,3 +81,18 @@ def test_url_rules(spark):
 def test_rules_are_filed_under_whole_tokens_only():
     assert url_rules._literal_tokens(url_rules.Rule("example.com/en", "block")) == ["example", "com"]
     assert url_rules._literal_tokens(url_rules.Rule("com", "block")) == ["com"]
+
+
+def test_patterns_are_filed_under_every_alternative_token(spark):
+    rules = [*url_rules.compiled(url_rules.HOST_RULES), *url_rules.patterns(url_rules.PATTERNS)]
+    urls = ["http://bet.example.org/x", "http://my-bet.example.net/x", "http://a-bets.bet.org/", "http://bets.org/", "http://alphabet.org/"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = sorted((tuple(r) for r in url_rules.judge(df, rules).drop("pattern").collect()), key=str)
+    assert got == [(i, *judged(u)) for i, u in enumerate(urls)]
+    assert [r[4] for r in got] == ["block"] * 4 + ["allow"]
+
+
+@pytest.mark.parametrize("tokens, pattern", [(["bets"], r"(^|[.-])bets?[.-]"), (["bet"], r"bet[.-]"), (["a"], r"\.a.*\.")])
+def test_tokens_that_a_pattern_does_not_need_are_refused(tokens, pattern):
+    with pytest.raises(ValueError):
+        url_rules.patterns([("x", tokens, pattern)])
