@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playqos.llm import bpe, imatch, language, licences, mixing, neighbours, packing, quality, simhash, url_rules
+from playqos.llm import (
+    bpe,
+    imatch,
+    language,
+    licences,
+    line_dedup,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    simhash,
+    url_rules,
+)
 from playqos.llm.common import held_out, stored, table
 from playqos.session import configure
 
@@ -81,6 +93,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", passed.alias("predicted"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without lines that five documents share."""
+    docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text")
+    kept = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", kept)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py, one after the other."""
     import corpus_pipeline
@@ -101,6 +120,7 @@ QUERIES = {
         op8_packing,
         op9_licences,
         op10_quality,
+        op11_line_dedup,
         pipeline,
     )
 }
@@ -193,4 +213,17 @@ FROM d LEFT JOIN best ON d.n = best.n AND best.i = 1
 """
 
 
-ORACLES = {"op2_mixing": _OP2, "op3_url_rules": _OP3, "op9_licences": _licence_sql()}
+_OP11 = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS n, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, n, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
+k AS (SELECT *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+often AS (SELECT key, max(doc_id) AS holder FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+j AS (SELECT k.*, coalesce(k.doc_id <> holder, false) AS lost FROM k LEFT JOIN often ON k.key = often.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count_if(lost) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
+FROM j GROUP BY n
+"""
+
+
+ORACLES = {"op2_mixing": _OP2, "op3_url_rules": _OP3, "op9_licences": _licence_sql(), "op11_line_dedup": _OP11}
