@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playqos.llm import (
+    alignment,
     bpe,
+    divergence,
     imatch,
     language,
     licences,
@@ -100,6 +102,16 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", kept)
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ, from each other and in which terms."""
+    return divergence.audit(table(configure(spark), sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two vocabularies line up in every document."""
+    return alignment.align(table(configure(spark), sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py, one after the other."""
     import corpus_pipeline
@@ -121,6 +133,8 @@ QUERIES = {
         op9_licences,
         op10_quality,
         op11_line_dedup,
+        op12_divergence,
+        op13_alignment,
         pipeline,
     )
 }
@@ -225,5 +239,32 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count_if(lost) AS n_dro
 FROM j GROUP BY n
 """
 
+_P = "1 + CAST((CAST(1000000000 AS HUGEINT) * ({n} + 1)) // {whole} AS BIGINT)"
+
+_OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+  FROM documents),
+t AS (SELECT id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+c AS (SELECT lang, source, term, lang_n, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS v, CAST(sum(lang_n) AS BIGINT) + count(*) AS lang_whole FROM kept GROUP BY lang),
+g AS (SELECT x.lang, x.source, coalesce(v, 0) AS v, lang_whole, coalesce(s.n, 0) + coalesce(v, 0) AS whole
+  FROM (SELECT DISTINCT lang, source FROM d) x LEFT JOIN langs ON x.lang = langs.lang
+  LEFT JOIN (SELECT lang, source, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY ALL) s ON s.lang = x.lang AND s.source = x.source),
+every AS (SELECT g.lang, g.source, kept.term, kept.lang_n, lang_whole, coalesce(c.n, 0) AS n, {_P.format(n="coalesce(c.n, 0)", whole="whole")} AS p
+  FROM g JOIN kept ON g.lang = kept.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+  FROM every a JOIN every b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value
+  FROM (SELECT *, {_P.format(n="lang_n", whole="lang_whole")} AS q FROM every WHERE n > 0) WHERE p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 
-ORACLES = {"op2_mixing": _OP2, "op3_url_rules": _OP3, "op9_licences": _licence_sql(), "op11_line_dedup": _OP11}
+ORACLES = {"op2_mixing": _OP2, "op3_url_rules": _OP3, "op9_licences": _licence_sql(), "op11_line_dedup": _OP11, "op12_divergence": _OP12}

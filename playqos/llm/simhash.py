@@ -4,46 +4,45 @@ A fingerprint has a bit set where over half of the hashes of the text's shingles
 that differ in at most two bits agree on at least two of their four quarters, so each distinct
 fingerprint is filed under its six pairs of quarters. Fingerprints filed together are
 compared in blocks whose bits are stored by plane: plane p holds bit p of every member, one XOR gives
-that bit's difference for 64 members at once, and carry-save counters add the planes up. A block is
-abandoned as soon as all its counters are beyond the radius.
+that bit's difference for 64 members at once, and carry-save counters add the planes up. Rows meet columns in
+tiles; a tile is abandoned as soon as all its counters are beyond the radius. Tiles on the diagonal, where members meet
+themselves, are compared to the end.
 
 A file of more than `BLOCK` members is not compared as one. Its pairs differ only in the other two quarters,
 and two fingerprints within two bits share a point within one bit of both; each member is filed under those
 33 points, where at most 33 distinct fingerprints can meet. Both ways are exact; no pair is left out.
 
-`one_of_each` follows another rule, the similarity of sets of shingles, which fingerprints of 64 bits cannot decide:
-texts of similarity 0.8 differ in 2 to over 10 bits. Its candidates share a shingle among the first of each set
-in an order of rare ones first, which any two sets of that similarity do, and are then compared exactly.
+`one_of_each` keeps one row of each component: that of the smallest id.
 
 Defined results: a null or blank text has fingerprint zero, which links like any other. Rows that share an id
 or text are judged one by one. A null id never becomes a component's id; a component of null ids only has
 a null id. An empty table gives no rows. Other columns are not carried, except by `one_of_each`, which keeps
-the rows as they are.
+the rows as they are: of equal ids in one component the row with the smallest fingerprint stays, then the smallest by
+the text and the other columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playqos.llm.common import slices, stored, texts_of
 from playqos.llm.components import components
-from playqos.session import rows_of_keys
+from playqos.session import is_small
 
 WORDS, SEED, RADIUS = 3, 42, 2
-#: Near-copies of `one_of_each`: words of a shingle, least Jaccard similarity of two texts' sets of shingles.
-COPY_WORDS, COPY_SIMILARITY = 5, 0.8
-#: Texts (about) whose frequent shingles set the order of shingles, and how many of those are sent to every task.
-SAMPLE, MOST_COMMON = 8192, 200_000
 BITS, QUARTER = 64, 16
 PAIRS = [(a, b) for a in range(4) for b in range(a + 1, 4)]
 #: Members of a block; a block's counters take BLOCK * BLOCK / 8 bytes each.
 BLOCK = 4096
+#: Members on each side of a tile of a block.
+TILE = 1024
 
 
 def _hashes(text: str, words: int, seed: int) -> Iterator[np.ndarray]:
@@ -71,60 +70,68 @@ def fingerprint_of(text: str, words: int = WORDS, seed: int = SEED) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def shingles_of(text: str, words: int) -> np.ndarray:
-    """The text's distinct shingles as sorted signed longs."""
-    found = list(_hashes(text, words, SEED))
-    return np.unique(np.concatenate(found).view("<i8")) if found else np.array([], "<i8")
-
-
-def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """(doc_id, fingerprint as a signed long)."""
+def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, fingerprint as a signed long) and the columns to ``keep``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2048):
             found = np.array([fingerprint_of(t, words, seed) for t in texts_of(batch)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "fingerprint"])
+            columns = [batch.column("doc_id"), pa.array(found), *[batch.column(c) for c in keep]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint", *keep])
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fingerprint long"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    own = [docs.schema["doc_id"], T.StructField("fingerprint", T.LongType())]
+    return docs.select("doc_id", "text", *keep).mapInArrow(run, T.StructType([*own, *[docs.schema[c] for c in keep]]))
 
 
 def hexadecimal(fingerprint: Column) -> Column:
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
 
 
-def near_in_block(values: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (i, j), i < j, of the values within ``radius`` bits, compared by bit planes."""
+def near_in_block(
+    values: np.ndarray, radius: int = RADIUS, abandoned: list | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (i, j), i < j, of the values within ``radius`` bits, compared by bit planes.
+
+    ``abandoned`` receives (first row, first column, planes seen) of each tile that was left early.
+    """
     n = len(values)
     bits = np.unpackbits(values.astype("<u8").view(np.uint8).reshape(n, 8), axis=1, bitorder="little")
-    members = (n + 63) // 64
-    planes = np.zeros((BITS, members * 64), np.uint8)
+    planes = np.zeros((BITS, (n + 63) // 64 * 64), np.uint8)
     planes[:, :n] = bits.T
     planes = np.packbits(planes, axis=1, bitorder="little").view("<u8")
-    counters = (radius + 1).bit_length()
-    for start in range(0, n, 1024):
-        rows = slice(start, min(start + 1024, n))
-        from_word = start // 64  # earlier members had their turn as rows
-        sums = [np.zeros((rows.stop - start, members - from_word), np.uint64) for _ in range(counters)]
-        beyond = np.zeros_like(sums[0])
-        for p in range(BITS):
-            mine = np.where(bits[rows, p], ~np.uint64(0), np.uint64(0))[:, None]
-            carry = planes[p, from_word:] ^ mine
-            for s in sums:  # carry-save: each counter bit passes its carry on
-                s ^= carry
-                carry &= ~s
-            beyond |= carry
-            if p >= radius:
-                beyond |= _over(sums, radius)
-            if p % 8 == 7 and (beyond == ~np.uint64(0)).all():
-                break
-        else:
-            near = np.unpackbits((~beyond).view(np.uint8), axis=1, bitorder="little")
-            i, j = np.nonzero(near[:, : n - from_word * 64])
-            i, j = i + start, j + from_word * 64
+    for top in range(0, n, TILE):
+        rows = bits[top : top + TILE]
+        for left in range(top, n, TILE):  # earlier members had their turn as rows
+            columns = planes[:, left // 64 : (left + TILE) // 64]
+            near, seen = _near_in_tile(rows, columns, radius, may_abandon=left > top)
+            if near is None:
+                if abandoned is not None:
+                    abandoned.append((top, left, seen))
+                continue
+            near = np.unpackbits(near.view(np.uint8), axis=1, bitorder="little")[:, : n - left]
+            i, j = np.nonzero(near)
+            i, j = i + top, j + left
             yield i[i < j], j[i < j]
 
 
+def _near_in_tile(rows: np.ndarray, columns: np.ndarray, radius: int, may_abandon: bool) -> tuple[np.ndarray | None, int]:
+    """Bits of the column members near each row (None when all are beyond the radius), and the planes seen."""
+    sums = [np.zeros((len(rows), columns.shape[1]), np.uint64) for _ in range((radius + 1).bit_length())]
+    beyond = np.zeros_like(sums[0])
+    for p in range(BITS):
+        mine = np.where(rows[:, p], ~np.uint64(0), np.uint64(0))[:, None]
+        carry = columns[p] ^ mine
+        for s in sums:  # carry-save: each counter bit passes its carry on
+            s ^= carry
+            carry &= ~s
+        beyond |= carry
+        if p >= radius:
+            beyond |= _over(sums, radius)
+        if may_abandon and p % 8 == 7 and (beyond == ~np.uint64(0)).all():
+            return None, p + 1
+    return ~beyond, BITS
+
+
 def _over(sums: list[np.ndarray], radius: int) -> np.ndarray:
     """Where the counters hold more than ``radius`` (bitwise comparison with a constant)."""
     over, equal = np.zeros_like(sums[0]), np.full_like(sums[0], ~np.uint64(0))
@@ -152,7 +159,7 @@ def _forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarra
     return root
 
 
-def _block_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _block_edges(batches: Iterator[pd.DataFrame], radius: int) -> Iterator[pd.DataFrame]:
     """Edges inside the files of one partition, which is sorted by file. Files are packed into blocks."""
     rest = pd.DataFrame({"file": np.array([], np.int64), "fingerprint": np.array([], np.int64)})
 
@@ -166,7 +173,7 @@ def _block_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         while start < len(files):
             end = ends[max(np.searchsorted(ends, start + BLOCK, "right") - 1, np.searchsorted(ends, start, "right"))]
             values = np.unique(rows["fingerprint"].to_numpy()[start:end])
-            root = _forest(len(values), near_in_block(values.view(np.uint64)))
+            root = _forest(len(values), near_in_block(values.view(np.uint64), radius))
             moved = root != np.arange(len(values))
             found.append(pd.DataFrame({"a": values[moved], "b": values[root[moved]]}))
             start = end
@@ -215,9 +222,8 @@ def links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> Data
         together = plain.join(crowded, "file", "left_anti")
         hot = filed.join(crowded, "file", "left_semi")
     n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    edges = (
-        together.repartition(n, "file").sortWithinPartitions("file").mapInPandas(_block_edges, "a long, b long")
-    )
+    dealt = together.repartition(n, "file").sortWithinPartitions("file")
+    edges = dealt.mapInPandas(lambda batches: _block_edges(batches, radius), "a long, b long")
     if hot is not None:
         flips = F.array(
             *[
@@ -253,173 +259,43 @@ def _classes(found: DataFrame, radius: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fingerprint as 16 hex digits, component_id: the smallest doc_id reachable over links)."""
     found = stored(fingerprints(docs), "fingerprints")
+    return _named(found, radius).select("doc_id", hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+def _named(found: DataFrame, radius: int) -> DataFrame:
+    """`found` (doc_id, fingerprint) with `component_id` and `class`, the root fingerprint of its component."""
     per_print = found.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     classes = _classes(found, radius).join(per_print, "fingerprint")
     least = classes.groupBy("class").agg(F.min("least").alias("component_id"))
-    ids = stored(classes.join(least, "class").select("fingerprint", "component_id"), "component-ids")
-    return found.join(ids, "fingerprint").select("doc_id", hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
-
-
-def _common_shingles(texts: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted shingles, in how many texts) of the most frequent shingles in a sample. They only set the order of
-    shingles in `_prefix`, so what the sample misses costs time, not pairs."""
-    share = min(1.0, SAMPLE / max(texts.count(), 1))
-    lot = F.pmod(F.xxhash64("at"), F.lit(1 << 20))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 256):
-            found = [shingles_of(t, words) for t in texts_of(batch)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.array([], "<i8")]))], ["shingle"])
-
-    seen = texts.where(lot < int(share * (1 << 20)) + 1).select("text").mapInArrow(run, "shingle long")
-    often = seen.groupBy("shingle").count().where("count > 1").orderBy(F.desc("count"), "shingle").limit(MOST_COMMON)
-    rows = often.toPandas().sort_values("shingle")
-    return rows["shingle"].to_numpy(np.int64), rows["count"].to_numpy(np.int64)
+    ids = stored(classes.join(least, "class").select("fingerprint", "class", "component_id"), "component-ids")
+    return found.join(ids, "fingerprint")
 
 
-def _prefix(shingles: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first shingles in an order shared by all texts, rare ones first: two sets as similar as that share one."""
-    known, times = common
-    seen = np.zeros(len(shingles), np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
-        seen = np.where(known[at] == shingles, times[at], 0)
-    n = len(shingles) - int(np.ceil(similarity * len(shingles) - 1e-9)) + 1
-    return shingles[np.lexsort((shingles, seen))[:n]]
+def one_of_each(docs: DataFrame, words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the row with the smallest id (nulls last) stays.
 
-
-def _met(file: np.ndarray, size: np.ndarray, root: np.ndarray, similarity: float, hubs: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs to be compared, of rows sorted by file and size: in a file, sizes near enough, of different roots.
-
-    ``hubs``: only the pairs of each member with the smallest of its file that is near enough in size to all up to it.
+    Rows whose id is theirs alone stay or go by an anti join with the ids that go, so their texts move only when
+    those ids are many. Of ids that are repeated or missing the fingerprint is needed again to tell rows apart.
     """
-    left, step = np.arange(len(file)), 1
-    while len(left) > 1:
-        if hubs:
-            begins = np.concatenate(([True], file[left[1:]] != file[left[:-1]]))
-            i, j = left[np.flatnonzero(begins)[np.cumsum(begins) - 1]], left
-            near = size[i] >= similarity * size[j] - 1e-9
-            left = left[~near]
-            near &= i != j
-        else:
-            i = left[left + step < len(file)]
-            j = i + step
-            near = (file[i] == file[j]) & (size[i] >= similarity * size[j] - 1e-9)
-            i, j = i[near], j[near]  # sizes ascend: a member that meets no more here meets none further on
-            left, step, near = i, step + 1, np.full(len(i), True)
-        near &= root[i] != root[j]
-        yield i[near], j[near]
-
-
-def _to_compare(members: DataFrame, similarity: float, hubs: bool) -> DataFrame:
-    """(a, b) of `members` (node, size, root, prefix) that share a shingle of their prefixes."""
-
-    def pairs(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        files = rows["file"].to_numpy()
-        same = files[1:] == files[:-1]
-        rows = rows[np.concatenate((same, [False])) | np.concatenate(([False], same))]
-        node, found, held = rows["node"].to_numpy(), [], 0
-        file, size, root = (rows[c].to_numpy() for c in ("file", "size", "root"))
-        for i, j in _met(file, size, root, similarity, hubs):
-            found.append(pd.DataFrame({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])}))
-            held += len(i)
-            if held > 200_000:
-                yield pd.concat(found).drop_duplicates()
-                found, held = [], 0
-        if held:
-            yield pd.concat(found).drop_duplicates()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
-        for batch in batches:
-            rest = batch if rest is None else pd.concat((rest, batch), ignore_index=True)
-            whole = rest["file"].to_numpy() != rest["file"].iloc[-1] if len(rest) else []
-            if np.sum(whole) >= BLOCK:
-                yield from pairs(rest[whole])
-                rest = rest[~whole]
-        if rest is not None and len(rest):
-            yield from pairs(rest)
-
-    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    filed = members.select(F.explode("prefix").alias("file"), "node", "size", "root").repartition(n, "file")
-    return filed.sortWithinPartitions("file", "size", "node").mapInPandas(run, "a long, b long").distinct()
-
-
-def _similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The rows of `pairs` (a, b: numbers of rows of `texts`) whose sets of shingles have that Jaccard similarity."""
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 256):
-            found = [shingles_of(t, words).tobytes() for t in texts_of(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("at"), pa.array(found, pa.binary())], ["at", "shingles"])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, "<i8"), np.frombuffer(y, "<i8")
-                common = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
-                near.append(common >= similarity * (len(x) + len(y) - common) - 1e-9)
-            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
-
-    nodes = stored(pairs.select(F.explode(F.array("a", "b")).alias("at")).distinct(), "nodes")
-    known = stored(rows_of_keys(texts, nodes, ["at"]).mapInArrow(sets, "at long, shingles binary"), "shingles")
-    both = pairs.join(known.select(F.col("at").alias("a"), F.col("shingles").alias("x")), "a")
-    both = both.join(known.select(F.col("at").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
-
-
-def similar_links(members: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(node, root) of the components over all pairs of `members` (node, size, prefix) that are similar enough.
-
-    First each member of a file is compared with the file's smallest, which joins most of a large group; then
-    all pairs that are still apart are.
-    """
-    alone = members.withColumn("root", F.col("node"))
-    first = stored(_to_compare(alone, similarity, hubs=True), "hub-pairs")
-    edges = stored(_similar(first, texts, words, similarity), "similar")
-    roots = stored(components(edges), "roots")
-    joined = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    others = stored(_to_compare(joined, similarity, hubs=False).join(first, ["a", "b"], "left_anti"), "other-pairs")
-    if others.isEmpty():
-        return roots
-    return components(edges.unionByName(_similar(others, texts, words, similarity)))
-
-
-def one_of_each(docs: DataFrame, words: int = COPY_WORDS, similarity: float = COPY_SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` without near-copies: of each group the row with the smallest id (nulls last) stays.
-
-    Near-copies have sets of shingles of that Jaccard similarity or more; groups are components over them. A text
-    shorter than a shingle is one shingle; texts without a word are copies of each other.
-    """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    numbered = docs.select(F.struct(*columns).alias("row"), "doc_id", F.monotonically_increasing_id().alias("at"))
-    kept = stored(numbered, "numbered")  # numbers must not change when a task runs again
-    texts = kept.select("at", F.col("row.text").alias("text"))
-    common = _common_shingles(texts, words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_digest
-
-        for batch in slices(batches, 512):
-            found = [shingles_of(t, words) for t in texts_of(batch)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("at"),
-                    pa.array([xxh3_128_digest(f.tobytes()) for f in found], pa.binary()),
-                    pa.array([len(f) for f in found], pa.int64()),
-                    pa.array([_prefix(f, similarity, common) if len(f) else f for f in found], pa.list_(pa.int64())),
-                ],
-                ["doc_id", "at", "key", "size", "prefix"],
-            )
-
-    schema = "doc_id long, at long, key binary, size long, prefix array<long>"
-    found = kept.select("doc_id", "at", F.col("row.text").alias("text")).mapInArrow(run, schema)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "at")).alias("first")
-    equal = found.groupBy("key").agg(first, F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    members = stored(equal.select(F.col("first.at").alias("node"), "first", "size", "prefix"), "members")
-    roots = similar_links(members.select("node", "size", "prefix"), texts, words, similarity)
-    grouped = members.select("node", "first").join(roots, "node", "left")
-    staying = grouped.groupBy(F.coalesce("root", "node")).agg(F.min("first").alias("first"))
-    return kept.join(staying.select(F.col("first.at").alias("at")), "at", "left_semi").select("row.*")
+    found = stored(fingerprints(docs, words), "fingerprints")
+    named = stored(_named(found, radius), "named")
+    repeated = named.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    repeated = stored(repeated, "repeated-ids")
+    gone = named.where("doc_id <> component_id").select("doc_id")
+    apart = stored(gone.unionByName(repeated).distinct(), "ids-apart")
+    apart = F.broadcast(apart) if is_small(apart) else apart
+    single = docs.where(F.col("doc_id").isNotNull()).join(apart, "doc_id", "left_anti")
+
+    shown = lambda c, of="": F.col(f"{of}`{c}`")
+    odd_ids = F.broadcast(repeated) if is_small(repeated) else repeated
+    odd = docs.where(F.col("doc_id").isNotNull()).join(odd_ids, "doc_id", "left_semi")
+    odd = odd.unionByName(docs.where(F.col("doc_id").isNull()))
+    row = F.struct("text", *[shown(c) for c in docs.columns if c != "text"]).alias("row")
+    printed = fingerprints(odd.select("doc_id", "text", row), words, keep=["row"])
+    chosen = named.where("doc_id <=> component_id").groupBy("class", "doc_id").agg(F.min("fingerprint").alias("fingerprint"))
+    id_, no_id = F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id")
+    kept = printed.select(id_, no_id, "fingerprint", "row").join(
+        chosen.select(id_, no_id, "fingerprint"), ["id", "no_id", "fingerprint"], "left_semi"
+    )
+    kept = kept.groupBy("id", "no_id", "fingerprint").agg(F.min("row").alias("row"))
+    return single.select(*[shown(c) for c in docs.columns]).unionByName(kept.select(*[shown(c, "row.") for c in docs.columns]))

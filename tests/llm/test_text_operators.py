@@ -142,28 +142,47 @@ def test_bit_planes_find_what_counting_finds():
         assert got == {(i, j) for i, j in zip(*np.nonzero(distance <= radius)) if i < j}
 
 
-def test_near_copies_equal_brute_force(spark):
+def test_one_of_each_equals_brute_force(spark, monkeypatch):
+    """Edited copies, repeated ids and missing ids: one row of each component stays, that of the smallest id."""
     rng = np.random.default_rng(11)
-    rows = [" ".join(f"w{w}" for w in rng.integers(0, 5000, n)) for n in (3, 4, 5, 6, 30, 80, 200, 400)]
-    rows += ["", " ", "w1 " * 50, "w1 " * 70, *rows[:6]]
-    for text in rows[4:8]:
-        for edits in rng.integers(1, 9, 20):
+    rows = [" ".join(f"w{w}" for w in rng.integers(0, 5000, n)) for n in (3, 4, 5, 6, 80, 400, 900)]
+    rows += ["", " ", None, *rows[:6]]
+    for text in rows[4:7]:
+        for edits in rng.integers(1, 4, 12):
             words = text.split()
             for at in rng.integers(0, len(words), edits):
                 words[at] = f"x{rng.integers(0, 1 << 30)}"
             rows.append(" ".join(words))
-    rows += [t + " w9 w8 w7" for t in rows[30:40]]
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
-    sets = [{tuple(w[k : k + 5]) for k in range(max(len(w) - 4, bool(w)))} for w in map(str.split, rows)]
+    ids = [int(i) for i in rng.permutation(len(rows))]
+    ids[3] = ids[4] = ids[20] = ids[25]
+    ids[1] = ids[12] = ids[30] = ids[33] = None
+    prints = [plain_fingerprint(t) for t in rows]
     group = list(range(len(rows)))
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if 5 * len(a & b) >= 4 * len(a | b):
+    for i, a in enumerate(prints):
+        for j, b in enumerate(prints[:i]):
+            if (a ^ b).bit_count() <= 2:
                 x, y = group[i], group[j]
                 group = [min(x, y) if g in (x, y) else g for g in group]
-    want = sorted(set(group))
-    assert sorted(r.doc_id for r in simhash.one_of_each(docs).collect()) == want
-    assert 8 < len(want) < len(rows) - 40
+    order = lambda i: (ids[i] is None, ids[i] or 0, simhash._signed(prints[i]), rows[i] is not None, rows[i] or "", i % 3)
+    want = [min((i for i in range(len(rows)) if group[i] == g), key=order) for g in sorted(set(group))]
+    docs = [(ids[i], t, i % 3) for i, t in enumerate(rows)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, row int")
+    for small in (True, False):
+        monkeypatch.setattr(simhash, "is_small", lambda ids, small=small: small)
+        got = [tuple(r) for r in simhash.one_of_each(frame).collect()]
+        assert sorted(got, key=str) == sorted([docs[i] for i in want], key=str)
+    assert 8 < len(want) < len(rows) - 20
+
+
+def test_blocks_are_abandoned():
+    """Tiles off the diagonal without a near pair are left before the last plane; those with one are not."""
+    rng = np.random.default_rng(6)
+    values = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)
+    values[3000] = values[5] ^ np.uint64(1)
+    left: list = []
+    pairs = [p for i, j in simhash.near_in_block(values, 2, left) for p in zip(i.tolist(), j.tolist())]
+    assert pairs == [(5, 3000)]
+    assert len(left) == 5 and all(seen < 64 for _, _, seen in left) and (0, 2048) not in {x[:2] for x in left}
 
 
 # --- op6, op10 ---------------------------------------------------------------
@@ -313,3 +332,15 @@ def test_pipeline_against_its_parts(spark, sf_dir):
     assert mixed.columns == docs.columns and {r.doc_id for r in mixed.select("doc_id").collect()} <= kept
     last = corpus_pipeline.token_ids(spark, mixed, sf_dir)
     assert last.where("octet_length(ids) <> 4 * n_tokens").count() == 0 and last.count() == mixed.count()
+
+
+def test_pipeline_on_odd_and_empty_tables(odd_docs, no_docs, spark, sf_dir):
+    """Columns that clash with names the stages use stay what they are."""
+    for docs, some in ((odd_docs.withColumn("due", F.lit(1)), True), (no_docs, False)):
+        for _, stage in corpus_pipeline.STAGES[:4]:
+            after = stage(spark, docs, sf_dir)
+            assert after.columns == docs.columns
+        rows = {tuple(r) for r in docs.collect()}
+        kept = corpus_pipeline.mixed_sources(spark, corpus_pipeline.no_near_copies(spark, docs, sf_dir), sf_dir).collect()
+        assert bool(kept) == some and {tuple(r) for r in kept} <= rows
+        assert corpus_pipeline.token_ids(spark, docs, sf_dir).count() == len(docs.collect())
