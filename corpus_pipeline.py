@@ -1,7 +1,11 @@
 """A corpus pipeline of five stages over `documents`.
 
 Each stage takes (spark, docs, folder of the tables) and returns a frame, which is written as Parquet and read
-again as the next stage's documents. All but the last return the columns of documents.
+again as the next stage's documents. All but the last return the columns of documents, whatever their names.
+
+Nulls and odd rows: a null text counts as empty. The classifier scores it like any other text; `language` rejects it,
+as it has no letters (so do texts without a word; `mixing` would drop them too, as it takes words). Rows that repeat an
+id are judged one by one. An empty table gives an empty result at every stage.
 """
 
 from __future__ import annotations
@@ -29,18 +33,27 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of texts whose five-word shingles are similar by 0.8 or more."""
+    """One document, that of the smallest id, of each group whose fingerprints of three-word shingles link at two bits or fewer."""
     configure(spark)
     return simhash.one_of_each(docs)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents, as often as their source's target asks for, in training order."""
+    """Whole documents, as often as their source's target asks for, in training order. A document that is due twice is
+    there twice; one that is not due, or has no words, is not there."""
     configure(spark)
-    mixed = mixing.mix(docs, whole_documents=True, into="_mix")
-    both = F.filter(F.array("_mix.position", "_mix.position_2"), lambda p: p.isNotNull())
-    due = mixed.withColumn("_due", F.explode(both))
-    return due.orderBy("_due", "doc_id").select(*[F.col(f"`{c}`") for c in docs.columns])
+    row, due = (_free(name, docs.columns) for name in ("mix", "due"))
+    mixed = mixing.mix(docs, whole_documents=True, into=row)
+    both = F.filter(F.array(f"{row}.position", f"{row}.position_2"), lambda p: p.isNotNull())
+    mixed = mixed.withColumn(due, F.explode(both))
+    return mixed.orderBy(due, "doc_id").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """The name, with underscores until no column has it."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
