@@ -19,14 +19,16 @@ def event_date_of(path: Column) -> Column:
 def with_lineage(df: DataFrame, ingested_date: str | None = None) -> DataFrame:
     """Add the four bronze lineage columns to a file-backed frame, batch or stream.
 
+    A frame that is no plain scan any more has its file in a column `_file`, which is dropped.
     ``ingested_date`` is one literal per run; tests and replays inject it.
     """
+    file = F.col("_file" if "_file" in df.columns else "_metadata.file_path")
     day = ingested_date or datetime.now(timezone.utc).date().isoformat()
     return df.withColumns(
         {
-            "eventDate": event_date_of(F.col("_metadata.file_path")),
+            "eventDate": event_date_of(file),
             "_ingested_at": F.current_timestamp(),
-            "_source_file": F.col("_metadata.file_path"),
+            "_source_file": file,
             "_ingested_date": F.lit(day),
         }
-    )
+    ).drop("_file")

@@ -10,13 +10,8 @@ from playqos.operators import reports as R
 from playqos.schemas import BUFFERING_KEYS, BUFFERING_METRICS, QUALITY_KEYS, QUALITY_METRICS, VIEWER_DAY
 
 
-def buffering_metrics(reports: DataFrame) -> DataFrame:
-    """Buffering per viewer, content, customer and day.
-
-    The group is a calendar day, not a gap-based session: idle time counts and
-    midnight splits.
-    """
-    totals = reports.groupBy(*BUFFERING_KEYS).agg(
+def buffering_totals(reports: DataFrame) -> DataFrame:
+    return reports.groupBy(*BUFFERING_KEYS).agg(
         F.sum("bufferings").alias("totalBufferings"),
         F.sum("bufferingTime").alias("totalBufferingTimeMs"),
         F.count("*").alias("snapshotCount"),
@@ -24,6 +19,19 @@ def buffering_metrics(reports: DataFrame) -> DataFrame:
         F.max("serverTs").alias("sessionEndTs"),
         F.max("ingestedAt").alias("lastIngestedAt"),
     )
+
+
+def buffering_metrics(reports: DataFrame) -> DataFrame:
+    """Buffering per viewer, content, customer and day.
+
+    The group is a calendar day, not a gap-based session: idle time counts and
+    midnight splits.
+    """
+    return buffering_of(buffering_totals(reports))
+
+
+def buffering_of(totals: DataFrame) -> DataFrame:
+    """The whole row of each viewer-day from its totals."""
     count, spent = F.col("totalBufferings"), F.col("totalBufferingTimeMs")
     timed = totals.withColumns(
         {
@@ -56,10 +64,19 @@ def quality_metrics(reports: DataFrame, normalise_labels: bool = False) -> DataF
     it played, however many reports it sent, and the buffer of an unordered
     window spills. Ties are all dominant.
     """
+    return quality_of(quality_totals(reports, normalise_labels))
+
+
+def quality_totals(reports: DataFrame, normalise_labels: bool = False) -> DataFrame:
     rows = R.traffic_rows(reports)
     if normalise_labels:
         rows = rows.withColumn("qualityLabel", qos.ladder_label(F.col("qualityLabel")))
-    totals = traffic_totals(rows).withColumns(
+    return traffic_totals(rows)
+
+
+def quality_of(totals: DataFrame) -> DataFrame:
+    """The whole row of each viewer-day and label from its totals."""
+    totals = totals.withColumns(
         {
             "totalReceivedBytes": F.col("totalSrcReceivedBytes") + F.col("totalP2PReceivedBytes"),
             "totalRequestedBytes": F.col("totalSrcRequestedBytes") + F.col("totalP2PRequestedBytes"),
@@ -82,6 +99,17 @@ def quality_metrics(reports: DataFrame, normalise_labels: bool = False) -> DataF
     )
 
 
+# How two totals of one key become one.
+_COMBINED = {"sessionStartTs": F.min, "sessionEndTs": F.max, "lastIngestedAt": F.max}
+
+
+def added(stored: DataFrame, totals: DataFrame, keys: list[str]) -> DataFrame:
+    """Totals by key of stored rows and of further reports that are not in them."""
+    both = stored.select(*totals.columns).unionByName(totals)
+    rest = [c for c in totals.columns if c not in keys]
+    return both.groupBy(*keys).agg(*[_COMBINED.get(c, F.sum)(c).alias(c) for c in rest])
+
+
 def buffering_from_bronze(bronze: DataFrame) -> DataFrame:
     """Whole step bronze -> buffering metrics; never reads the traffic map."""
     return buffering_metrics(R.distinct_reports(R.compact(bronze, with_traffic=False)))

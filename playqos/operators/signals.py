@@ -7,7 +7,9 @@ three viewer ids.
 Both pairings below need "the signal before" within a session. A session may be
 arbitrarily long, so no window spans one: windows cover one time slice of a
 session, and a second, small window over one summary row per slice carries the
-state from slice to slice.
+state from slice to slice. A summary says what a slice does to any state it may meet (leaves it, opens or
+closes a stall, since when, which level), and summaries compose in order. So a slice may be cut anywhere between two signals,
+and one of more than `HOT_ROWS` signals is cut into pieces, even inside one millisecond.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playqos.schemas import PLAYER_EVENT, VIEWER
+from playqos.session import is_small, scratch_dir
 
 # The signals that open and close a stall, and the one that changes level.
 STALL_OPENERS = ["waiting"]
@@ -28,16 +31,52 @@ FLUSH_INTERVAL_MS = 10_000
 
 # Not fixed: how much of one session a task may have to sort at once.
 SLICE_MS = 10_000
+HOT_ROWS = 8_192
+#: Pieces of a hot slice by time, and of a hot millisecond by `seq`.
+PIECES = 256
 
 _SESSION = [*VIEWER, "sessionStartedAt"]
 _ORDER = ["ts", "seq"]
-_SLICE = ["sessionId", "slice"]
+_SLICE = ["sessionId", "slice", "piece"]
 _DETAILS = ["bitrate", "width", "height"]
 _LEVELS = ["fromQuality", "toQuality", *_DETAILS]
 
 
 def _sliced(signals: DataFrame, slice_ms: int) -> DataFrame:
-    return signals.withColumn("slice", F.floor(F.col("ts") / slice_ms))
+    """Signals with their `slice` and, in a hot slice, the `piece` of it; both ascend with (ts, seq).
+
+    One count of the slices' signals, combined before the shuffle, tells the hot ones. Where to cut them is
+    estimated, so the cuts are written down before they are used: all that reads them sees the same pieces.
+    """
+    rows = signals.withColumn("slice", F.floor(F.col("ts") / slice_ms))
+    known = rows.where(F.col("sessionId").isNotNull() & F.col("slice").isNotNull())
+    hot = known.groupBy("sessionId", "slice").count().where(F.col("count") > HOT_ROWS)
+    if hot.isEmpty():
+        return rows.withColumn("piece", F.lit(0).cast("bigint"))
+    hot = _written(hot.select("sessionId", "slice"), "hot-slices")
+    inside = known.join(hot, ["sessionId", "slice"], "left_semi")
+    shares = F.array(*[F.lit(k / PIECES) for k in range(1, PIECES)])
+    cuts = lambda column: F.percentile_approx(column, shares, 10_000)
+    times = inside.groupBy("sessionId", "slice", "ts").agg(F.count("*").alias("n"), cuts("seq").alias("seqCuts"))
+    moments = _written(times.where(F.col("n") > HOT_ROWS).select("sessionId", "slice", "ts", "seqCuts"), "hot-moments")
+    alone = moments.groupBy("sessionId", "slice").agg(F.collect_set("ts").alias("alone"))
+    by_time = inside.groupBy("sessionId", "slice").agg(cuts("ts").alias("tsCuts")).join(alone, ["sessionId", "slice"], "left")
+    # A hot millisecond is a piece of its own, so that cutting it by `seq` cuts nothing else.
+    edges = F.flatten(F.array("alone", F.transform("alone", lambda t: t + 1)))
+    by_time = by_time.select("sessionId", "slice", F.concat("tsCuts", F.coalesce(edges, F.array().cast("array<bigint>"))).alias("tsCuts"))
+    by_time = _written(by_time, "hot-times")
+    passed = lambda cuts, value: F.coalesce(F.size(F.filter(cuts, lambda c: c <= F.col(value))), F.lit(0)).cast("bigint")
+    cut = rows.join(by_time, ["sessionId", "slice"], "left").join(moments.drop("slice"), ["sessionId", "ts"], "left")
+    piece = F.when(F.col("tsCuts").isNull(), 0).otherwise(passed("tsCuts", "ts") * (1 << 20) + passed("seqCuts", "seq"))
+    return cut.withColumn("piece", piece.cast("bigint")).drop("tsCuts", "seqCuts")
+
+
+def _written(rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows, stored and read back; sent to every task if they are few."""
+    path = scratch_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    rows = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return F.broadcast(rows) if is_small(rows) else rows
 
 
 def _in_slice() -> Window:
@@ -45,7 +84,7 @@ def _in_slice() -> Window:
 
 
 def _over_slices() -> Window:
-    return Window.partitionBy("sessionId").orderBy("slice")
+    return Window.partitionBy("sessionId").orderBy("slice", "piece")
 
 
 def _followed(signals: DataFrame, slice_ms: int, details: list[str]) -> DataFrame:
@@ -145,7 +184,7 @@ def with_session_start(signals: DataFrame, slice_ms: int = SLICE_MS) -> DataFram
     starts = firsts.select(
         *_SLICE, F.min("first").over(Window.partitionBy("sessionId")).alias("sessionStartedAt")
     )
-    return sliced.join(starts, _SLICE, "left").drop("slice")
+    return sliced.join(starts, _SLICE, "left").drop("slice", "piece")
 
 
 def _is_healthy() -> Column:

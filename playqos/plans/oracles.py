@@ -235,6 +235,11 @@ ORACLES: dict[str, str] = {
     "stream_ingest_parquet": BRONZE_ROWS,
     "stream_ingest_json": BRONZE_ROWS,
     "stream_ingest_both": BRONZE_ROWS,
+    "late_old_files": BRONZE_ROWS,
+    "json_pretty_and_lines": BRONZE_ROWS,
+    "schema_conflict_set_aside": f"""WITH {FLAT}, {DOUBLED} SELECT 'row' AS kind, eventDate, count(*) AS count
+      FROM doubled WHERE event_id % 3 <> 0 GROUP BY eventDate UNION ALL SELECT DISTINCT 'file aside', eventDate, CAST(1 AS BIGINT)
+      FROM doubled WHERE event_id % 3 = 0""",
     "ingest_idempotency": f"""WITH {FLAT}, {DOUBLED} SELECT count(*) AS rowsBefore, count(*) AS rowsAfter,
       CAST(0 AS BIGINT) AS rowsAdded FROM doubled""",
     "bronze_lineage_nulls": f"""WITH {FLAT}, {DOUBLED} SELECT CAST(0 AS BIGINT) AS null__ingested_at,
@@ -302,6 +307,9 @@ for _chart, _on, _healthy in [
 ]:
     _rest = ORACLES[_chart].removeprefix(_on)
     ORACLES[f"daily_run_{_chart}"] = f"WITH {FLAT}, {HEALTHY}, {_healthy('healthy', 'm')}{_rest}"
+ORACLES["player_events_two_runs"] = f"""WITH {SIGNALS}, {STALLS}, {SWITCHES}, {EVENTS}
+  SELECT * REPLACE (CASE WHEN seq % 2 = 0 THEN sessionStartedAt END AS sessionStartedAt,
+    CASE WHEN seq % 2 = 0 THEN sessionDurationMs END AS sessionDurationMs) FROM player_events"""
 ORACLES["stalls_two_runs"] = ORACLES["stalls"]
 ORACLES["full_refresh"] = ORACLES["stream_recompute_buffering"]
 ORACLES["landed_to_metrics"] = f"""WITH {SIGNALS}, {STALLS}, {SWITCHES}, {EVENTS}

@@ -7,6 +7,7 @@ their streams to the end in a new scratch folder and return the stored tables.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from functools import reduce
 
@@ -17,7 +18,7 @@ from playqos.functions.lineage import event_date_of
 from playqos.operators import checks, landing, metrics, upsert
 from playqos.operators import reports as R
 from playqos.operators import signals as G
-from playqos.paths import LakePaths
+from playqos.paths import LakePaths, set_modified
 from playqos.plans import dashboard
 from playqos.plans.daily import run_daily
 from playqos.schemas import (
@@ -31,8 +32,9 @@ from playqos.schemas import (
     VIEWER,
 )
 from playqos.session import configure, scratch_dir
-from playqos.sources import derived, evolution
+from playqos.sources import arrivals, derived, evolution
 from playqos.sources import reports as sources
+from playqos.streaming import bronze
 from playqos.streaming.events import signals_to_events
 from playqos.streaming.ingest import finish, ingest_json, ingest_parquet
 from playqos.streaming.silver import bronze_to_silver
@@ -290,8 +292,8 @@ def _ingest(spark: SparkSession, paths: LakePaths, *kinds: str) -> None:
         finish(ingest_json(spark, paths, INGEST_DAY))
 
 
-def _bronze_shown(bronze: DataFrame) -> DataFrame:
-    return bronze.select(
+def _bronze_shown(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "customerId",
         "contentId",
         "clientId",
@@ -361,7 +363,7 @@ def stream_ingest_parquet(spark, sf_dir):
     paths = _lake(spark, "ingest-parquet")
     _write_raw(_telemetry(spark, sf_dir), paths, "parquet")
     _ingest(spark, paths, "parquet")
-    return _bronze_shown(sources.bronze(spark, paths))
+    return _bronze_shown(bronze.table(spark, paths))
 
 
 @registered
@@ -369,7 +371,7 @@ def stream_ingest_json(spark, sf_dir):
     paths = _lake(spark, "ingest-json")
     _write_raw(_telemetry(spark, sf_dir), paths, "json")
     _ingest(spark, paths, "json")
-    return _bronze_shown(sources.bronze(spark, paths))
+    return _bronze_shown(bronze.table(spark, paths))
 
 
 def _both_formats(spark: SparkSession, sf_dir: str, purpose: str) -> LakePaths:
@@ -385,7 +387,7 @@ def stream_ingest_both(spark, sf_dir):
     """Two formats in one raw folder end up in one bronze table."""
     paths = _both_formats(spark, sf_dir, "ingest-both")
     _ingest(spark, paths, "parquet", "json")
-    return _bronze_shown(sources.bronze(spark, paths))
+    return _bronze_shown(bronze.table(spark, paths))
 
 
 @registered
@@ -393,9 +395,9 @@ def ingest_idempotency(spark, sf_dir):
     """A rerun without new files adds nothing."""
     paths = _both_formats(spark, sf_dir, "rerun")
     _ingest(spark, paths, "parquet", "json")
-    before = sources.bronze(spark, paths)
+    before = bronze.table(spark, paths)
     _ingest(spark, paths, "parquet", "json")
-    return checks.rows_added(before, sources.bronze(spark, paths))
+    return checks.rows_added(before, bronze.table(spark, paths))
 
 
 @registered
@@ -404,7 +406,52 @@ def bronze_lineage_nulls(spark, sf_dir):
     paths = _both_formats(spark, sf_dir, "lineage")
     _ingest(spark, paths, "parquet", "json")
     columns = [*checks.LINEAGE_COLUMNS, "customerId", "player"]
-    return checks.null_census(sources.bronze(spark, paths), columns)
+    return checks.null_census(bronze.table(spark, paths), columns)
+
+
+@registered
+def late_old_files(spark, sf_dir):
+    """Half of the files come after the first run, with times of a month before it."""
+    paths = _lake(spark, "late-files")
+    first, rest = _halves(_telemetry(spark, sf_dir))
+    _write_raw(first, paths, "parquet")
+    _ingest(spark, paths, "parquet")
+    known = {row.path for row in arrivals.ledger(spark, paths, "parquet").select("path").collect()}
+    _write_raw(rest, paths, "parquet")
+    month_ago = int(time.time() - 30 * 86_400) * 1000
+    for (path,) in sources.raw_files(spark, paths.raw).where("path LIKE '%.parquet'").select("path").collect():
+        if path not in known:
+            set_modified(spark, path, month_ago)
+    _ingest(spark, paths, "parquet")
+    return _bronze_shown(bronze.table(spark, paths))
+
+
+@registered
+def schema_conflict_set_aside(spark, sf_dir):
+    """Every third report arrives in files with a number where a text belongs; these stay aside by name, a file for
+    each day, and the others are ingested."""
+    paths = _lake(spark, "conflict")
+    reports = _telemetry(spark, sf_dir)
+    _write_raw(reports.where("event_id % 3 <> 0"), paths, "parquet")
+    wrong = reports.where("event_id % 3 = 0").withColumn("contentId", F.lit(7))
+    wrong = wrong.select(*REPORT_COLUMNS).repartition(1, "eventDate").sortWithinPartitions("eventDate")
+    wrong.write.mode("append").partitionBy("eventDate").parquet(paths.raw)
+    _ingest(spark, paths, "parquet")
+    rows = bronze.table(spark, paths).select(F.lit("row").alias("kind"), "eventDate")
+    files = arrivals.set_aside(spark, paths).select(F.lit("file aside").alias("kind"), event_date_of(F.col("path")).alias("eventDate"))
+    return rows.unionByName(files).groupBy("kind", "eventDate").agg(F.count("*").alias("count"))
+
+
+@registered
+def json_pretty_and_lines(spark, sf_dir):
+    """Files of lines and files of pretty-printed objects in the same folders."""
+    paths = _lake(spark, "json-layouts")
+    even, odd = _halves(_telemetry(spark, sf_dir))
+    _write_raw(even, paths, "json")
+    pretty = odd.select(*REPORT_COLUMNS).hint("rebalance", "eventDate").write.mode("append").partitionBy("eventDate")
+    pretty.option("pretty", "true").json(paths.raw)
+    finish(ingest_json(spark, paths, INGEST_DAY, multi_line=None))
+    return _bronze_shown(bronze.table(spark, paths))
 
 
 @registered
@@ -416,7 +463,7 @@ def corrupt_json_kept(spark, sf_dir):
     _write_raw(reports.where("event_id % 8 <> 0"), paths, "json")
     _write_raw(wrong.select("customerId", "contentId", "clientId", "timestampInfo", "eventDate"), paths, "json")
     _ingest(spark, paths, "json")
-    kept = sources.corrupt_reports(spark, paths)
+    kept = bronze.corrupt_reports(spark, paths)
     return kept.select(F.col(sources.CORRUPT).alias("text"), "eventDate")
 
 
@@ -435,7 +482,7 @@ def schema_evolution(spark, sf_dir):
     )
     _ingest(spark, paths, "parquet")
     evolved = evolution.stored_schema(spark, paths)
-    return sources.bronze(spark, paths, evolved).select(
+    return bronze.table(spark, paths, evolved).select(
         "clientId",
         F.col("timestampInfo.server").alias("serverTs"),
         F.col("player.bufferings").alias("bufferings"),
@@ -536,6 +583,20 @@ def stalls_two_runs(spark, sf_dir):
     return events.select(*session, F.col("timestamp").alias("ts"), "seq", "eventType", "durationMs")
 
 
+@registered
+def player_events_two_runs(spark, sf_dir):
+    """Signals of every session arrive in two daily runs. The later ones do not tell their session's start; the events
+    are those of the whole all the same."""
+    paths = _lake(spark, "session-events")
+    signals = _signals(spark, sf_dir).select(*SIGNAL.fieldNames())
+    for half in (0, 1):
+        started = F.when(F.col("seq") % 2 == 0, F.col("sessionStartedAt"))
+        arriving = signals.where(F.col("seq") % 2 == half).withColumn("sessionStartedAt", started)
+        arriving.write.mode("append").parquet(paths.raw_signals)
+        result = run_daily(spark, paths, ingested_date=INGEST_DAY)
+    return result.session_events.drop("eventDate")
+
+
 @registered
 def quality_switches(spark, sf_dir):
     return G.quality_switches(_signals(spark, sf_dir))

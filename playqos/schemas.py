@@ -107,7 +107,7 @@ PLAYER_EVENT = _struct(
     height=INT,
 )
 
-# What a player tells: one row per signal. Stored ones know the day their session began and their micro-batch.
+# What a player tells: one row per signal. Stored ones know their day and their micro-batch.
 SIGNAL = _struct(
     sessionId=STRING,
     clientId=STRING,

@@ -1,50 +1,81 @@
 """Player signals -> player events, run by run.
 
-A stall may be open when a batch of signals ends. So signals are kept, and of every session that a batch
-touches all events are made again from all its signals; results do not depend on how the signals were batched.
+A stall may be open when a batch of signals ends, and signals may come late. So signals are kept, and of every
+session that a batch touches all events are made again from all its signals; results do not depend on how the
+signals were batched. Signals and events are filed by the day of their own time, which every signal has, whatever
+a player tells of its session's start. A table of (session, day) pairs names the days a touched session's other signals are
+in; it is narrow, and only these days' buckets are opened. Buckets of a day are rewritten whole, so the number of
+folders does not grow with the batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from playqos.operators import signals as G
 from playqos.operators.upsert import replace_viewers
-from playqos.paths import LakePaths, ensure_dir
-from playqos.schemas import SESSION_EVENT, STORED_SIGNAL
+from playqos.paths import LakePaths, ensure_dir, exists
+from playqos.schemas import SESSION_EVENT, SIGNAL, STORED_SIGNAL
 from playqos.session import rows_of_keys
 from playqos.sources import reports as sources
-from playqos.streaming.publish import on_days, store
+from playqos.streaming import moments
+from playqos.streaming.publish import parts_of, store, stored_parts
+
+SESSION_DAYS = "sessionId string, eventDate date"
+
+
+def _day(timestamp: str) -> Column:
+    """The day of a time in milliseconds; null for times of wrong clocks, which share one folder."""
+    day = moments.server_day(timestamp)
+    return F.when(day >= 0, F.date_add(F.lit("1970-01-01").cast("date"), day))
+
+
+def _remember_days(spark: SparkSession, table: str, new: DataFrame) -> DataFrame:
+    """Append the batch's (session, day) pairs that the table does not have; a pair that is there twice does no harm."""
+    pairs = new.select("sessionId", "eventDate").distinct()
+    if exists(spark, f"{table}/_SUCCESS"):
+        known = spark.read.schema(SESSION_DAYS).parquet(table)
+        same = (pairs["sessionId"] == known["sessionId"]) & pairs["eventDate"].eqNullSafe(known["eventDate"])
+        pairs = pairs.join(known, same, "left_anti")
+    marked = pairs.write.mode("append").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    marked.parquet(table)
+    return spark.read.schema(SESSION_DAYS).parquet(table)
 
 
 def write_batch(batch: DataFrame, batch_id: int, paths: LakePaths) -> None:
     """Keep one micro-batch of signals and store the events of its sessions. A replay replaces what it had kept.
 
-    Signals and events are filed under the day their session began, so a session is in one partition of both.
     Signals without a session or time are left out, as in `player_events`.
     """
     spark = batch.sparkSession
     token = f"{spark.sparkContext.getLocalProperty('sql.streaming.queryId') or 'batch'}-{batch_id}"
-    day = F.to_date(F.timestamp_millis("sessionStartedAt"))
-    filed = G.healthy_signals(batch).withColumns({"eventDate": day, "batch": F.lit(token)})
-    writer = filed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("eventDate", "batch").parquet(ensure_dir(spark, paths.signals))
-
-    kept = spark.read.schema(STORED_SIGNAL).parquet(paths.signals)
-    new = kept.where(F.col("batch") == token)
-    days = [row[0] for row in new.select("eventDate").distinct().collect()]  # one value for a calendar day
-    if not days:
-        return
-    sessions = new.select("sessionId").distinct()
-    mine = rows_of_keys(on_days(kept, days), sessions, spread=["ts", "seq"])
-    made = G.player_events(mine).withColumn("eventDate", day).select(*SESSION_EVENT.fieldNames())
-
-    def content(current: DataFrame | None) -> DataFrame:
-        return made if current is None else replace_viewers(on_days(current, days), made, sessions)
-
-    store(content, spark, paths.events, SESSION_EVENT, token, days)
+    healthy = G.healthy_signals(batch).select(*SIGNAL.fieldNames())
+    new = healthy.withColumns({"eventDate": _day("ts"), "batch": F.lit(token)}).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        parts = parts_of(new, "sessionId")
+        if not parts:
+            return
+
+        def kept(current: DataFrame | None) -> DataFrame:
+            return new if current is None else current.where(F.col("batch") != token).unionByName(new)
+
+        store(kept, spark, paths.signals, STORED_SIGNAL, token, parts, ["sessionId"])
+        sessions = new.select("sessionId").distinct()
+        index = _remember_days(spark, paths.session_days, new)
+        parts = parts_of(rows_of_keys(index, sessions, spread=["eventDate"]), "sessionId")
+        stored = stored_parts(spark, paths.signals, STORED_SIGNAL, parts)
+        mine = rows_of_keys(stored, sessions, spread=["ts", "seq"])
+        made = G.player_events(mine).withColumn("eventDate", _day("timestamp")).select(*SESSION_EVENT.fieldNames())
+
+        def content(current: DataFrame | None) -> DataFrame:
+            return made if current is None else replace_viewers(current, made, sessions)
+
+        store(content, spark, paths.events, SESSION_EVENT, token, parts, ["sessionId"])
+    finally:
+        new.unpersist()
 
 
 def signals_to_events(

@@ -8,6 +8,8 @@ restart, does no harm. The table grows with the calendar, not with the reports.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,7 +67,9 @@ def server_days_of(pairs: DataFrame, days: list) -> list[int]:
     return pairs.where(F.col("eventDate").isin(days)).agg(F.collect_set("serverDay")).first()[0]
 
 
-def remember(spark: SparkSession, table: str, reports: DataFrame, bronze: DataFrame | None) -> DataFrame:
+def remember(
+    spark: SparkSession, table: str, reports: DataFrame, bronze: Callable[[], DataFrame] | None
+) -> DataFrame:
     """Append the pairs of dated, compact ``reports`` that are new and return all pairs.
 
     A lake that was begun without this table has it built from the whole of ``bronze``, once.
@@ -73,7 +77,7 @@ def remember(spark: SparkSession, table: str, reports: DataFrame, bronze: DataFr
     stored = spark.read.schema(PAIRS).parquet(table) if exists(spark, f"{table}/_SUCCESS") else None
     pairs = reports.select("eventDate", server_day("serverTs").alias("serverDay"))
     if stored is None and bronze is not None:
-        old = R.healthy(bronze).select("eventDate", server_day("timestampInfo.server").alias("serverDay"))
+        old = R.healthy(bronze()).select("eventDate", server_day("timestampInfo.server").alias("serverDay"))
         pairs = pairs.unionByName(old)
     new = pairs.distinct()
     if stored is not None:

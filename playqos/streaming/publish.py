@@ -1,26 +1,36 @@
-"""Storing new content of some date partitions of a silver table, safe to repeat.
-
-A plain Parquet table has no MERGE, so the affected `eventDate` partitions are
-rewritten. Their new content is first written in full next to the table; only
-then are the partitions overwritten from that copy. Lost executors cost task
-retries (the source is never deleted while it is read), and a driver that dies
-half-way replays the batch: the token tells that the copy is complete, so it is
-published again without being recomputed from a half-written table. The first
-content of a table takes the same way.
+"""Storing new content of some parts of a silver table, safe to repeat.
+
+A part is a date and one of `BUCKETS` hash buckets, so one late report rewrites one bucket of its day. A plain Parquet table
+has no MERGE: the new content of the affected parts is written in full next to the table, once, and then swapped in
+folder by folder. Lost executors cost task retries (the source is never deleted while it is read), and a driver that
+dies half-way replays the batch: the token tells that the copy is complete, and the list of parts beside it which
+folders are still to be moved, so nothing is computed again from a half-swapped table. The first content of a table takes
+the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playqos.paths import exists
+from playqos.paths import children, exists, move, remove
 from playqos.sources.reports import silver
 
-PARTITION = "eventDate"
+PARTITION, BUCKET = "eventDate", "bucket"
+#: Fixed for the life of a table.
+BUCKETS = 16
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+PART = f"{PARTITION} date, {BUCKET} int, hasRows boolean"
+
+#: A date (or None) and a bucket.
+Part = tuple
+
+
+def bucket_of(*keys: str) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
 
 
 def on_days(df: DataFrame, days: list) -> DataFrame:
@@ -30,49 +40,70 @@ def on_days(df: DataFrame, days: list) -> DataFrame:
     return df.where(wanted | F.col(PARTITION).isNull() if len(known) < len(days) else wanted)
 
 
+def parts_of(rows: DataFrame, *keys: str) -> list[Part]:
+    """The parts that hold some rows: at most `BUCKETS` for a calendar day."""
+    found = rows.select(PARTITION, bucket_of(*keys).alias(BUCKET)).distinct().collect()
+    return sorted(((d, b) for d, b in found), key=lambda p: (p[0] is None, str(p[0]), p[1]))
+
+
+def _folder(root: str, part: Part) -> str:
+    day, bucket = part
+    return f"{root}/{PARTITION}={day.isoformat() if day else NO_DAY}/{BUCKET}={bucket}"
+
+
+def stored_parts(spark: SparkSession, table: str, schema: T.StructType, parts: list[Part]) -> DataFrame:
+    """The stored rows of some parts; only their folders are listed."""
+    folders = [f for f in (_folder(table, p) for p in parts) if exists(spark, f)]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", table).parquet(*folders).select(*schema.fieldNames())
+
+
 def staging_of(table: str) -> str:
     return f"{table.rstrip('/')}__staged"
 
 
-def _writer(df: DataFrame, *partitions: str) -> DataFrameWriter:
-    # The success marker is part of the protocol here, so do not leave it to the cluster's defaults.
-    marked = df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-    return marked.option("partitionOverwriteMode", "static").partitionBy(*partitions)
+def _rows_at(table: str, token: str) -> str:
+    return f"{staging_of(table)}/token={token}/rows"
+
+
+def _list_at(table: str, token: str) -> str:
+    return f"{staging_of(table)}/token={token}/parts"
 
 
 def is_staged(spark: SparkSession, table: str, token: str) -> bool:
-    staged = staging_of(table)
-    return exists(spark, f"{staged}/_SUCCESS") and exists(spark, f"{staged}/token={token}")
+    return exists(spark, f"{_list_at(table, token)}/_SUCCESS")
 
 
-def stage(content: DataFrame, table: str, token: str, days: list) -> None:
-    """Write the new partitions aside.
+def stage(content: DataFrame, table: str, token: str, parts: list[Part], keys: list[str]) -> None:
+    """Write the new parts aside, then the list of ``parts`` (those that are replaced), which tells the empty ones.
 
-    Each of the ``days`` (those that are replaced) gets a marker row, so that
-    publishing knows about days of which the content holds nothing any more.
+    Rebalancing splits a heavy part into several files.
     """
-    markers = content.sparkSession.createDataFrame([(day,) for day in days], f"{PARTITION} date")
-    marked = content.withColumn("isRow", F.lit(True)).unionByName(
-        markers.withColumn("isRow", F.lit(False)), allowMissingColumns=True
-    )
-    _writer(marked.withColumn("token", F.lit(token)), "token").parquet(staging_of(table))
+    spark, rows = content.sparkSession, _rows_at(table, token)
+    remove(spark, staging_of(table))  # of the batch before, which is published
+    filed = content.withColumn(BUCKET, bucket_of(*keys)).hint("rebalance", PARTITION, BUCKET)
+    filed.write.mode("overwrite").partitionBy(PARTITION, BUCKET).parquet(rows)
+    entries = [(*part, exists(spark, _folder(rows, part))) for part in parts]
+    # The success marker is part of the protocol here, so do not leave it to the cluster's defaults.
+    marked = spark.createDataFrame(entries, PART).coalesce(1).write.mode("overwrite")
+    marked.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(_list_at(table, token))
+
+
+def swap(spark: SparkSession, staged: str, stored: str, has_rows: bool) -> None:
+    """Put one staged folder in the place of a stored one. A folder that is not there any more has been moved before."""
+    if not has_rows:
+        remove(spark, stored)
+    elif exists(spark, staged):
+        remove(spark, stored)
+        move(spark, staged, stored)
 
 
 def publish(spark: SparkSession, table: str, schema: T.StructType, token: str) -> None:
-    """Overwrite exactly the staged days. Rebalancing splits a heavy day into several files."""
-    with_marks = T.StructType([*schema.fields, T.StructField("isRow", T.BooleanType())])
-    staged = spark.read.schema(with_marks).parquet(f"{staging_of(table)}/token={token}")
-    rows = staged.where("isRow").drop("isRow")
-    overwrite = _writer(rows.hint("rebalance", PARTITION), PARTITION)
-    overwrite.option("partitionOverwriteMode", "dynamic").parquet(table)
-    # Days that lost their last row (at most one per calendar day).
-    left = staged.groupBy(PARTITION).agg(F.bool_or("isRow").alias("hasRows")).where(
-        f"NOT hasRows AND {PARTITION} IS NOT NULL"
-    )
-    for (day,) in left.select(PARTITION).collect():
-        folder = f"{table}/{PARTITION}={day.isoformat()}"
-        if exists(spark, folder):
-            rows.drop(PARTITION).limit(0).write.mode("overwrite").parquet(folder)
+    """Swap in exactly the staged parts."""
+    for day, bucket, has_rows in spark.read.schema(PART).parquet(_list_at(table, token)).collect():
+        part = (day, bucket)
+        swap(spark, _folder(_rows_at(table, token), part), _folder(table, part), has_rows)
 
 
 def store(
@@ -81,13 +112,15 @@ def store(
     table: str,
     schema: T.StructType,
     token: str,
-    days: list,
+    parts: list[Part],
+    keys: list[str],
 ) -> None:
-    """Stage and publish ``content_of(current)``; ``current`` is None while there is no table.
+    """Stage and publish ``content_of(current rows of the parts)``; that is None while there is no table. ``keys`` give a
+    row's bucket.
 
     ``content_of`` is not called when this token has been staged already.
     """
     if not is_staged(spark, table, token):
-        current = silver(spark, table, schema) if exists(spark, table) else None
-        stage(content_of(current), table, token, days)
+        current = stored_parts(spark, table, schema, parts) if exists(spark, table) else None
+        stage(content_of(current), table, token, parts, keys)
     publish(spark, table, schema, token)

@@ -17,6 +17,7 @@ from playqos.plans.queries import _ingest, _telemetry, _write_raw
 from playqos.schemas import BUFFERING_METRICS, VIEWER, bronze_schema
 from playqos.session import is_small, rows_of_keys, scratch_dir
 from playqos.sources import reports as sources
+from playqos.streaming import bronze as bronze_table
 from playqos.streaming import moments
 from playqos.streaming.publish import on_days
 from playqos.streaming.silver import affected_scope, touched_by
@@ -112,6 +113,40 @@ def test_a_long_session_is_split_into_slices(spark):
     assert sum(sizes) == ROWS and len(sizes) == 8 and max(sizes) < 2 * ROWS / 8
 
 
+@pytest.mark.parametrize("spread", [1, 40])
+def test_a_millisecond_full_of_signals_is_split(spark, monkeypatch, spread):
+    """30,000 signals of one session in one millisecond, or in a few, beside ordinary ones."""
+    busy = spark.range(0, ROWS, numPartitions=8).selectExpr(
+        "'one' AS sessionId", f"5000000 + id % {spread} AS ts", "(id * 7919) % 30011 AS seq",
+        "element_at(array('waiting', 'playing', 'waiting', 'level_switched', 'ended'), CAST(id % 5 AS INT) + 1) AS signal",
+    )
+    quiet = spark.range(0, 300).selectExpr(
+        "concat('s', id % 3) AS sessionId", "id * 3000 AS ts", "id AS seq",
+        "element_at(array('waiting', 'playing', 'level_switched'), CAST(id % 3 AS INT) + 1) AS signal",
+    )
+    around = quiet.withColumn("sessionId", F.lit("one")).withColumn("ts", F.col("ts") + 4_500_000)
+    signals = busy.unionByName(quiet).unionByName(around).selectExpr(
+        "*", "'c' AS clientId", "'m' AS contentId", "'k' AS customerId", "CAST(seq % 1000 AS INT) AS height",
+        "1 AS width", "1L AS bitrate", "0L AS sessionStartedAt",
+    )
+    monkeypatch.setattr(G, "HOT_ROWS", 1_000)
+    events = G.player_events(signals)
+    with static_plan(spark):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            pieces = G._followed(signals, G.SLICE_MS, [])
+            sizes = [r["count"] for r in pieces.groupBy(F.spark_partition_id()).count().collect()]
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == ROWS + 600 and len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
+    shown = ["sessionId", "timestamp", "seq", "eventType", "durationMs", "fromQuality", "toQuality"]
+    got = sorted(map(str, events.select(*shown).collect()))
+    monkeypatch.setattr(G, "HOT_ROWS", 1 << 40)
+    assert got == sorted(map(str, G.player_events(signals).select(*shown).collect())) and len(got) > 20_000
+    starts = G.with_session_start(signals.drop("sessionStartedAt")).groupBy("sessionId").agg(F.count_distinct("sessionStartedAt"))
+    assert {r[1] for r in starts.collect()} == {1}
+
+
 @pytest.fixture(scope="module")
 def lake(spark, sf_dir):
     paths = LakePaths(scratch_dir(spark, "plans"))
@@ -121,27 +156,27 @@ def lake(spark, sf_dir):
 
 
 def test_scans_are_narrow_and_filtered(spark, lake):
-    plan = plan_of(M.buffering_from_bronze(R.healthy(sources.bronze(spark, lake))))
+    plan = plan_of(M.buffering_from_bronze(R.healthy(bronze_table.table(spark, lake))))
     schema = re.search(r"ReadSchema: (.*)", plan).group(1)
     assert "totalDistribution" not in schema and "qualityDistribution" not in schema and "agent" not in schema
     assert "PushedFilters: [IsNotNull(clientId), IsNotNull(contentId), IsNotNull(customerId)]" in plan
-    plan = plan_of(M.quality_from_bronze(sources.bronze(spark, lake)))
+    plan = plan_of(M.quality_from_bronze(bronze_table.table(spark, lake)))
     assert "totalDistribution" not in re.search(r"ReadSchema: (.*)", plan).group(1)
 
 
 def test_days_prune_partitions(spark, lake):
-    plan = plan_of(on_days(sources.bronze(spark, lake), [DAY]))
+    plan = plan_of(on_days(bronze_table.table(spark, lake), [DAY]))
     assert re.search(r"PartitionFilters: \[.*eventDate#\d+ = 2025-01-10", plan)
 
 
 def scope_of(spark, bronze, batch):
     batch = batch.persist()
-    pairs = moments.remember(spark, f"{scratch_dir(spark, 'moments')}/pairs", batch, bronze)
-    return affected_scope(bronze, batch, touched_by(batch), pairs, batch.select(*VIEWER).distinct())
+    pairs = moments.remember(spark, f"{scratch_dir(spark, 'moments')}/pairs", batch, lambda: bronze)
+    return affected_scope(lambda days: bronze, batch, touched_by(batch), pairs, batch.select(*VIEWER).distinct())
 
 
 def test_recompute_reads_one_day_and_its_time_range(spark, lake):
-    bronze = sources.bronze(spark, lake)
+    bronze = bronze_table.table(spark, lake)
     one = bronze.where("clientId = 'client-1'").agg(F.min("eventDate")).first()[0]
     batch = R.distinct_reports(R.compact(bronze.where(f"clientId = 'client-1' AND eventDate = DATE '{one}'")))
     scope = scope_of(spark, bronze, batch)

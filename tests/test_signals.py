@@ -1,5 +1,8 @@
+import os
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from playqos.operators import signals as G
 from playqos.paths import LakePaths
@@ -124,3 +127,23 @@ def test_events_of_two_batches_and_a_replay(spark, tmp_path):
     got = silver(spark, paths.events, SESSION_EVENT).select("sessionId", "seq", "eventType", "durationMs", "fromQuality", "toQuality")
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows[:4])
     assert spark.read.parquet(paths.signals).count() == 4
+
+
+def test_signals_without_a_start_belong_to_their_session(spark, tmp_path):
+    """The second run's signals tell no start, another start, or a time of a wrong clock; one closes a stall days later."""
+    paths = LakePaths(str(tmp_path))
+    day = 86_400_000
+    rows = [("s", 1_000, "waiting", 0), ("s", 1_500, "playing", 0), ("s", 2_000, "waiting", 0), ("s", 3 * day, "ended", 0),
+            ("s", -7, "level_switched", 270), ("u", 4 * day, "waiting", 0), ("s", 4 * day, "level_switched", 480)]
+    start = F.when(F.col("seq") % 3 == 0, 0).when(F.col("seq") % 3 == 1, F.lit(None)).otherwise(5 * day)
+    whole = frame(spark, rows).withColumn("sessionStartedAt", start.cast("long"))
+    for batch_id, seqs in enumerate([[0, 5], [1], [6], [2, 4], [3]]):
+        write_batch(whole.where(whole.seq.isin(seqs)), batch_id, paths)
+    shown = ["sessionId", "sessionStartedAt", "seq", "eventType", "sessionDurationMs", "durationMs", "fromQuality", "toQuality"]
+    got = silver(spark, paths.events, SESSION_EVENT).select(*shown).collect()
+    want = G.player_events(whole).select(*shown).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(want) == 7
+    assert next(r.durationMs for r in got if r.seq == 1) == 500
+    # One folder for a day, however many batches came.
+    days = {name for name in os.listdir(paths.signals) if name.startswith("eventDate")}
+    assert len(days) == 4

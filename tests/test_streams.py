@@ -16,6 +16,7 @@ from playqos.plans.daily import run_daily
 from playqos.schemas import BUFFERING_METRICS, QUALITY_METRICS, REPORT, bronze_schema
 from playqos.sources import evolution
 from playqos.sources import reports as sources
+from playqos.streaming import bronze as bronze_table
 from playqos.streaming import publish
 from playqos.streaming.ingest import finish, ingest_json, ingest_parquet
 from playqos.streaming.silver import bronze_to_silver, write_batch
@@ -35,7 +36,7 @@ def land(spark, paths, *rows, kind="parquet"):
 
 
 def run(spark, paths, mode="recompute", **options):
-    finish(ingest_parquet(spark, paths, "2025-02-01"), 120)
+    finish(ingest_parquet(spark, paths, "2025-02-01", max_files=options.pop("max_files", None)), 120)
     finish(bronze_to_silver(spark, paths, mode, **options), 120)
 
 
@@ -71,8 +72,8 @@ def test_number_of_batches_does_not_change_recomputed_totals(spark, paths):
     for row in rows[::8]:
         land(spark, paths, row)
     land(spark, paths, *rows)
-    run(spark, paths, max_files=1)
-    every = R.healthy(sources.bronze(spark, paths))
+    run(spark, paths, max_files=1, max_batches=1)
+    every = R.healthy(bronze_table.table(spark, paths))
     want = M.buffering_from_bronze(every)
     assert buffering(spark, paths) == by(want, "clientId", "eventDate", "totalBufferings", "snapshotCount")
     want = M.quality_from_bronze(every)
@@ -121,7 +122,7 @@ def test_strict_replace_duplicates_null_keys(spark, paths):
 def test_unhealthy_rows_stay_in_bronze_only(spark, paths):
     land(spark, paths, bronze_row(client=None), bronze_row())
     run(spark, paths)
-    table = sources.bronze(spark, paths)
+    table = bronze_table.table(spark, paths)
     assert (table.count(), R.quarantined(table).count()) == (2, 1)
     assert buffering(spark, paths) == [("c1", DAY, 0, 1)]
     assert quality(spark, paths) == []  # no report had traffic, yet the table can be read
@@ -172,7 +173,7 @@ def test_both_formats_and_rerun(spark, paths):
     for _ in range(2):
         finish(ingest_parquet(spark, paths, "2025-02-01"), 120)
         finish(ingest_json(spark, paths, "2025-02-01", multi_line=True), 120)
-    table = sources.bronze(spark, paths)
+    table = bronze_table.table(spark, paths)
     assert by(table, "clientId", "eventDate", "_ingested_date") == [
         ("c1", DAY, "2025-02-01"), ("c1", NEXT, "2025-02-01"), ("j1", DAY, "2025-02-01"),
     ]
@@ -189,7 +190,7 @@ def test_landed_batches_read_as_reports_have_ids_only(spark, paths):
         json.dump({"clientId": "b", "contentId": "m", "customerId": "k", "events": [{}], "batchSize": 1}, out)
     run(spark, paths)
     finish(ingest_json(spark, paths), 120)
-    row = sources.bronze(spark, paths).where("clientId = 'b'").first()
+    row = bronze_table.table(spark, paths).where("clientId = 'b'").first()
     assert (row.timestampInfo, row.player, row.qualityDistribution, row.eventDate) == (None, None, None, DAY)
 
 
@@ -198,8 +199,8 @@ def test_pretty_printed_needs_multi_line(spark, paths):
     with open(f"{paths.raw}/eventDate={DAY}/a.json", "w") as out:
         out.write('{\n "clientId": "j1",\n "contentId": "m1"\n}')
     finish(ingest_json(spark, paths), 120)
-    assert sources.bronze(spark, paths).where("clientId = 'j1'").count() == 0
-    assert {r[0].strip(' ,') for r in sources.corrupt_reports(spark, paths).select("_corrupt_record").collect()} == {
+    assert bronze_table.table(spark, paths).where("clientId = 'j1'").count() == 0
+    assert {r[0].strip(' ,') for r in bronze_table.corrupt_reports(spark, paths).select("_corrupt_record").collect()} == {
         "{", '"clientId": "j1"', '"contentId": "m1"', "}"}
 
 
@@ -214,7 +215,7 @@ def json_lines(paths, name, *clients):
 def test_many_records_in_a_file_by_default(spark, paths):
     json_lines(paths, "a.json", *[f"c{i}" for i in range(50)])
     finish(ingest_json(spark, paths), 120)
-    assert sources.bronze(spark, paths).count() == 50
+    assert bronze_table.table(spark, paths).count() == 50
 
 
 def test_old_files_that_come_late_are_ingested(spark, paths):
@@ -224,17 +225,17 @@ def test_old_files_that_come_late_are_ingested(spark, paths):
     os.utime(json_lines(paths, "b.json", "old"), (month_ago, month_ago))
     json_lines(paths, "c.json", "newer")
     finish(ingest_json(spark, paths), 120)
-    assert by(sources.bronze(spark, paths), "clientId") == [("new",), ("newer",), ("old",)]
+    assert by(bronze_table.table(spark, paths), "clientId") == [("new",), ("newer",), ("old",)]
 
 
 def test_unreadable_records_keep_their_text(spark, paths):
     with open(json_lines(paths, "a.json", "c1"), "a") as out:
         out.write('{"clientId": "c2", broken\n')
     finish(ingest_json(spark, paths), 120)
-    corrupt = sources.corrupt_reports(spark, paths)
+    corrupt = bronze_table.corrupt_reports(spark, paths)
     assert by(corrupt, "_corrupt_record", "eventDate") == [('{"clientId": "c2", broken', DAY)]
     assert corrupt.first()._source_file.endswith("a.json")
-    assert sources.bronze(spark, paths).count() == 2
+    assert bronze_table.table(spark, paths).count() == 2
 
 
 def test_daily_run_on_an_empty_zone(spark, paths):
@@ -283,7 +284,7 @@ def test_evolution_rules(spark, paths):
     with pytest.raises(evolution.SchemaConflict, match="n.x"):
         evolution.merged(wide, T.StructType().add("n", T.StructType().add("x", "string")))
     assert evolution.evolve(spark, paths) == REPORT  # no raw zone yet
-    assert sources.bronze(spark, paths).count() == 0
+    assert bronze_table.table(spark, paths).count() == 0
     land(spark, paths, bronze_row())
     assert evolution.evolve(spark, paths) == REPORT
     newer = spark.range(1).selectExpr("'c' AS clientId", "'v2' AS sdk")
@@ -352,4 +353,4 @@ def test_files_with_old_times_are_ingested(spark, paths):
             month_ago = time.time() - 30 * 86_400
             os.utime(f"{folder}/{name}", (month_ago, month_ago))
     finish(ingest_parquet(spark, paths, "2025-02-01"), 120)
-    assert sources.bronze(spark, paths).count() == 2
+    assert bronze_table.table(spark, paths).count() == 2
