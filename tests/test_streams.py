@@ -13,7 +13,7 @@ from playqos.operators import metrics as M
 from playqos.operators import reports as R
 from playqos.paths import LakePaths
 from playqos.plans.daily import run_daily
-from playqos.schemas import BUFFERING_METRICS, QUALITY_METRICS, REPORT, bronze_schema
+from playqos.schemas import BUFFERING_METRICS, QUALITY_METRICS, REPORT, VIEWER, bronze_schema
 from playqos.sources import evolution
 from playqos.sources import reports as sources
 from playqos.streaming import bronze as bronze_table
@@ -128,26 +128,30 @@ def test_unhealthy_rows_stay_in_bronze_only(spark, paths):
     assert quality(spark, paths) == []  # no report had traffic, yet the table can be read
 
 
-def test_replay_publishes_the_staged_copy(spark, paths):
-    """The driver dies after the copy is complete, before or amid publishing."""
+def test_replay_publishes_the_staged_copy(spark, paths, monkeypatch):
+    """The driver dies after the copy is complete, amid publishing: a part is gone, its copy not yet in its place."""
     land(spark, paths, bronze_row(bufferings=1))
     run(spark, paths, "replace")
+
+    def die(*_):
+        raise RuntimeError("driver lost")
+
     batch = R.compact(bronze(spark, bronze_row(bufferings=3), bronze_row(client="new")))
-    write_batch(batch, 7, paths, "replace")
-    after = buffering(spark, paths)
-    assert after == [("c1", DAY, 3, 1), ("new", DAY, 0, 1)]
-    # What a half-done publication leaves: the day is gone from the table.
-    lost = sources.silver(spark, paths.buffering, BUFFERING_METRICS).limit(0).drop("eventDate")
-    lost.write.mode("overwrite").parquet(f"{paths.buffering}/eventDate={DAY}")
+    monkeypatch.setattr(publish, "move", die)
+    with pytest.raises(RuntimeError):
+        write_batch(batch, 7, paths, "replace")
     assert buffering(spark, paths) == []
-    write_batch(batch, 7, paths, "replace")
-    assert buffering(spark, paths) == after
+    monkeypatch.undo()
+    for rows in (batch, batch.limit(1)):  # the copy counts, not what is computed again
+        write_batch(rows, 7, paths, "replace")
+        assert buffering(spark, paths) == [("c1", DAY, 3, 1), ("new", DAY, 0, 1)]
 
 
 def test_a_table_without_success_marker_is_still_a_table(spark, paths):
     """Copied or compacted by other means, it must not be taken for an unfinished one."""
     kept = M.buffering_from_bronze(bronze(spark, bronze_row(client="kept")))
-    kept.write.partitionBy("eventDate").parquet(paths.buffering)
+    filed = kept.withColumn("bucket", publish.bucket_of(*VIEWER))
+    filed.write.partitionBy("eventDate", "bucket").parquet(paths.buffering)
     os.remove(f"{paths.buffering}/_SUCCESS")
     write_batch(R.compact(bronze(spark, bronze_row())), 0, paths, "replace")
     assert buffering(spark, paths) == [("c1", DAY, 0, 1), ("kept", DAY, 0, 1)]
@@ -307,16 +311,15 @@ def test_a_dying_driver_is_healed_by_the_restart(spark, tmp_path, monkeypatch, m
         late = bronze_row(server=2, bufferings=2, levels={"4K": level(3)})
         land(spark, paths, late, bronze_row(client="b", day=NEXT))
         if crash:
-            whole = publish.publish
+            whole = publish.swap
 
-            def half(spark, table, schema, token, whole=whole, paths=paths):
-                if table == getattr(paths, victim):
-                    nothing = spark.range(0).selectExpr("CAST(NULL AS STRING) AS clientId")
-                    nothing.write.mode("overwrite").parquet(f"{table}/eventDate={DAY}")
+            def half(spark, staged, stored, has_rows, whole=whole, paths=paths):
+                if stored.startswith(getattr(paths, victim)):
+                    publish.remove(spark, stored)
                     raise RuntimeError("driver lost")
-                whole(spark, table, schema, token)
+                whole(spark, staged, stored, has_rows)
 
-            monkeypatch.setattr(publish, "publish", half)
+            monkeypatch.setattr(publish, "swap", half)
             with pytest.raises(Exception, match="driver lost"):
                 run(spark, paths, mode)
             monkeypatch.undo()
@@ -326,6 +329,77 @@ def test_a_dying_driver_is_healed_by_the_restart(spark, tmp_path, monkeypatch, m
     assert outcome[0][0][-1] == ("c1", DAY, *((2, 1) if mode == "replace" else (3, 2)))
 
 
+def part_files(folder):
+    return {f"{at}/{name}" for at, _, names in os.walk(folder) for name in names if name.endswith(".parquet")}
+
+
+def test_new_reports_are_added_without_looking_back(spark, paths, monkeypatch):
+    """No report was there before: bronze's history is not opened, and one late report rewrites one bucket of its day."""
+    clients = [f"c{k}" for k in range(40)]
+    land(spark, paths, *[bronze_row(client=c, server=1, bufferings=1, levels={"4K": level(5)}) for c in clients])
+    run(spark, paths)
+    before = part_files(paths.buffering)
+    assert 8 < len(before) <= publish.BUCKETS
+
+    def scan(*_):
+        raise AssertionError("history was opened")
+
+    monkeypatch.setattr("playqos.streaming.silver.affected_scope", scan)
+    land(spark, paths, bronze_row(client="c7", server=2, bufferings=3, levels={"4K": level(1), "720p": level(9)}))
+    run(spark, paths)
+    assert ("c7", DAY, 4, 2) in buffering(spark, paths) and len(buffering(spark, paths)) == 40
+    table = sources.silver(spark, paths.quality, QUALITY_METRICS).where("clientId = 'c7'")
+    assert by(table, "qualityLabel", "totalReceivedBytes", "isDominantQuality") == [("4K", 6, False), ("720p", 9, True)]
+    after = part_files(paths.buffering)
+    assert len(before - after) == len(after - before) == 1
+
+
+def test_only_viewers_with_a_copy_are_computed_again(spark, paths, monkeypatch):
+    land(spark, paths, bronze_row(server=1, bufferings=1), bronze_row(client="other", server=1, bufferings=5))
+    run(spark, paths)
+    from playqos.streaming import silver
+
+    seen, whole = [], silver.affected_scope
+
+    def noted(rows_on, theirs, *rest):
+        seen.extend(r.clientId for r in theirs.collect())
+        return whole(rows_on, theirs, *rest)
+
+    monkeypatch.setattr(silver, "affected_scope", noted)
+    land(spark, paths, bronze_row(server=1, bufferings=1, day=NEXT), bronze_row(server=2, bufferings=2),
+         bronze_row(client="other", server=2, bufferings=1))
+    run(spark, paths)
+    assert set(seen) == {"c1"}
+    assert buffering(spark, paths) == [("c1", DAY, 3, 2), ("other", DAY, 6, 2)]
+
+
+def test_a_batch_that_runs_again_is_added_once(spark, paths):
+    first = R.compact(bronze(spark, bronze_row(server=1, bufferings=1)))
+    second = R.compact(bronze(spark, bronze_row(server=2, bufferings=2), bronze_row(client="n", server=2)))
+    write_batch(first, 0, paths)
+    for _ in range(3):
+        write_batch(second, 1, paths)
+        assert buffering(spark, paths) == [("c1", DAY, 3, 2), ("n", DAY, 0, 1)]
+
+
+def test_a_later_commit_is_not_counted_before_its_turn(spark, paths):
+    """A copy makes a viewer computed again while bronze already holds a batch that silver has not taken yet."""
+    land(spark, paths, bronze_row(server=1, bufferings=1))
+    run(spark, paths)
+    land(spark, paths, bronze_row(server=1, bufferings=1))
+    finish(ingest_parquet(spark, paths, "2025-02-01"), 120)
+    land(spark, paths, bronze_row(server=2, bufferings=5))
+    run(spark, paths, max_batches=1)
+    assert buffering(spark, paths) == [("c1", DAY, 6, 2)]
+
+
+def test_replaced_totals_are_never_added_to(spark, paths):
+    for mode, server in (("replace", 1), ("replace", 2), ("recompute", 3), ("recompute", 4)):
+        land(spark, paths, bronze_row(server=server, bufferings=1))
+        run(spark, paths, mode)
+    assert buffering(spark, paths) == [("c1", DAY, 4, 4)]
+
+
 def test_a_run_that_dies_while_creating_is_healed(spark, paths, monkeypatch):
     land(spark, paths, bronze_row(bufferings=1, levels={"4K": level(1)}))
     whole = publish.publish
