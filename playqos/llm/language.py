@@ -12,7 +12,7 @@ Document frequencies count all learnable rows; the centroids are fitted on a bou
 Very short texts (a few words) are near to no centroid in any language, so hardly any of them can be rejected.
 
 Defined results: a null text, or one without a letter, is `und`, score 0, rejected. Without any learnable row
-everything is `und`. Rows are predicted one by one, so repeated ids and extra columns do not matter; of
+everything is `und`, and `known_only` keeps every row, as there is nothing to compare it with. Rows are predicted one by one, so repeated ids and extra columns do not matter; of
 equally near centroids the language smaller by code point wins. A language of one text rejects nothing near to it.
 """
 
@@ -191,7 +191,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
         x, sizes = vectors_of(texts, idf)
         texts, x = [t for t, n in zip(texts, sizes, strict=True) if n], x[sizes > 0]
         if not len(x):
-            return pd.DataFrame({"lang": [], "least": [], "centroids": []})
+            return pd.DataFrame({"lang": [], "least": [], "centroids": []}, dtype=object)
         turn = np.random.default_rng(7).permutation(len(x))  # likely neighbours in text go to either half
         texts, x = [texts[t] for t in turn], x[turn]
         centre, least = _centroids(x), _least(texts, x, sizes[sizes > 0][turn], idf)
