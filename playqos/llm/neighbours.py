@@ -9,7 +9,8 @@ The number of hashes per table follows the number of vectors, so that buckets st
 of probes is fitted on a bounded sample (`SAMPLE` vectors): the smallest that finds the wanted share of the sample's
 true neighbours. Neighbours in a sample are farther than in the whole, so this errs towards more probes. Where even
 the most probes do not reach it, fewer hashes are taken. Every vector is indexed; buckets beyond `BLOCK` vectors
-are dealt out in parts, each of which every visiting query sees.
+are dealt out in parts, each of which every visiting query sees. Queries whose buckets hold fewer vectors than they
+want (outliers beside tight clusters) are compared with all vectors, `EXACT_QUERIES` of them at a time.
 
 Defined results: vectors that are null, of length zero, of another dimension than most, or hold a null, NaN or
 infinity take no part. Equal rows count once. Equal vectors are one entry with their smallest ids, as many as a
@@ -22,6 +23,8 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -35,6 +38,10 @@ TABLES, WIDTH = 3, 1.0
 PER_BUCKET, MOST_PROBES = 256, 512
 SAMPLE, WANTED = 8192, 0.95
 BLOCK = 4096
+#: Queries of one pass over all vectors.
+EXACT_QUERIES = 2048
+#: More than the rounding of a cosine of unit vectors; whatever is so near to the last place is scored exactly.
+TOLERANCE = 1e-9
 
 
 def templates(hashes: int, probes: int) -> list[tuple[int, ...]]:
@@ -197,10 +204,14 @@ def nearest(df: DataFrame, every: int = 50, k: int = 5, key: str = "vec_id", vec
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = members.unionByName(asking).repartition(n, "bucket", "part").sortWithinPartitions("bucket", "part", "asks")
     scored = met.mapInPandas(lambda batches: _scored(batches, k), "query long, ids array<long>, score double").distinct()
-    each = scored.select("query", F.explode("ids").alias("vec_id"), "score")
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    few = each.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
-    tops = few.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("top"))
+    tops = _tops(scored, k)
+    tops = stored(tops, "tops")
+    wanted = min(k + 1, rows.count())
+    full = tops.where(F.size("top") >= wanted).select(F.col("query").alias("id"))
+    left = asked.join(full, "id", "left_anti")
+    parts = [_tops(s, k) for s in _exact(entries, left, k)]
+    if parts:
+        tops = reduce(DataFrame.unionByName, parts, tops.where(F.size("top") >= wanted))
     found = asked.join(tops, asked["id"] == tops["query"]).select("vector", "top")
     others = F.slice(F.filter("top", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
     ranked = queries.withColumnRenamed("id", "query_id").join(found, "vector")
@@ -209,6 +220,63 @@ def nearest(df: DataFrame, every: int = 50, k: int = 5, key: str = "vec_id", vec
     )
 
 
+def _tops(scored: DataFrame, k: int) -> DataFrame:
+    """(query, top: its k + 1 best ids with scores, the best first)"""
+    each = scored.select("query", F.explode("ids").alias("vec_id"), "score")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    few = each.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
+    return few.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("top"))
+
+
+def _exact(entries: DataFrame, asked: DataFrame, k: int) -> Iterator[DataFrame]:
+    """(query, ids, score) of these queries against all entries, a frame for each pass."""
+    waiting = asked.select("id", "vector").orderBy("id").toLocalIterator()
+    while some := list(islice(waiting, EXACT_QUERIES)):
+        q = np.array([r.vector for r in some], float)
+        sent = entries.sparkSession.sparkContext.broadcast((q, np.array([r.id for r in some])))
+
+        def run(batches: Iterator[pd.DataFrame], sent: object = sent) -> Iterator[pd.DataFrame]:
+            q, names = sent.value
+            best = None
+            for batch in batches:
+                for start in range(0, len(batch), BLOCK):
+                    part = batch.iloc[start : start + BLOCK]
+                    x = _matrix(part["vector"])
+                    found = _reranked(q, names, x, _unit(x), part["ids"].tolist(), k)
+                    best = found if best is None else _pruned(pd.concat((best, found), ignore_index=True), k)
+            if best is not None:
+                yield best.drop(columns="first")
+
+        yield entries.select("ids", "vector").mapInPandas(run, "query long, ids array<long>, score double")
+
+
+def _reranked(q: np.ndarray, names: np.ndarray, x: np.ndarray, units: np.ndarray, ids: list, k: int) -> pd.DataFrame:
+    """The k + 1 best of the members ``x`` for each query, by exact score and then smallest id."""
+    found = []
+    first = np.array([i[0] for i in ids])
+    for start in range(0, len(q), 512):
+        some = q[start : start + 512]
+        near = _unit(some) @ units.T
+        place = near.shape[1] - min(k + 1, near.shape[1])
+        least = np.partition(near, place, axis=1)[:, place]
+        row, member = np.nonzero(near >= (least - TOLERANCE)[:, None])
+        a, b = some[row], x[member]
+        score = np.einsum("ij,ij->i", a, b) / np.sqrt(np.einsum("ij,ij->i", a, a) * np.einsum("ij,ij->i", b, b))
+        order = np.lexsort((first[member], -score, row))
+        row, member, score = row[order], member[order], score[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) <= k
+        row, member, score = row[keep], member[keep], score[keep]
+        one = {"query": names[start + row], "ids": [ids[m] for m in member], "score": score, "first": first[member]}
+        found.append(pd.DataFrame(one))
+    return pd.concat(found, ignore_index=True)
+
+
+def _pruned(rows: pd.DataFrame, k: int) -> pd.DataFrame:
+    rows = rows.drop_duplicates(["query", "first"])
+    rows = rows.sort_values(["query", "score", "first"], ascending=[True, False, True])
+    return rows.groupby("query", sort=False).head(k + 1)
+
+
 def _scored(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
     """Scores of one partition's buckets; at most k + 1 entries for each query (and flush) leave it."""
     members, units, where = None, None, None
@@ -216,9 +284,7 @@ def _scored(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
     held = 0
 
     def pruned() -> pd.DataFrame:
-        rows = pd.concat(best, ignore_index=True).drop_duplicates(["query", "first"])
-        rows = rows.sort_values(["query", "score", "first"], ascending=[True, False, True])
-        return rows.groupby("query", sort=False).head(k + 1)
+        return _pruned(pd.concat(best, ignore_index=True), k)
 
     for batch in batches:
         if not len(batch):
@@ -236,16 +302,9 @@ def _scored(batches: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
             if middle == end or where != place[start]:
                 continue
             q = _matrix(batch["vector"].iloc[middle:end])
-            near = _unit(q) @ units.T
-            top = min(k + 4, near.shape[1])
-            chosen = np.argpartition(-near, top - 1, axis=1)[:, :top]
-            row, member = np.repeat(np.arange(len(q)), top), chosen.ravel()
-            a, b = q[row], members[0][member]
-            score = np.einsum("ij,ij->i", a, b) / np.sqrt(np.einsum("ij,ij->i", a, a) * np.einsum("ij,ij->i", b, b))
-            names = [members[1][m] for m in member]
-            found = {"query": batch["id"].to_numpy()[middle:end][row], "ids": names, "score": score}
-            best.append(pd.DataFrame(found).assign(first=[n[0] for n in names]))
-            held += len(row)
+            found = _reranked(q, batch["id"].to_numpy()[middle:end], members[0], units, members[1], k)
+            best.append(found)
+            held += len(found)
             if held > 400_000:
                 best = [pruned()]
                 held = len(best[0])

@@ -20,7 +20,7 @@ def test_neighbours_of_odd_vectors(spark):
     assert all(math.isclose(r[3], 1.0) for r in got)
     assert neighbours.nearest(df.limit(0)).count() == 0
     lonely = df.where("vec_id in (0, 1)")
-    assert [tuple(r) for r in neighbours.nearest(lonely, every=50).collect()] in ([], [(0, 1, 1, 0.0)])
+    assert [tuple(r) for r in neighbours.nearest(lonely, every=50).collect()] == [(0, 1, 1, 0.0)]
 
 
 def test_recall_against_brute_force(spark, sf_dir):
@@ -42,6 +42,35 @@ def test_recall_against_brute_force(spark, sf_dir):
     assert found / (5 * len(asked)) >= 0.9
 
 
+@pytest.mark.parametrize("passes", [2048, 3])
+def test_clusters_and_outliers_have_whole_results(spark, monkeypatch, passes):
+    """Four tight clusters and 2 % outliers: every query gets five rows, those of the outliers the true ones."""
+    monkeypatch.setattr(neighbours, "EXACT_QUERIES", passes)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(4, 64))
+    x = np.repeat(centres, 490, axis=0) + 0.02 * rng.normal(size=(1960, 64))
+    x = np.concatenate((x, rng.normal(size=(40, 64))))[rng.permutation(2000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(df, every=5).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert set(got) == set(range(0, 2000, 5)) and all(len(v) == 5 for v in got.values())
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T
+    np.fill_diagonal(near, -2)
+    true = np.argsort(-near, axis=1)[:, :5]
+    assert np.mean([len(set(v) & set(true[i].tolist())) for i, v in got.items()]) / 5 >= 0.9
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    """Forty vectors of one direction, each another multiple by a power of two."""
+    base = np.array([0.3, -1.5, 2.25, 0.75])
+    rows = [(i, (base * 2.0 ** (i % 40 - 20)).tolist()) for i in range(100, 140)] + [(50, [1.0, -1.5, 2.25, 0.75]), (7, [-1.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows[::-1], "vec_id long, embedding array<double>")
+    got = [r.vec_id for r in neighbours.nearest(df, every=50).where("query_id = 50").orderBy("rank").collect()]
+    assert got == [100, 101, 102, 103, 104]
+
+
 URLS = [
     "https://EXAMPLE.com/en/1", "http://www.example.com/en/", "http://a.www.example.com/en/x?y", "https://x.net/es/",
     "https://net/fr/", "http://example.com", "http://example.com/EN/", "http://badexample.com/en/", "no scheme", "", None,
