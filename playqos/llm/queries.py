@@ -204,9 +204,16 @@ def _licence_sql() -> str:
         f"({i}, '{name}', {b}, '{bigram}', {times})"
         for i, name, b, bigram, times in licences.template_table(licences.TEMPLATES)
     )
+    places = ", ".join(
+        f"({i}, '{name}', {b}, {j}, '{bigram}', {times})"
+        for i, name, b, j, bigram, times in licences.place_table(licences.TEMPLATES)
+    )
     low, high = t / (2 - t), (2 - t) / t
+    words = """string_split(trim(regexp_replace(regexp_replace(regexp_replace(
+    translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9.]+', ' ', 'g'), '\\.+( |$)', ' ', 'g'), ' +', ' ', 'g')), ' ')"""
     return f"""
-WITH templates(template, licence, b, bigram, times) AS (VALUES {rows}),
+WITH places(template, licence, b, j, bigram, times) AS (VALUES {places}),
+templates(template, licence, b, bigram, times) AS (VALUES {rows}),
 d AS (SELECT doc_id, text, row_number() OVER () AS n FROM documents),
 u AS (SELECT n, 0 AS kind, unnest(string_split(text, chr(10))) AS unit, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS unit_number FROM d
   UNION ALL
@@ -220,8 +227,19 @@ c AS (SELECT n, kind, unit_number, a, template, licence, b, bigram, times, count
   WHERE a >= b * CAST({low!r} AS DOUBLE) AND a <= b * CAST({high!r} AS DOUBLE) GROUP BY ALL),
 s AS (SELECT n, kind, unit_number, licence, CAST(2 AS DOUBLE) * CAST(sum(least(k, times)) AS DOUBLE) / (a + b) AS score
   FROM c GROUP BY n, kind, unit_number, a, template, licence, b),
+x AS (SELECT n, {words.format("text")} AS words FROM d WHERE text IS NOT NULL),
+y AS (SELECT n, len(words) - 1 AS a, unnest(range(0, len(words) - 1)) AS i,
+    unnest(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS bigram FROM x WHERE len(words) > 1),
+h AS (SELECT n, a, i, template, licence, b, j, bigram, times FROM y JOIN places USING (bigram)),
+starts AS (SELECT n, a, template, licence, b, i - j AS start FROM h GROUP BY ALL HAVING count(*) >= 2 AND count(*) * 3 >= b),
+inside AS (SELECT n, a, template, licence, b, start, bigram, times, count(*) AS k FROM starts
+  JOIN (SELECT DISTINCT n, template, i, bigram, times FROM h) USING (n, template) WHERE i >= start AND i < start + b GROUP BY ALL),
+v AS (SELECT n, 2 AS kind, start AS unit_number, licence, CAST(2 AS DOUBLE) * CAST(sum(least(k, times)) AS DOUBLE)
+    / (least(start + b, a) - greatest(start, 0) + b) AS score FROM inside GROUP BY n, a, template, licence, b, start),
+every AS (SELECT * FROM s UNION ALL SELECT * FROM v),
 best AS (SELECT n, licence, score, row_number() OVER (PARTITION BY n ORDER BY score DESC, licence) AS i,
-    count(DISTINCT kind * 1000000000 + unit_number) OVER (PARTITION BY n) AS n_units FROM s WHERE score >= CAST({t!r} AS DOUBLE))
+    coalesce(nullif(count(DISTINCT CASE WHEN kind < 2 THEN kind * 1000000000 + unit_number END) OVER (PARTITION BY n), 0),
+      count(DISTINCT CASE WHEN kind = 2 THEN unit_number END) OVER (PARTITION BY n)) AS n_units FROM every WHERE score >= CAST({t!r} AS DOUBLE))
 SELECT doc_id, licence, coalesce(score, CAST(0 AS DOUBLE)) AS score, coalesce(n_units, 0) AS n_units
 FROM d LEFT JOIN best ON d.n = best.n AND best.i = 1
 """

@@ -311,6 +311,35 @@ def test_licences(odd_docs, no_docs):
     assert licences.scan(no_docs).count() == 0
 
 
+def test_notices_inside_longer_units(spark):
+    apache, gpl = licences.TEMPLATES[1][1], licences.TEMPLATES[6][1]
+    rows = [
+        (1, "This file is part of Foo and was written by its authors. Licensed under the Apache License, Version 2.0."),
+        (2, "word " * 400 + "licensed under the apache license version 2.0 " + "word " * 400),
+        (3, "Foo\n" + apache.replace(". ", ".\n").replace("compliance", "full compliance") + "\nmore of Foo here"),
+        (4, "Apache License notes: the version of the license was not named here, under the tree."),
+        (5, "License, Version 2.0. is the end of a notice that was cut"),
+        (6, ("intro " + gpl + " ") * 30),
+        (7, "under the Apache License, Version 2.0"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.licence, r.n_units) for r in licences.scan(docs).collect()}
+    assert got == {1: ("Apache-2.0", 1), 2: ("Apache-2.0", 1), 3: ("Apache-2.0", got[3][1]), 4: (None, 0), 5: (None, 0),
+                   6: ("GPL-3.0", got[6][1]), 7: ("Apache-2.0", 1)}
+    assert got[6][1] >= 30
+    with_anchor = {r.doc_id for r in licences.possible(docs, licences.TEMPLATES, licences.THRESHOLD).collect()}
+    assert {1, 2, 3, 6, 7} <= with_anchor
+
+
+def test_anchors_cannot_all_be_missing():
+    """Without the anchors, no template keeps as many bigrams as the threshold asks for."""
+    words = set(licences.anchors(licences.TEMPLATES))
+    for _, text in licences.TEMPLATES:
+        pairs = licences.bigrams_of(licences.words_of(text))
+        left = sum(n for pair, n in pairs.items() if not words & set(pair.split(" ")))
+        assert left < pairs.total() * licences.THRESHOLD / (2 - licences.THRESHOLD)
+
+
 # --- the pipeline --------------------------------------------------------------
 
 
