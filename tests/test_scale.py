@@ -134,15 +134,17 @@ def test_a_millisecond_full_of_signals_is_split(spark, monkeypatch, spread):
     with static_plan(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         try:
-            pieces = G._followed(signals, G.SLICE_MS, [])
-            sizes = [r["count"] for r in pieces.groupBy(F.spark_partition_id()).count().collect()]
+            pieces = G._followed(signals, G.SLICE_MS, []).withColumn("at", F.spark_partition_id())
+            # What nothing reads would be left out of the plan.
+            read = [F.max(c) for c in ("stalled", "since", "fromQuality")]
+            sizes = [r["count"] for r in pieces.groupBy("at").agg(F.count("*").alias("count"), *read).collect()]
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(sizes) == ROWS + 600 and len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
     shown = ["sessionId", "timestamp", "seq", "eventType", "durationMs", "fromQuality", "toQuality"]
     got = sorted(map(str, events.select(*shown).collect()))
     monkeypatch.setattr(G, "HOT_ROWS", 1 << 40)
-    assert got == sorted(map(str, G.player_events(signals).select(*shown).collect())) and len(got) > 20_000
+    assert got == sorted(map(str, G.player_events(signals).select(*shown).collect())) and len(got) > 10_000
     starts = G.with_session_start(signals.drop("sessionStartedAt")).groupBy("sessionId").agg(F.count_distinct("sessionStartedAt"))
     assert {r[1] for r in starts.collect()} == {1}
 
