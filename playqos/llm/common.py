@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
@@ -35,11 +37,19 @@ def per_process(key: object, build: Callable[[], object]) -> object:
     return made[key]
 
 
+def give_back() -> None:
+    """Return memory that is free to the system: Python workers are used again for other stages, which would add up."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only the GNU library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``, which bounds what is worked on at once."""
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+    give_back()
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playqos.llm.common import learnable, per_process, slices, texts_of
+from playqos.llm.common import give_back, learnable, per_process, slices, texts_of
 
 SLOTS = 1 << 14
 NGRAMS = (1, 2, 3)
@@ -188,13 +188,15 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         texts = sorted(group["text"])  # the order in which rows arrive must not matter
-        x, sizes = vectors_of(texts, idf)
-        texts, x = [t for t, n in zip(texts, sizes, strict=True) if n], x[sizes > 0]
+        texts = [texts[t] for t in np.random.default_rng(7).permutation(len(texts))]  # neighbours in text go to either half
+        x, sizes = vectors_of(texts, idf)  # a hundred megabytes: copied only where a text has no letter
+        if not sizes.all():
+            texts, x, sizes = [t for t, n in zip(texts, sizes, strict=True) if n], x[sizes > 0], sizes[sizes > 0]
         if not len(x):
             return pd.DataFrame({"lang": [], "least": [], "centroids": []}, dtype=object)
-        turn = np.random.default_rng(7).permutation(len(x))  # likely neighbours in text go to either half
-        texts, x = [texts[t] for t in turn], x[turn]
-        centre, least = _centroids(x), _least(texts, x, sizes[sizes > 0][turn], idf)
+        centre, least = _centroids(x), _least(texts, x, sizes, idf)
+        del x
+        give_back()
         return pd.DataFrame(
             {"lang": [group["lang"].iloc[0]], "least": [least.tolist()], "centroids": [centre.astype("<f4").tobytes()]}
         )
