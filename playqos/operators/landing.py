@@ -50,6 +50,13 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(value)))
 
 
+def part_of() -> Column:
+    """The name of a landed body, `part-` and a UUID made from the body and its time of receipt. A job that runs again gives
+    a body the same name, so the response can tell it before anything is written."""
+    digest = F.md5(F.concat_ws("\n", "body", F.unix_micros("receivedAt").cast("string")))
+    return F.concat(F.lit("part-"), F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-"))
+
+
 def classify(bodies: DataFrame) -> DataFrame:
     """Add `parsed`, `found` and `reason` (null = accepted; the first failing check wins)."""
     configure(bodies.sparkSession)
@@ -82,6 +89,7 @@ def _accepted(judged: DataFrame) -> DataFrame:
         F.date_format("receivedAt", ISO_INSTANT).alias("serverReceivedAt"),
         F.date_format("receivedAt", "yyyy-MM-dd").alias("eventDate"),
         F.lit(SCHEMA_VERSION).alias("schemaVersion"),
+        part_of().alias("part"),
     )
 
 
@@ -94,7 +102,8 @@ def _rejected(judged: DataFrame) -> DataFrame:
 
 
 def responses(bodies: DataFrame) -> DataFrame:
-    """What each sender is told: status, message and the number of events taken."""
+    """What each sender is told: status, message, the number of events taken and where they land: the day's folder and the
+    `part` of the landed batch."""
     ok = F.col("reason").isNull()
     day = F.date_format("receivedAt", "yyyy-MM-dd")
     return classify(bodies).select(
@@ -102,7 +111,7 @@ def responses(bodies: DataFrame) -> DataFrame:
         F.when(ok, 200).otherwise(400).alias("status"),
         F.when(ok, "OK").otherwise(F.col("reason")).alias("message"),
         F.when(ok, F.size("found.events")).alias("received"),
-        F.when(ok, F.concat(F.lit("eventDate="), day)).alias("path"),
+        F.when(ok, F.concat(F.lit("raw/eventDate="), day, F.lit("/"), part_of(), F.lit(".json"))).alias("path"),
     )
 
 

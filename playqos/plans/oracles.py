@@ -164,6 +164,8 @@ _RAW_DAY = f"""WITH {FLAT}, {DOUBLED} SELECT customerId, clientId, serverTs,
 
 # --- one statement per registered query -------------------------------------
 
+_PART = """('part-' || regexp_replace(md5(body || chr(10) || CAST(receivedAt AS VARCHAR)), '^(.{8})(.{4})(.{4})(.{4})', '\\1-\\2-\\3-\\4-'))"""
+
 ORACLES: dict[str, str] = {
     "telemetry_flat": f"""WITH {FLAT}, {DOUBLED} SELECT customerId, contentId, clientId, serverTs, serverTs - 250 AS agentTs,
       CAST(CASE WHEN event_id % 17 = 0 THEN NULL ELSE bufferings END AS INT) AS bufferings,
@@ -287,11 +289,11 @@ ORACLES: dict[str, str] = {
     "session_starts": f"""WITH {SIGNALS} SELECT seq, ts - min(ts) OVER (PARTITION BY sessionId) AS sessionDurationMs
       FROM signals""",
     "landing_accepted": f"""WITH {BODIES} SELECT clientId, contentId, customerId, eventCount AS batchSize, ms AS clientSentAt,
-      {_ISO} AS serverReceivedAt, {_DAY} AS eventDate, '1.0' AS schemaVersion FROM judged WHERE reason IS NULL""",
+      {_ISO} AS serverReceivedAt, {_DAY} AS eventDate, '1.0' AS schemaVersion, {_PART} AS part FROM judged WHERE reason IS NULL""",
     "landing_rejected": f"WITH {BODIES} SELECT body, receivedAt, reason FROM judged WHERE reason IS NOT NULL",
     "landing_responses": f"""WITH {BODIES} SELECT event_id, receivedAt, CASE WHEN reason IS NULL THEN 200 ELSE 400 END AS status,
       coalesce(reason, 'OK') AS message, CASE WHEN reason IS NULL THEN eventCount END AS received,
-      CASE WHEN reason IS NULL THEN 'eventDate=' || {_DAY} END AS path FROM judged""",
+      CASE WHEN reason IS NULL THEN 'raw/eventDate=' || {_DAY} || '/' || {_PART} || '.json' END AS path FROM judged""",
     "landed_events": f"""WITH {BODIES} SELECT clientId, eventCount AS batchSize, ms AS clientSentAt, {_ISO} AS serverReceivedAt,
       {_DAY} AS eventDate, 'buffering_end' AS eventType, ms + i AS "timestamp", k * i AS durationMs
       FROM (SELECT *, unnest(range(1, eventCount + 1)) AS i FROM judged WHERE reason IS NULL)""",

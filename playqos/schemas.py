@@ -151,4 +151,5 @@ LANDED_BATCH = _struct(
     serverReceivedAt=STRING,
     eventDate=STRING,
     schemaVersion=STRING,
+    part=STRING,
 )

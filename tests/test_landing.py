@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import re
 
 import pytest
 
@@ -52,10 +53,14 @@ def test_verdicts(spark, body, verdict):
 
 def test_enrichment(spark):
     body = '{%s,"events":[{"x":1},{"x":2}],"batchSize":99,"sentAt":42}' % IDS
-    row = L.accepted(bodies(spark, body)).drop("events").first()
+    accepted = L.accepted(bodies(spark, body))
+    row = accepted.drop("events", "part").first()
     assert tuple(row) == ("c", "m", "k", 2, 42, "2025-11-13T23:59:59.999Z", "2025-11-13", "1.0")
     told = L.responses(bodies(spark, body, "{bad")).select("status", "message", "received").collect()
     assert [tuple(r) for r in told] == [(200, "OK", 2), (400, L.INVALID_JSON, None)]
+    part = accepted.first().part
+    assert re.fullmatch("part-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", part)
+    assert L.responses(bodies(spark, body)).first().path == f"raw/eventDate=2025-11-13/{part}.json"
 
 
 def test_of_a_repeated_key_the_last_counts(spark):
@@ -72,6 +77,7 @@ def test_landing_keeps_unknown_fields_and_is_one_object_per_line(spark, tmp_path
     assert len(lines) == 1
     assert json.loads(lines[0])["events"] == [{"eventType": "buffering_start", "timestamp": 5, "novel": {"deep": [1]}}]
     batch = sources.landed_batches(spark, paths.landed_batches).first()
+    assert batch.part == L.accepted(bodies(spark, body)).first().part
     assert (batch.events[0].eventType, batch.events[0].timestamp, batch.eventDate) == ("buffering_start", 5, "2025-11-13")
     assert spark.read.parquet(paths.rejected_batches).first().reason == L.INVALID_JSON
 
