@@ -97,7 +97,7 @@ def look(
         seen = known.where(F.col("folder").isin(folders)).select("path")
         new = files.join(seen, "path", "left_anti")
         if inspect:
-            new = new.join(F.broadcast(_reasons(new, inspect)), "path", "left")
+            new = new.join(_reasons(new, inspect), "path", "left")
         else:
             new = new.withColumn("reason", F.lit(None).cast("string"))
         # Partitioned writing leaves no file where nothing is new.

@@ -51,9 +51,19 @@ def _folder(root: str, part: Part) -> str:
     return f"{root}/{PARTITION}={day.isoformat() if day else NO_DAY}/{BUCKET}={bucket}"
 
 
+def _there(spark: SparkSession, root: str, parts: list[Part]) -> list[Part]:
+    """Those of the parts that have a folder; one listing for a day."""
+    listed = set()
+    for day in {day for day, _ in parts}:
+        folder = _folder(root, (day, 0)).rsplit("/", 1)[0]
+        if exists(spark, folder):
+            listed |= {(day, name) for name in children(spark, folder)[0]}
+    return [(day, bucket) for day, bucket in parts if (day, f"{BUCKET}={bucket}") in listed]
+
+
 def stored_parts(spark: SparkSession, table: str, schema: T.StructType, parts: list[Part]) -> DataFrame:
     """The stored rows of some parts; only their folders are listed."""
-    folders = [f for f in (_folder(table, p) for p in parts) if exists(spark, f)]
+    folders = [_folder(table, part) for part in _there(spark, table, parts)]
     if not folders:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", table).parquet(*folders).select(*schema.fieldNames())
@@ -84,7 +94,8 @@ def stage(content: DataFrame, table: str, token: str, parts: list[Part], keys: l
     remove(spark, staging_of(table))  # of the batch before, which is published
     filed = content.withColumn(BUCKET, bucket_of(*keys)).hint("rebalance", PARTITION, BUCKET)
     filed.write.mode("overwrite").partitionBy(PARTITION, BUCKET).parquet(rows)
-    entries = [(*part, exists(spark, _folder(rows, part))) for part in parts]
+    full = set(_there(spark, rows, parts))
+    entries = [(*part, part in full) for part in parts]
     # The success marker is part of the protocol here, so do not leave it to the cluster's defaults.
     marked = spark.createDataFrame(entries, PART).coalesce(1).write.mode("overwrite")
     marked.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(_list_at(table, token))
