@@ -243,10 +243,14 @@ def event_batches(events: DataFrame, interval_ms: int = FLUSH_INTERVAL_MS) -> Da
     Intervals without events give no batch. The wire format has one envelope for an interval, so this
     row is as large as the interval is busy; for counts use `batch_headers`, for events `ticked`.
     """
+    return batched(ticked(events, interval_ms), interval_ms)
+
+
+def batched(events: DataFrame, interval_ms: int, *more_keys: str) -> DataFrame:
+    """The wire batches of ticked events; ``more_keys`` are further columns that all events of a batch share."""
     event = F.struct(*PLAYER_EVENT.fieldNames()).alias("event")
     return (
-        ticked(events, interval_ms)
-        .groupBy(*_BATCH)
+        events.groupBy(*_BATCH, *more_keys)
         .agg(F.sort_array(F.collect_list(F.struct("timestamp", "seq", event))).alias("ordered"))
         .select(
             "sessionId",

@@ -92,6 +92,11 @@ class LakePaths:
         """There if a batch was ever stored in replace mode, after which stored totals cannot be added to."""
         return self._at(self.generation, "silver", "replaced")
 
+    @property
+    def event_batches(self) -> str:
+        """Wire batches that have left the stream of events."""
+        return self._at(self.generation, "silver", "event_batches")
+
     @property
     def moments(self) -> str:
         """Which days hold reports of which server days."""

@@ -312,6 +312,7 @@ for _chart, _on, _healthy in [
 ORACLES["player_events_two_runs"] = f"""WITH {SIGNALS}, {STALLS}, {SWITCHES}, {EVENTS}
   SELECT * REPLACE (CASE WHEN seq % 2 = 0 THEN sessionStartedAt END AS sessionStartedAt,
     CASE WHEN seq % 2 = 0 THEN sessionDurationMs END AS sessionDurationMs) FROM player_events"""
+ORACLES["event_batches_stream"] = ORACLES["event_batches"]
 ORACLES["stalls_two_runs"] = ORACLES["stalls"]
 ORACLES["full_refresh"] = ORACLES["stream_recompute_buffering"]
 ORACLES["landed_to_metrics"] = f"""WITH {SIGNALS}, {STALLS}, {SWITCHES}, {EVENTS}

@@ -35,6 +35,7 @@ from playqos.session import configure, scratch_dir
 from playqos.sources import arrivals, derived, evolution
 from playqos.sources import reports as sources
 from playqos.streaming import bronze
+from playqos.streaming.batches import write_batches, written_batches
 from playqos.streaming.events import signals_to_events
 from playqos.streaming.ingest import finish, ingest_json, ingest_parquet
 from playqos.streaming.silver import bronze_to_silver
@@ -618,6 +619,27 @@ def event_batches(spark, sf_dir):
     ).drop("events")
 
 
+@registered
+def event_batches_stream(spark, sf_dir):
+    """The same batches from a stream of events: two arrivals, one after the other in time, then one event far later, which
+    tells the stream that all batches before it are complete."""
+    paths = _lake(spark, "event-batches")
+    arriving = paths.raw_signals + "_events"
+    events = G.player_events(_signals(spark, sf_dir))
+    middle = events.agg(F.percentile_approx("sessionStartedAt", 0.5)).first()[0]
+    later = events.limit(1).withColumns({c: F.col(c) + 10 * 365 * 86_400_000 for c in ("sessionStartedAt", "timestamp")})
+    whole = F.col("sessionStartedAt") < middle
+    for part in (events.where(whole), events.where(~whole), later):
+        part.write.mode("append").parquet(arriving)
+        finish(write_batches(spark, arriving, paths))
+    return written_batches(spark, paths).withColumns(
+        {
+            "eventTypes": F.array_join("events.eventType", ","),
+            "timestamps": F.array_join(F.col("events.timestamp").cast("array<string>"), ","),
+        }
+    ).drop("events")
+
+
 @registered
 def batch_headers(spark, sf_dir):
     return G.batch_headers(G.player_events(_signals(spark, sf_dir)))

@@ -8,7 +8,9 @@ from playqos.operators import signals as G
 from playqos.paths import LakePaths
 from playqos.schemas import SESSION_EVENT
 from playqos.sources.reports import silver
+from playqos.streaming.batches import late_events, write_batches, written_batches
 from playqos.streaming.events import write_batch
+from playqos.streaming.ingest import finish
 
 SCHEMA = (
     "sessionId string, clientId string, contentId string, customerId string, ts bigint, seq bigint, "
@@ -147,3 +149,31 @@ def test_signals_without_a_start_belong_to_their_session(spark, tmp_path):
     # One folder for a day, however many batches came.
     days = {name for name in os.listdir(paths.signals) if name.startswith("eventDate")}
     assert len(days) == 4
+
+
+def test_batches_leave_a_stream_once_and_late_events_are_counted(spark, tmp_path):
+    paths = LakePaths(str(tmp_path / "lake"))
+    rows = [("s", k * 4_000, "level_switched", 100 + k) for k in range(12)] + [("t", k * 9_000, "waiting", 0) for k in range(3)]
+    events = G.player_events(frame(spark, rows))
+    arriving = str(tmp_path / "events")
+
+    def arrive(some):
+        some.coalesce(1).write.mode("append").parquet(arriving)
+        return finish(write_batches(spark, arriving, paths, "15 seconds"), 120)
+
+    def sent():
+        return sorted((r.sessionId, r.tick, r.batchSize, [e.timestamp for e in r.events]) for r in written_batches(spark, paths).collect())
+
+    whole = sorted((r.sessionId, r.tick, r.batchSize, [e.timestamp for e in r.events]) for r in G.event_batches(events).collect())
+    assert sent() == []
+    late = F.col("timestamp") == 4_000
+    arrive(events.where(F.col("timestamp") < 25_000).where(~late))
+    first = sent()
+    assert first and len(first) < len(whole)
+    assert late_events(arrive(events.where(F.col("timestamp") >= 25_000))) == 0
+    assert late_events(arrive(events.where(late))) == 1  # its batch, the first of the session, has left
+    far = events.limit(1).withColumns({c: F.col(c) + 10**9 for c in ("timestamp", "sessionStartedAt")})
+    arrive(far)
+    arrive(far.limit(0))
+    want = [(s, t, n - 1, [x for x in ts if x != 4_000]) if (s, t) == ("s", 0) else (s, t, n, ts) for s, t, n, ts in whole]
+    assert sent() == want
