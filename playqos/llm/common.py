@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
@@ -44,6 +45,13 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def forget() -> None:
+    """Drop what `per_process` keeps, and give its memory back: for steps that need much of their own."""
+    vars(sys.modules.get("_playqos_worker_state", types)).get("made", {}).clear()
+    gc.collect()
+    give_back()
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``, which bounds what is worked on at once."""
     for batch in batches:

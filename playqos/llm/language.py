@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playqos.llm.common import give_back, learnable, per_process, slices, texts_of
+from playqos.llm.common import forget, give_back, learnable, per_process, slices, texts_of
 
 SLOTS = 1 << 14
 NGRAMS = (1, 2, 3)
@@ -100,6 +100,7 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
                     seen[:SLOTS] += counts > 0
                     seen[SLOTS] += 1
         slot = np.flatnonzero(seen)
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(seen[slot])], ["slot", "n"])
 
     found = np.zeros(SLOTS + 1)
@@ -187,6 +188,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = rows.join(F.broadcast(per_language), "lang").where(lot < share).select("lang", "text").distinct()
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
+        forget()  # a worker that has encoded texts before holds their words
         texts = sorted(group["text"])  # the order in which rows arrive must not matter
         texts = [texts[t] for t in np.random.default_rng(7).permutation(len(texts))]  # neighbours in text go to either half
         x, sizes = vectors_of(texts, idf)  # a hundred megabytes: copied only where a text has no letter
