@@ -17,6 +17,8 @@ class LakePaths:
 
     root: str
     generation: str = "g0"
+    #: Hash buckets of a day in the silver tables, fixed for the life of a generation: about a day's bytes by 1 GB.
+    buckets: int = 4
 
     def _at(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])

@@ -2,7 +2,7 @@
 
 A file stream remembers every file it has ever seen in a map on the driver, and must forget old ones by age to
 keep it small, which would lose backfills with old times. Here the memory is a table, the ledger: one row for each file,
-partitioned by the folder of the raw zone (one for a calendar day) it lies in. A look goes through the folders,
+with the folder of the raw zone (one for a calendar day) it lies in, partitioned by the beginning of the folder's name (a month). A look goes through the folders,
 `FOLDERS_AT_ONCE` at a time; the driver never holds more than the listing of these, and a file counts as new by
 its path alone, whatever its age.
 
@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from playqos.paths import LakePaths, children, ensure_dir, qualified
 
 FILE = "path string, length long, modificationTime timestamp, folder string"
-ENTRY = "path string, length long, modificationTime timestamp, reason string, folder string"
+ENTRY = "path string, length long, modificationTime timestamp, reason string, folder string, shelf string"
+#: So many letters of a folder's name are its shelf: `eventDate=YYYY-MM`.
+SHELF = 17
 FOLDERS_AT_ONCE = 32
 FILES_AT_ONCE = 10_000
 #: The folder of files that lie in none.
@@ -94,15 +96,16 @@ def look(
     """Enter the raw zone's new files of the stream's format in its ledger."""
     known = ledger(spark, paths, stream)
     for folders, files in _listings(spark, ensure_dir(spark, paths.raw), stream, folders_at_once):
-        seen = known.where(F.col("folder").isin(folders)).select("path")
+        seen = known.where(F.col("shelf").isin(sorted({f[:SHELF] for f in folders}))).select("path")
         new = files.join(seen, "path", "left_anti")
         if inspect:
             new = new.join(_reasons(new, inspect), "path", "left")
         else:
             new = new.withColumn("reason", F.lit(None).cast("string"))
         # Partitioned writing leaves no file where nothing is new.
-        writer = new.repartition("folder").sortWithinPartitions("folder", "path").write.mode("append")
-        writer.option("maxRecordsPerFile", max_files or FILES_AT_ONCE).partitionBy("folder").parquet(paths.arrivals(stream))
+        new = new.withColumn("shelf", F.substring("folder", 1, SHELF))
+        writer = new.repartition("shelf").sortWithinPartitions("shelf", "folder", "path").write.mode("append")
+        writer.option("maxRecordsPerFile", max_files or FILES_AT_ONCE).partitionBy("shelf").parquet(paths.arrivals(stream))
 
 
 def arriving(spark: SparkSession, paths: LakePaths, stream: str, max_files: int | None = None) -> DataFrame:

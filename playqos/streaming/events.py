@@ -22,7 +22,7 @@ from playqos.schemas import SESSION_EVENT, SIGNAL, STORED_SIGNAL
 from playqos.session import rows_of_keys
 from playqos.sources import reports as sources
 from playqos.streaming import moments
-from playqos.streaming.publish import parts_of, store, stored_parts
+from playqos.streaming.publish import bucket_of, parts_of, store, stored_parts
 
 SESSION_DAYS = "sessionId string, eventDate date"
 
@@ -55,17 +55,18 @@ def write_batch(batch: DataFrame, batch_id: int, paths: LakePaths) -> None:
     healthy = G.healthy_signals(batch).select(*SIGNAL.fieldNames())
     new = healthy.withColumns({"eventDate": _day("ts"), "batch": F.lit(token)}).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        parts = parts_of(new, "sessionId")
+        bucket = bucket_of(["sessionId"], paths.buckets)
+        parts = parts_of(new, ["sessionId"], paths.buckets)
         if not parts:
             return
 
         def kept(current: DataFrame | None) -> DataFrame:
             return new if current is None else current.where(F.col("batch") != token).unionByName(new)
 
-        store(kept, spark, paths.signals, STORED_SIGNAL, token, parts, ["sessionId"])
+        store(kept, spark, paths.signals, STORED_SIGNAL, token, parts, bucket)
         sessions = new.select("sessionId").distinct()
         index = _remember_days(spark, paths.session_days, new)
-        parts = parts_of(rows_of_keys(index, sessions, spread=["eventDate"]), "sessionId")
+        parts = parts_of(rows_of_keys(index, sessions, spread=["eventDate"]), ["sessionId"], paths.buckets)
         stored = stored_parts(spark, paths.signals, STORED_SIGNAL, parts)
         mine = rows_of_keys(stored, sessions, spread=["ts", "seq"])
         made = G.player_events(mine).withColumn("eventDate", _day("timestamp")).select(*SESSION_EVENT.fieldNames())
@@ -73,7 +74,7 @@ def write_batch(batch: DataFrame, batch_id: int, paths: LakePaths) -> None:
         def content(current: DataFrame | None) -> DataFrame:
             return made if current is None else replace_viewers(current, made, sessions)
 
-        store(content, spark, paths.events, SESSION_EVENT, token, parts, ["sessionId"])
+        store(content, spark, paths.events, SESSION_EVENT, token, parts, bucket)
     finally:
         new.unpersist()
 

@@ -1,6 +1,6 @@
 """Storing new content of some parts of a silver table, safe to repeat.
 
-A part is a date and one of `BUCKETS` hash buckets, so one late report rewrites one bucket of its day. A plain Parquet table
+A part is a date and one of the lake's hash buckets, so one late report rewrites one bucket of its day. A plain Parquet table
 has no MERGE: the new content of the affected parts is written in full next to the table, once, and then swapped in
 folder by folder. Lost executors cost task retries (the source is never deleted while it is read), and a driver that
 dies half-way replays the batch: the token tells that the copy is complete, and the list of parts beside it which
@@ -11,6 +11,7 @@ the same way.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +21,8 @@ from playqos.paths import children, exists, move, remove
 from playqos.sources.reports import silver
 
 PARTITION, BUCKET = "eventDate", "bucket"
-#: Fixed for the life of a table.
-BUCKETS = 16
+#: Folders that are swapped at a time.
+SWAPS = 8
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 PART = f"{PARTITION} date, {BUCKET} int, hasRows boolean"
 
@@ -29,8 +30,8 @@ PART = f"{PARTITION} date, {BUCKET} int, hasRows boolean"
 Part = tuple
 
 
-def bucket_of(*keys: str) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
 def on_days(df: DataFrame, days: list) -> DataFrame:
@@ -40,9 +41,9 @@ def on_days(df: DataFrame, days: list) -> DataFrame:
     return df.where(wanted | F.col(PARTITION).isNull() if len(known) < len(days) else wanted)
 
 
-def parts_of(rows: DataFrame, *keys: str) -> list[Part]:
-    """The parts that hold some rows: at most `BUCKETS` for a calendar day."""
-    found = rows.select(PARTITION, bucket_of(*keys).alias(BUCKET)).distinct().collect()
+def parts_of(rows: DataFrame, keys: list[str], buckets: int) -> list[Part]:
+    """The parts that hold some rows: at most ``buckets`` for a calendar day."""
+    found = rows.select(PARTITION, bucket_of(keys, buckets).alias(BUCKET)).distinct().collect()
     return sorted(((d, b) for d, b in found), key=lambda p: (p[0] is None, str(p[0]), p[1]))
 
 
@@ -85,14 +86,14 @@ def is_staged(spark: SparkSession, table: str, token: str) -> bool:
     return exists(spark, f"{_list_at(table, token)}/_SUCCESS")
 
 
-def stage(content: DataFrame, table: str, token: str, parts: list[Part], keys: list[str]) -> None:
+def stage(content: DataFrame, table: str, token: str, parts: list[Part], bucket: Column) -> None:
     """Write the new parts aside, then the list of ``parts`` (those that are replaced), which tells the empty ones.
 
     Rebalancing splits a heavy part into several files.
     """
     spark, rows = content.sparkSession, _rows_at(table, token)
     remove(spark, staging_of(table))  # of the batch before, which is published
-    filed = content.withColumn(BUCKET, bucket_of(*keys)).hint("rebalance", PARTITION, BUCKET)
+    filed = content.withColumn(BUCKET, bucket).hint("rebalance", PARTITION, BUCKET)
     filed.write.mode("overwrite").partitionBy(PARTITION, BUCKET).parquet(rows)
     full = set(_there(spark, rows, parts))
     entries = [(*part, part in full) for part in parts]
@@ -112,9 +113,14 @@ def swap(spark: SparkSession, staged: str, stored: str, has_rows: bool) -> None:
 
 def publish(spark: SparkSession, table: str, schema: T.StructType, token: str) -> None:
     """Swap in exactly the staged parts."""
-    for day, bucket, has_rows in spark.read.schema(PART).parquet(_list_at(table, token)).collect():
-        part = (day, bucket)
-        swap(spark, _folder(_rows_at(table, token), part), _folder(table, part), has_rows)
+    entries = spark.read.schema(PART).parquet(_list_at(table, token)).collect()
+
+    def one(entry: tuple) -> None:
+        day, bucket, has_rows = entry
+        swap(spark, _folder(_rows_at(table, token), (day, bucket)), _folder(table, (day, bucket)), has_rows)
+
+    with ThreadPoolExecutor(SWAPS) as pool:
+        list(pool.map(one, entries))
 
 
 def store(
@@ -124,14 +130,14 @@ def store(
     schema: T.StructType,
     token: str,
     parts: list[Part],
-    keys: list[str],
+    bucket: Column,
 ) -> None:
-    """Stage and publish ``content_of(current rows of the parts)``; that is None while there is no table. ``keys`` give a
+    """Stage and publish ``content_of(current rows of the parts)``; that is None while there is no table. ``bucket`` is a
     row's bucket.
 
     ``content_of`` is not called when this token has been staged already.
     """
     if not is_staged(spark, table, token):
         current = stored_parts(spark, table, schema, parts) if exists(spark, table) else None
-        stage(content_of(current), table, token, parts, keys)
+        stage(content_of(current), table, token, parts, bucket)
     publish(spark, table, schema, token)

@@ -60,12 +60,12 @@ class Touched:
     parts: list
 
 
-def touched_by(batch_reports: DataFrame) -> Touched:
+def touched_by(batch_reports: DataFrame, buckets: int) -> Touched:
     """One job over the batch, which also fills its cache."""
     rows, server_days, parts = batch_reports.agg(
         F.count("*"),
         F.collect_set(moments.server_day("serverTs")),
-        F.collect_set(F.struct("eventDate", bucket_of(*VIEWER).alias("bucket"))),
+        F.collect_set(F.struct("eventDate", bucket_of(VIEWER, buckets).alias("bucket"))),
     ).first()
     days = {day for day, _ in parts}
     return Touched(rows, sorted(days - {None}) + [None] * (None in days), server_days, [tuple(p) for p in parts])
@@ -147,9 +147,9 @@ def _taken(spark: SparkSession, paths: LakePaths, entries: list | None, token: s
 Table = tuple  # folder, schema, function from the stored rows of the touched parts to their new rows
 
 
-def _upsert(spark: SparkSession, parts: list, token: str, tables: list[Table]) -> None:
+def _upsert(spark: SparkSession, parts: list, token: str, tables: list[Table], buckets: int) -> None:
     def upsert(table: str, schema: T.StructType, content: Callable[[DataFrame | None], DataFrame]) -> None:
-        store(content, spark, table, schema, token, parts, VIEWER)
+        store(content, spark, table, schema, token, parts, bucket_of(VIEWER, buckets))
 
     # The tables are independent, so the jobs of both share the cluster.
     with ThreadPoolExecutor(len(tables)) as pool:
@@ -201,7 +201,7 @@ def write_batch(
     reports = R.distinct_reports(batch).persist(StorageLevel.MEMORY_AND_DISK)
     kept = [reports]
     try:
-        touched = touched_by(reports)
+        touched = touched_by(reports, paths.buckets)
         rows_on = _taken(spark, paths, entries, token)
         if not touched.rows:
             return
@@ -227,11 +227,11 @@ def write_batch(
                 theirs = rows_of_keys(reports, copied, spread=["serverTs"]).persist(StorageLevel.MEMORY_AND_DISK)
                 kept.append(theirs)
                 scope = affected_scope(
-                    lambda days: rows_on(days, schema), theirs, touched_by(theirs), pairs, copied, lookback_days
+                    lambda days: rows_on(days, schema), theirs, touched_by(theirs, paths.buckets), pairs, copied, lookback_days
                 )
                 source = scope.reports.persist(StorageLevel.MEMORY_AND_DISK)
                 kept.append(source)
-                buckets = [row[0] for row in copied.select(bucket_of(*VIEWER)).distinct().collect()]
+                buckets = [row[0] for row in copied.select(bucket_of(VIEWER, paths.buckets)).distinct().collect()]
                 parts = sorted({*parts, *((day, b) for day in scope.days for b in buckets)})
                 fresh = reports.join(copied, VIEWER, "left_anti")
                 again = scope.days, source
@@ -243,7 +243,7 @@ def write_batch(
                 )
             )
         tables = [(paths.buffering, BUFFERING_METRICS, contents[0]), (paths.quality, QUALITY_METRICS, contents[1])]
-        _upsert(spark, parts, token, tables)
+        _upsert(spark, parts, token, tables, paths.buckets)
     finally:
         for frame in kept:
             frame.unpersist()

@@ -174,7 +174,7 @@ def test_days_prune_partitions(spark, lake):
 def scope_of(spark, bronze, batch):
     batch = batch.persist()
     pairs = moments.remember(spark, f"{scratch_dir(spark, 'moments')}/pairs", batch, lambda: bronze)
-    return affected_scope(lambda days: bronze, batch, touched_by(batch), pairs, batch.select(*VIEWER).distinct())
+    return affected_scope(lambda days: bronze, batch, touched_by(batch, 4), pairs, batch.select(*VIEWER).distinct())
 
 
 def test_recompute_reads_one_day_and_its_time_range(spark, lake):
