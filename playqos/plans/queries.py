@@ -276,7 +276,8 @@ def upsert_replace_strict(spark, sf_dir):
 
 
 def _lake(spark: SparkSession, purpose: str) -> LakePaths:
-    return LakePaths(scratch_dir(spark, purpose))
+    # A day of the given tables is far below a bucket's size, see `LakePaths.buckets`.
+    return LakePaths(scratch_dir(spark, purpose), buckets=1)
 
 
 def _write_raw(df: DataFrame, paths: LakePaths, kind: str) -> None:
