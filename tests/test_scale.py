@@ -261,3 +261,23 @@ def test_limited_chart_does_not_sort_everything(spark):
 def test_scratch_is_new_and_below_the_shared_folder(spark):
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_only_busy_keys_of_a_large_key_set_are_repeated(spark, monkeypatch):
+    """900 ordinary sessions and a busy one: what is shuffled of the keys grows with the keys, not 64 times as fast."""
+    monkeypatch.setattr("playqos.session.is_small", lambda keys: False)
+    rows = spark.range(0, ROWS, numPartitions=8).selectExpr(
+        "IF(id % 2 = 0, 'busy', IF(id % 101 = 0, NULL, concat('s', id % 900))) AS sessionId", "id AS seq"
+    )
+    for some, busy in ((rows, True), (rows.where("sessionId <> 'busy' OR seq < 100"), False)):
+        keys = some.where("sessionId <> 's7'").select("sessionId").distinct()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            with static_plan(spark):
+                mine = rows_of_keys(some, keys, spread=["seq"])
+                got = mine.agg(F.count("*"), F.sum("seq")).first()
+                moved = shuffled_rows(mine)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert got == some.where("sessionId <> 's7'").agg(F.count("*"), F.sum("seq")).first()
+        assert mine.columns == some.columns and max(moved) <= some.count()
