@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from playqos.llm.common import per_process, slices, texts_of
 
 ROW = 2048
-#: Tokens of a group, and words kept with their ids in each worker process.
-GROUP, CACHED_WORDS = 4_000_000, 400_000
+#: Tokens of a group, and the longest text (in code points) that is encoded in one go.
+GROUP, WHOLE = 4_000_000, 200_000
 
 
 def default_vocabulary() -> str:
@@ -38,7 +38,8 @@ def default_vocabulary() -> str:
 
 
 class Encoder:
-    """Byte-level BPE of a rank file. A word's ids do not depend on its neighbours, so words are encoded once."""
+    """Byte-level BPE of a rank file. Texts are encoded whole; very long ones word by word, as the library's own search
+    for words gives up on endless white space."""
 
     def __init__(self, path: str):
         import public_tokenizers
@@ -54,17 +55,14 @@ class Encoder:
         self.one = tiktoken.Encoding(
             "given", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
-        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        known = self.known
-        cut = [self.find_words(t) for t in texts]
-        for word in [w for w in set().union(*cut) if w not in known]:
-            known[word] = np.array(self.one(word), "<u2").tobytes()
-        found = [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u2") for words in cut]
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        return found
+        return [np.array(self._ids(text), "<u2") for text in texts]
+
+    def _ids(self, text: str) -> list[int]:
+        if len(text) <= WHOLE:
+            return self.one(text)
+        return [i for word in self.find_words(text) for i in self.one(word)]
 
 
 class Rooms:

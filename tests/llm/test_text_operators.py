@@ -280,6 +280,18 @@ def test_packing_loses_nothing(odd_docs, no_docs):
     assert packing.pack(no_docs, path).count() == 0
 
 
+def test_packing_encodes_whole_texts_as_their_words(monkeypatch):
+    """A text is one call of the library, a very long one a call for each word; the ids are the same."""
+    encoder = packing.Encoder(packing.default_vocabulary())
+    texts = ["It's  two\n \n words", "", " \t", "é\u0301 👍🏽 12３ \x1c\x85\u3000a", "x" * 5000 + " " * 5000]
+    calls, one = [], encoder.one
+    monkeypatch.setattr(encoder, "one", lambda text: calls.append(text) or one(text))
+    whole = [ids.tolist() for ids in encoder.encode(texts)]
+    assert calls == texts and all(len(ids) > 0 for ids, text in zip(whole, texts) if text)
+    monkeypatch.setattr(packing, "WHOLE", 0)
+    assert [ids.tolist() for ids in encoder.encode(texts)] == whole and len(calls) > 2 * len(texts)
+
+
 def test_best_fit_decreasing_equals_a_plain_search():
     rng = np.random.default_rng(1)
     for _ in range(20):
