@@ -44,6 +44,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 INGEST_DAY = "2024-02-01"
+#: Partitions for rows that are dealt out by calendar day.
+DAYS_APART = 256
 REPORT_COLUMNS = [*REPORT.fieldNames(), "eventDate"]
 
 
@@ -436,7 +438,8 @@ def schema_conflict_set_aside(spark, sf_dir):
     reports = _telemetry(spark, sf_dir)
     _write_raw(reports.where("event_id % 3 <> 0"), paths, "parquet")
     wrong = reports.where("event_id % 3 = 0").withColumn("contentId", F.lit(7))
-    wrong = wrong.select(*REPORT_COLUMNS).repartition(1, "eventDate").sortWithinPartitions("eventDate")
+    # A day is written by one task; so many partitions that a task seldom has several.
+    wrong = wrong.select(*REPORT_COLUMNS).repartition(DAYS_APART, "eventDate").sortWithinPartitions("eventDate")
     wrong.write.mode("append").partitionBy("eventDate").parquet(paths.raw)
     _ingest(spark, paths, "parquet")
     rows = bronze.table(spark, paths).select(F.lit("row").alias("kind"), "eventDate")

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import os
+import re
 import time
 
 import pytest
@@ -10,6 +11,7 @@ from helpers import DAY, bronze, bronze_row, by
 from pyspark.sql import functions as F
 
 from playqos.paths import LakePaths
+from playqos.plans import queries
 from playqos.schemas import REPORT
 from playqos.sources import arrivals, evolution
 from playqos.streaming import bronze as B
@@ -181,3 +183,14 @@ def test_silver_takes_commits_one_by_one_or_together(spark, tmp_path):
         finish(bronze_to_silver(spark, paths, max_batches=max_batches), 120)
         results.append(by(spark.read.parquet(paths.buffering), "clientId", "totalBufferings", "snapshotCount"))
     assert results == [[("c1", 3, 3)]] * 2
+
+
+def test_the_files_that_do_not_fit_are_written_by_many_tasks(spark, paths, sf_dir, monkeypatch):
+    """A file for each day as before, but no task sorts the reports of all days."""
+    monkeypatch.setattr(queries, "_lake", lambda spark, purpose: paths)
+    queries.QUERIES["schema_conflict_set_aside"](spark, sf_dir)
+    aside = arrivals.set_aside(spark, paths)
+    per_folder = {r["folder"]: r["count"] for r in aside.groupBy("folder").count().collect()}
+    tasks = {re.search(r"/part-(\d+)-", r.path)[1] for r in aside.collect()}
+    assert len(per_folder) > 20 and set(per_folder.values()) == {1}
+    assert len(tasks) > len(per_folder) * 2 // 3
