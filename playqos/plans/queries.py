@@ -629,7 +629,9 @@ def event_batches_stream(spark, sf_dir):
     tells the stream that all batches before it are complete."""
     paths = _lake(spark, "event-batches")
     arriving = paths.raw_signals + "_events"
-    events = G.player_events(_signals(spark, sf_dir))
+    made, kept = G.player_events(_signals(spark, sf_dir)), scratch_dir(spark, "player-events")
+    made.write.parquet(kept)  # every arrival is a part of the same events: they are made once
+    events = spark.read.schema(made.schema).parquet(kept)
     middle = events.agg(F.percentile_approx("sessionStartedAt", 0.5)).first()[0]
     later = events.limit(1).withColumns({c: F.col(c) + 10 * 365 * 86_400_000 for c in ("sessionStartedAt", "timestamp")})
     whole = F.col("sessionStartedAt") < middle

@@ -194,3 +194,15 @@ def test_the_files_that_do_not_fit_are_written_by_many_tasks(spark, paths, sf_di
     tasks = {re.search(r"/part-(\d+)-", r.path)[1] for r in aside.collect()}
     assert len(per_folder) > 20 and set(per_folder.values()) == {1}
     assert len(tasks) > len(per_folder) * 2 // 3
+
+
+def test_streamed_events_are_made_once(spark, sf_dir, monkeypatch):
+    """All arrivals are parts of one stored table of events."""
+    made, arrived = [], []
+    scratch, write = queries.scratch_dir, queries.write_batches
+    monkeypatch.setattr(queries, "scratch_dir", lambda spark, purpose: made.append((purpose, scratch(spark, purpose))) or made[-1][1])
+    monkeypatch.setattr(queries, "write_batches", lambda spark, folder, *a: arrived.append(folder) or write(spark, folder, *a))
+    queries.QUERIES["event_batches_stream"](spark, sf_dir)
+    events = spark.read.parquet(dict(made)["player-events"])
+    every = spark.read.schema(events.schema).parquet(arrived[0])
+    assert len(arrived) == 3 and every.exceptAll(events).count() == 1 and events.exceptAll(every).count() == 0
