@@ -189,7 +189,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         forget()  # a worker that has encoded texts before holds their words
-        texts = sorted(group["text"])  # the order in which rows arrive must not matter
+        texts = sorted(group["text"].fillna(""))  # the order in which rows arrive must not matter
         texts = [texts[t] for t in np.random.default_rng(7).permutation(len(texts))]  # neighbours in text go to either half
         x, sizes = vectors_of(texts, idf)  # a hundred megabytes: copied only where a text has no letter
         if not sizes.all():
