@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playqos.llm.common import per_process, slices
+from playqos.llm.common import slices
 
 SLOTS = 1 << 20
 #: Inverse document frequencies, natural logarithm, of terms that are kept: in at most a twentieth of the
 #: documents, and in more than about one of 160,000.
 BAND = (3.0, 12.0)
 SEEDS = 48
-CACHED_TERMS = 400_000
+PUNCTUATION = ".,;:!?()[]{}\"'|*#$%&-"
 
 _SEED_BITS = np.random.default_rng(20240229).integers(1, 1 << 63, SEEDS, dtype=np.uint64)
 
@@ -42,21 +43,27 @@ _SEED_BITS = np.random.default_rng(20240229).integers(1, 1 << 63, SEEDS, dtype=n
 def terms_of(text: str) -> np.ndarray:
     """Hashes of the distinct terms of a whole text, sorted. Terms are lower-case runs without white space,
     without punctuation around them."""
+    found = np.sort(_term_hashes(text))
+    first = found != 0
+    first[1:] &= found[1:] != found[:-1]
+    return found[first]
+
+
+def _term_hashes(text: str) -> np.ndarray:
+    """Hashes of the distinct terms in any order, 0 or a hash twice where hashes collide."""
     from xxhash import xxh64_intdigest
 
-    known: dict[str, int] = per_process("imatch terms", dict)
-    terms = set(text.lower().split())
-    for term in [t for t in terms if t not in known]:
-        bare = term.strip(".,;:!?()[]{}\"'|*#$%&-")
-        known[term] = xxh64_intdigest(bare.encode("utf-8", "replace")) if bare else 0
-    found = np.unique(np.fromiter(map(known.__getitem__, terms), np.uint64, len(terms)))
-    if len(known) > CACHED_TERMS:
-        known.clear()
-    return found[found != 0]
+    # A term is hashed each time: to look it up among all terms of a large vocabulary takes longer.
+    terms = set(map(str.strip, set(text.lower().split()), repeat(PUNCTUATION)))
+    terms.discard("")
+    try:
+        return np.fromiter(map(xxh64_intdigest, terms), np.uint64, len(terms))
+    except UnicodeEncodeError:  # a half of a surrogate pair
+        return np.fromiter([xxh64_intdigest(t.encode("utf-8", "replace")) for t in terms], np.uint64, len(terms))
 
 
 def _slots(terms: np.ndarray) -> np.ndarray:
-    return (terms % np.uint64(SLOTS)).astype(np.int64)
+    return (terms & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
 def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> np.ndarray:
@@ -66,7 +73,8 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> np.ndarray:
         seen = np.zeros(SLOTS, np.int64)
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                seen[np.unique(_slots(terms_of(text or "")))] += 1
+                terms = _term_hashes(text or "")
+                seen[_slots(terms[terms != 0])] += 1  # a slot that is here twice counts once
         slot = np.flatnonzero(seen)
         for start in range(0, len(slot), 100_000):
             part = slot[start : start + 100_000]
@@ -99,17 +107,28 @@ class Fingerprinter:
         if not len(kept):
             return found
         found[0] = xxh64_intdigest(kept.tobytes()) | 1
-        lots = kept[:, None] ^ _SEED_BITS
-        lots = (lots ^ (lots >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-        lots = ((lots ^ (lots >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)
-        halvings = 32 - np.frexp(lots.min(axis=0).astype(float))[1]  # the smallest lot is below 2 ** (32 - halvings)
-        left = lots < np.uint64(1) << (32 - halvings).astype(np.uint64)
-        for seed in range(SEEDS):
-            hashed = xxh64_intdigest(kept[left[:, seed]].tobytes(), seed) & 0xFFFF
-            found[1 + seed] = int(halvings[seed]) << 16 | hashed
+        # A row of lots for each chain, of which the upper 32 bits count.
+        lots = _folded(_SEED_BITS)[:, None] ^ _folded(kept)
+        lots *= np.uint64(0x9E3779B97F4A7C15)
+        lots ^= lots >> np.uint64(29)
+        lots *= np.uint64(0xBF58476D1CE4E5B9)
+        smallest = (lots.min(axis=1) >> np.uint64(32)).astype(float)
+        halvings = (32 - np.frexp(smallest)[1]).astype(np.uint64)  # the smallest lot is below 2 ** (32 - halvings)
+        left = np.flatnonzero(lots <= (np.uint64(2**64 - 1) >> halvings)[:, None])  # chain after chain, terms in order
+        ends = np.searchsorted(left, np.arange(1, SEEDS + 1) * len(kept)) * kept.itemsize
+        left = kept[left % len(kept)].tobytes()
+        start = 0
+        for seed, end in enumerate(ends.tolist()):
+            found[1 + seed] = xxh64_intdigest(left[start:end], seed) & 0xFFFF
+            start = end
+        found[1:] |= halvings << np.uint64(16)
         return found
 
 
+def _folded(hashes: np.ndarray) -> np.ndarray:
+    return hashes ^ (hashes >> np.uint64(31))
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     if not a[0] or not b[0]:
         return float(a[0] == b[0])
@@ -117,7 +136,8 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def hexadecimal(hashes: np.ndarray) -> str:
-    return f"{int(hashes[0]):016x}" + "".join([f"{h:06x}" for h in hashes[1:].tolist()])
+    chains = hashes[1:].astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:]  # their lower 24 bits, all that is used
+    return f"{int(hashes[0]):016x}" + chains.tobytes().hex()
 
 
 def in_order(docs: DataFrame) -> DataFrame:

@@ -2,10 +2,13 @@
 
 import hashlib
 import re
+import sys
+import types
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 import corpus_pipeline
 from playqos.llm import bpe, imatch, language, licences, mixing, packing, quality, simhash
@@ -257,6 +260,33 @@ def test_imatch(odd_docs, no_docs):
     assert alone == {(r.doc_id, r.fingerprint) for r in got}
 
 
+def test_imatch_hashes_as_defined_and_keeps_no_terms():
+    """Terms and chains equal a plain version of their definition; no table of the vocabulary grows beside them."""
+    rng = np.random.default_rng(7)
+    words = [f"w{i}" + ".,;'"[i % 4] * (i % 3) for i in range(900)]
+    texts = ["", "- . --", "a A a. (a)", "ΑΣ ΑΣ.Σ İx\x1cé\x85\u3000\u200bz", "x \ud800y", "one"]
+    texts += [" ".join(rng.choice(words, n)) for n in (3, 40, 2000)]
+    vars(sys.modules.get("_playqos_worker_state", types.ModuleType("none"))).get("made", {}).clear()
+    make = imatch.Fingerprinter(np.packbits(rng.random(imatch.SLOTS) < 0.5))
+    for text in texts:
+        bare = {t.strip(".,;:!?()[]{}\"'|*#$%&-") for t in text.lower().split()} - {""}
+        terms = sorted({xxh64_intdigest(t.encode("utf-8", "replace")) for t in bare})
+        assert imatch.terms_of(text).tolist() == terms
+        kept = [t for t in terms if make.inside[t % imatch.SLOTS]] or terms
+        want = [xxh64_intdigest(np.array(kept, np.uint64).tobytes()) | 1] if kept else [0] * (1 + imatch.SEEDS)
+        for seed, bits in enumerate(imatch._SEED_BITS.tolist() if kept else []):
+            lots = []
+            for term in kept:
+                lot = (term ^ bits ^ (term ^ bits) >> 31) * 0x9E3779B97F4A7C15 % 2**64
+                lots.append((lot ^ lot >> 29) * 0xBF58476D1CE4E5B9 % 2**64 >> 32)
+            halvings = 32 - min(lots).bit_length()
+            left = [t for t, lot in zip(kept, lots) if lot < 1 << (32 - halvings)]
+            want.append(halvings << 16 | xxh64_intdigest(np.array(left, np.uint64).tobytes(), seed) & 0xFFFF)
+        assert make.hashes(text).tolist() == want
+        assert imatch.hexadecimal(np.array(want, np.uint64)) == f"{want[0]:016x}" + "".join(f"{h:06x}" for h in want[1:])
+    assert not vars(sys.modules.get("_playqos_worker_state", types.ModuleType("none"))).get("made")
+
+
 # --- op8 ---------------------------------------------------------------------
 
 
