@@ -85,10 +85,13 @@ def distinct_reports(compacted: DataFrame) -> DataFrame:
     row per map task. The key holds the report's timestamp, so a busy viewer is
     spread over all partitions. Because the traffic comes last in the ranking,
     leaving it out does not change the other columns of the survivor.
+
+    This aggregate sorts by its key, before and after the shuffle; the timestamp goes first, as numbers are compared
+    faster than ids that begin alike.
     """
     rest = [c for c in compacted.columns if c not in REPORT_KEY]
     return (
-        compacted.groupBy(*REPORT_KEY)
+        compacted.groupBy(*reversed(REPORT_KEY))
         .agg(F.min(F.struct(*rest)).alias("survivor"))
         .select(*REPORT_KEY, "survivor.*")
     )

@@ -157,3 +157,21 @@ def test_charts_on_empty_tables(spark):
     empty = M.buffering_from_bronze(bronze(spark))
     assert tuple(one(dashboard.qos_summary(empty))) == (0, 0, None, None)
     assert dashboard.quality_consumption(M.quality_from_bronze(bronze(spark))).count() == 0
+
+
+def test_copies_are_sorted_out_by_their_timestamp_first(spark):
+    """Ids begin alike, so sorting by them compares whole texts; the copies kept are the smallest ones, as ever."""
+    reports = [
+        bronze_row(server=5, bufferings=2),
+        bronze_row(server=5, bufferings=1),
+        bronze_row(server=None, bufferings=4),
+        bronze_row(server=None, bufferings=3),
+        bronze_row(server=5, client=None, bufferings=7),
+        bronze_row(server=5, client=None, day=DAY - dt.timedelta(days=1), bufferings=8),
+    ]
+    distinct = R.distinct_reports(R.compact(bronze(spark, *reports)))
+    kept = {(r.clientId, r.serverTs, r.bufferings) for r in distinct.collect()}
+    assert kept == {("c1", 5, 1), ("c1", None, 3), (None, 5, 8)} and distinct.count() == 3
+    plan = distinct._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if " Sort [" in line]
+    assert sorts and all(line.split(" Sort [")[1].startswith("serverTs#") for line in sorts)
